@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 def keep_latest_and_most_complete(
     df: DataFrame,
-    key: str,
+    key: str | Sequence[str],
     order_column: str = "ingestion_datetime",
     completeness: Sequence[str] | None = None,
 ) -> DataFrame:
@@ -24,10 +24,11 @@ def keep_latest_and_most_complete(
     Spark limits each map task to one row per key before the shuffle (WindowGroupLimit), so a key
     that holds a large part of the table sends one row per map task.
     """
-    columns = list(completeness or [c for c in df.columns if c not in (key, order_column)])
+    keys = [key] if isinstance(key, str) else list(key)
+    columns = list(completeness or [c for c in df.columns if c not in (*keys, order_column)])
     filled = reduce(add, (F.col(c).isNotNull().cast("int") for c in columns), F.lit(0))
     fingerprint = F.sha2(F.concat_ws("|", *(F.col(c).cast("string") for c in columns)), 256)
-    best_first = Window.partitionBy(key).orderBy(
+    best_first = Window.partitionBy(*keys).orderBy(
         F.desc(order_column), filled.desc(), fingerprint.asc(), *(F.asc(c) for c in columns)
     )
     return (

@@ -6,6 +6,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from lodestrata import functions as rules
 from lodestrata.operators import (
@@ -93,9 +94,9 @@ def user_reviews(raw: DataFrame) -> DataFrame:
 
     Ratings are numbers before copies are compared; comments are compared as they came.
     """
-    named = raw.withColumnsRenamed(c.REVIEW_NAMES).withColumn(
-        "nota_usuario", rules.safe_number("nota_usuario")
-    )
+    named = raw.withColumnsRenamed(c.REVIEW_NAMES)
+    if isinstance(named.schema["nota_usuario"].dataType, StringType):
+        named = named.withColumn("nota_usuario", rules.safe_number("nota_usuario"))
     return (
         drop_exact_duplicates(named.select(*c.REVIEW_COLUMNS), c.REVIEW_COLUMNS)
         .withColumns(

@@ -2,6 +2,7 @@
 
 from lodestrata.sources.landing import (
     RATE_SCHEMA,
+    rate_records,
     read_landing_csv,
     read_rate_json,
     records_to_df,
@@ -16,6 +17,7 @@ __all__ = [
     "ensure_layers",
     "ingest_files",
     "overwrite_table",
+    "rate_records",
     "read_landing_csv",
     "read_rate_json",
     "records_to_df",

@@ -1,0 +1,226 @@
+"""Star schema, context documents, questions and quality rules on small clean frames."""
+
+from datetime import date
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from lodestrata.operators import QualityGateFailed
+from lodestrata.plans import catalogue as c
+from lodestrata.plans import gate, gold, questions
+
+
+@pytest.fixture(scope="module")
+def info(spark):
+    ddl = (
+        "id_filme int, titulo string, titulo_original string, data_lancamento date, ano_lancamento int, "
+        "duracao_minutos int, idioma_original string, status_filme string, sinopse string, frase_divulgacao string"
+    )
+    rows = [
+        (30, "C", "C", date(2029, 1, 1), 2029, 90, "en", "Lançado", "s", None),
+        (10, "A", "A", date(2024, 6, 1), 2024, 100, "en", "Lançado", "sinopse A", None),
+        (20, "B", "B", date(2025, 6, 1), 2025, 110, "pt", "Lançado", None, None),
+        (40, "D", "D", date(2025, 1, 1), 2025, None, "pt", "Planejado", None, None),
+        (50, None, None, None, None, None, None, "Lançado", None, None),
+    ]
+    return spark.createDataFrame(rows, ddl)
+
+
+@pytest.fixture(scope="module")
+def names(spark):
+    rows = [
+        (10, "Zoe", "Ator"), (10, "Ana", "Ator"), (10, "Ana", "Diretor"), (20, "Ana", "Ator"),
+        (20, "Wes", "Roteirista"), (10, "Acme", "Produtora"), (20, "Acme", "Produtora"),
+        (20, "Best", "Produtora"), (40, "Zoe", "Ator"), (99, "Zoe", "Ator"),
+    ]
+    return spark.createDataFrame(rows, "id_filme int, nome_entidade string, tipo_entidade string")
+
+
+@pytest.fixture(scope="module")
+def star(spark, info, names):
+    genre_links = spark.createDataFrame([(10, "Drama"), (10, "War"), (20, "Drama")], "id_filme int, nome_genero string")
+    financials = spark.createDataFrame(
+        [(10, Decimal("1000000.00"), Decimal("3500000.50"), Decimal("2500000.50"), 5.0e6, 1.75e7, 1.25e7),
+         (20, Decimal("10.00"), Decimal("30.00"), Decimal("20.00"), 50.0, 150.0, 100.0),
+         (40, Decimal("1.00"), Decimal("9.00"), Decimal("8.00"), 5.0, 45.0, 40.0)],
+        "id_filme int, orcamento_usd decimal(18,2), receita_usd decimal(18,2), lucro_usd decimal(19,2), "
+        "orcamento_brl double, receita_brl double, lucro_brl double",
+    )
+    metrics = spark.createDataFrame(
+        [(10, 5.5, 7.0, 100, 6.5, 10), (20, 9.5, 8.0, 50, None, None)],
+        "id_filme int, popularidade double, nota_media_tmdb double, qtd_votos_tmdb int, nota_media_imdb double, qtd_votos_imdb int",
+    )
+    reviews = spark.createDataFrame(
+        [(10, "u", 8.0, "x"), (10, "v", 6.0, "y"), (10, "w", None, "z"), (77, "w", 1.0, "z")],
+        "id_filme int, nome_usuario string, nota_usuario double, comentario_usuario string",
+    )
+    movies = gold.dim_movies(info)
+    people = gold.dim_people(names)
+    companies = gold.dim_companies(names)
+    genres = gold.dim_genres(genre_links)
+    fact = gold.fact_movies_performance(movies, financials, metrics)
+    cast = gold.bridge_movie_person(movies, people, names)
+    context = gold.movie_context(
+        movies, fact, gold.people_per_movie(cast, people, c.ACTOR), gold.people_per_movie(cast, people, c.DIRECTOR)
+    )
+    return {
+        "dim_movies": movies,
+        "dim_genres": genres,
+        "dim_people": people,
+        "dim_companies": companies,
+        "dim_reviews": gold.dim_reviews(movies, reviews),
+        "fact": fact,
+        "bridge_genre": gold.bridge_movie_genre(movies, genres, genre_links),
+        "bridge_person": cast,
+        "bridge_company": gold.bridge_movie_company(movies, companies, names),
+        "context": context,
+    }
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+def test_dimensions(star):
+    movies = star["dim_movies"].orderBy("sk_movie_id").collect()
+    assert [(r["sk_movie_id"], r["id_filme"]) for r in movies] == [(1, "10"), (2, "20"), (3, "30"), (4, "40"), (5, "50")]
+    assert star["dim_movies"].columns == ["sk_movie_id", *c.MOVIE_COLUMNS]
+    assert dict(star["dim_movies"].dtypes)["id_filme"] == "string"
+    assert rows(star["dim_genres"]) == [(1, "Drama"), (2, "War")]
+    assert rows(star["dim_people"]) == [
+        (1, "Ana", "Ator"), (2, "Ana", "Diretor"), (3, "Wes", "Roteirista"), (4, "Zoe", "Ator"),
+    ]
+    assert rows(star["dim_companies"]) == [(1, "Acme"), (2, "Best")]
+    assert rows(star["dim_reviews"]) == [(1, 1, 3, 7.0)]
+    assert all(dict(star[t].dtypes)[k] == "bigint" for t, k in (("dim_people", "sk_person_id"), ("dim_reviews", "sk_review_id")))
+
+
+def test_bridges(star):
+    assert rows(star["bridge_genre"]) == [(1, 1), (1, 2), (2, 1)]
+    assert rows(star["bridge_person"]) == [(1, 1), (1, 2), (1, 4), (2, 1), (2, 3), (4, 4)]
+    assert rows(star["bridge_company"]) == [(1, 1), (2, 1), (2, 2)]
+
+
+def test_fact(star):
+    fact = star["fact"]
+    assert fact.columns == ["sk_movie_id", *c.FACT_FINANCIALS, *c.FACT_METRICS]
+    got = {r["sk_movie_id"]: r for r in fact.collect()}
+    assert set(got) == {1, 2, 3, 5}
+    assert got[1]["receita_brl"] == Decimal("17500000.00")
+    assert got[3]["receita_usd"] is None
+    assert {t for n, t in fact.dtypes if n in c.FACT_FINANCIALS} == {"decimal(18,2)"}
+
+
+def test_fact_amount_too_large_becomes_null(spark, info):
+    movies = gold.dim_movies(info)
+    money = spark.createDataFrame([(10, 9e16)], "id_filme int, b double").select(
+        "id_filme", *(F.col("b").alias(n) for n in c.FACT_FINANCIALS)
+    )
+    metrics = spark.createDataFrame([], "id_filme int, popularidade double, nota_media_tmdb double, qtd_votos_tmdb int, nota_media_imdb double, qtd_votos_imdb int")
+    assert gold.fact_movies_performance(movies, money, metrics).filter("lucro_brl is not null").count() == 0
+
+
+def test_context_text(star):
+    got = {r["movie_id"]: r for r in star["context"].collect()}
+    assert got["10"]["llm_context_document"] == (
+        "O filme A, lançado no ano de 2024, faturou US$ 3,500,000.50 e teve um custo de US$ 1,000,000.00. "
+        "Estrelado por Ana, Zoe e dirigido por Ana, o filme possui a seguinte sinopse: sinopse A."
+    )
+    assert got["50"]["title"] is None
+    assert got["50"]["llm_context_document"] == (
+        "O filme Título desconhecido, lançado no ano de ano desconhecido, faturou valor de bilheteria não informado "
+        "e teve um custo de orçamento não informado. Estrelado por elenco não informado e dirigido por direção não "
+        "informada, o filme possui a seguinte sinopse: sinopse não disponível."
+    )
+
+
+def test_people_per_movie_column_names(star):
+    for kind, column in ((c.ACTOR, "atores_principais"), (c.DIRECTOR, "diretor"), (c.WRITER, "diretor")):
+        assert gold.people_per_movie(star["bridge_person"], star["dim_people"], kind).columns[1] == column
+    named = gold.people_per_movie(star["bridge_person"], star["dim_people"], c.WRITER, "roteiro")
+    assert rows(named) == [(2, "Wes")]
+
+
+def test_questions(star):
+    fact, movies = star["fact"], star["dim_movies"]
+    today = F.lit("2026-02-20").cast("date")
+    assert questions.total_revenue(fact).first()[0] == Decimal("17500150.00")
+    assert [tuple(r) for r in questions.most_popular(fact, movies, 2).collect()] == [("B", 9.5), ("A", 5.5)]
+    assert [tuple(r) for r in questions.movies_per_genre(star["bridge_genre"], star["dim_genres"]).collect()] == [("Drama", 2), ("War", 1)]
+    top = questions.highest_revenue(fact, movies, 3).orderBy("posicao_ranking").collect()
+    assert [(r["titulo"], r["posicao_ranking"]) for r in top] == [("A", 1), ("B", 2), ("C", 3)]
+    bridge, people = star["bridge_person"], star["dim_people"]
+    actor = questions.busiest_actor(bridge, movies, people, today=today)
+    assert [tuple(r) for r in actor.collect()] == [("Ana", 2)]
+    narrow = questions.busiest_actor(bridge, movies, people, months=6, today=today)
+    assert [tuple(r) for r in narrow.collect()] == [("Ana", 1)]
+    tie = questions.busiest_actor(bridge.filter("sk_person_id = 4"), movies, people, today=today)
+    assert [tuple(r) for r in tie.collect()] == [("Zoe", 2)]
+    released = questions.busiest_actor(bridge.filter("sk_person_id = 4"), movies, people, released_only=True, today=today)
+    assert [tuple(r) for r in released.collect()] == [("Zoe", 1)]
+    company = questions.most_profitable_company(star["bridge_company"], movies, fact, star["dim_companies"], today=today)
+    assert [tuple(r) for r in company.collect()] == [("Acme", Decimal("2500020.50"))]
+
+
+def failing(report):
+    return [(r["regra"], r["detalhe"]) for r in report.collect() if not r["passou"]]
+
+
+def test_all_rules_pass_on_a_consistent_star(star):
+    report = gate.check_all(**star)
+    assert report.columns == ["regra", "passou", "detalhe"]
+    assert [(r["regra"], r["passou"], r["detalhe"]) for r in report.collect()] == [
+        ("fato_um_registro_por_filme", True, "4 linhas, uma por filme"),
+        ("fato_cobre_filmes_lancados", True, "4 filmes lançados na fato"),
+        ("contexto_ia_completo", True, "5 documentos, um por filme, nenhum vazio"),
+        ("generos_no_dominio", True, "2 gêneros, todos do domínio"),
+        ("integridade_das_bridges", True, "todas as chaves das bridges existem nas dimensões"),
+        ("notas_entre_0_e_10", True, "todas as notas estão entre 0 e 10"),
+        ("financeiro_coerente", True, "sem valores negativos e lucro = receita - orçamento"),
+    ]
+    gate.require_quality(report)
+
+
+def test_each_rule_fails_on_its_own_fault(spark, star):
+    fact, movies = star["fact"], star["dim_movies"]
+    twice = fact.unionByName(fact.filter("sk_movie_id = 1"))
+    assert failing(gate.check_grain(twice)) == [("fato_um_registro_por_filme", "5 linhas para 4 filmes distintos (grão duplicado)")]
+    strange = fact.filter("sk_movie_id != 1").withColumn("sk_movie_id", F.when(F.col("sk_movie_id") == 2, 4).otherwise(F.col("sk_movie_id")))
+    assert failing(gate.check_coverage(strange, movies)) == [
+        ("fato_cobre_filmes_lancados", "2 lançados fora da fato e 1 filmes na fato que não são lançados")
+    ]
+    blank = star["context"].filter("movie_id != '10'").withColumn(
+        "llm_context_document", F.when(F.col("movie_id") == "20", "  ").when(F.col("movie_id") != "30", F.col("llm_context_document"))
+    )
+    assert failing(gate.check_context(blank, movies)) == [
+        ("contexto_ia_completo", "2 documentos vazios/nulos e 1 linhas de diferença para dim_movies")
+    ]
+    genres = spark.createDataFrame([(1, "Drama"), (2, "2013")], "sk_genre_id bigint, nome_genero string")
+    assert failing(gate.check_genres(genres)) == [("generos_no_dominio", "1 gêneros fora do domínio")]
+    tables = {k: star[k] for k in ("dim_movies", "dim_genres", "dim_people", "dim_companies", "bridge_genre", "bridge_person", "bridge_company")}
+    tables["dim_people"] = tables["dim_people"].filter("sk_person_id != 1")
+    tables["dim_genres"] = tables["dim_genres"].filter("sk_genre_id != 2")
+    assert failing(gate.check_bridges(**tables)) == [
+        ("integridade_das_bridges", "chaves órfãs: {'genre->genre': 1, 'person->person': 2}")
+    ]
+    off = fact.withColumn("nota_media_imdb", F.lit(63.65))
+    bad_reviews = star["dim_reviews"].withColumn("nota_media_usuarios", F.lit(-1.0))
+    assert failing(gate.check_ratings(off, bad_reviews)) == [("notas_entre_0_e_10", "5 notas fora do intervalo de 0 a 10")]
+    wrong = fact.withColumn("lucro_usd", F.lit("1").cast("decimal(18,2)")).withColumn("orcamento_brl", F.lit("-1").cast("decimal(18,2)"))
+    assert failing(gate.check_money(wrong)) == [("financeiro_coerente", "4 valores negativos e 2 lucros incoerentes")]
+
+
+def test_profit_may_differ_by_rounding(spark):
+    ddl = "orcamento_usd decimal(18,2), receita_usd decimal(18,2), lucro_usd decimal(18,2), orcamento_brl decimal(18,2), receita_brl decimal(18,2), lucro_brl decimal(18,2)"
+    ok = spark.createDataFrame([(Decimal("1.00"), Decimal("3.00"), Decimal("2.01"), None, None, None)], ddl)
+    assert failing(gate.check_money(ok)) == []
+
+
+def test_gate_lists_failed_rules_only(star):
+    broken = dict(star, fact=star["fact"].withColumn("nota_media_tmdb", F.lit(11.0)))
+    with pytest.raises(QualityGateFailed) as failure:
+        gate.require_quality(gate.check_all(**broken))
+    assert str(failure.value) == (
+        "1 regra(s) de qualidade reprovada(s):\n- notas_entre_0_e_10: 4 notas fora do intervalo de 0 a 10"
+    )

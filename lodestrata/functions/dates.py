@@ -17,11 +17,19 @@ DATE_FORMS = (
 )
 
 
+def _iso_text(text: Column, form: str) -> Column:
+    """The year, month and day parts of a text in ``form``, in ISO order."""
+    parts = (F.substring(text, form.index(part) + 1, len(part)) for part in ("yyyy", "MM", "dd"))
+    return F.concat_ws("-", *parts)
+
+
 def multi_date(c: Column | str, forms: Iterable[tuple[str, str]] = DATE_FORMS) -> Column:
-    """The date of the first form whose pattern matches and whose day exists, else NULL."""
+    """The date of the first form whose pattern matches and whose day exists, else NULL.
+
+    A form places ``yyyy``, ``MM`` and ``dd`` at fixed positions. The parts are put in ISO order and
+    cast, which is several times faster than a date parser per form.
+    """
     text = trimmed_text(c)
-    readings = []
-    for form, pattern in forms:
-        instant = F.try_to_timestamp(text, F.lit(form))
-        readings.append(F.when(text.rlike(pattern), instant.cast("date")))
-    return F.coalesce(*readings)
+    return F.coalesce(
+        *(F.when(text.rlike(p), _iso_text(text, form).try_cast("date")) for form, p in forms)
+    )

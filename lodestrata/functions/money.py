@@ -23,14 +23,17 @@ def money(c: Column | str) -> Column:
 
     The currency mark is ignored, not converted. All six decimals take part in the scaling, so
     ``1.234567M`` is 1234567.00. A text that does not match has no digits, and empty digits cast to
-    NULL, so no further check of the pattern is needed.
+    NULL, so no further check of the pattern is needed. A text that ends in a digit has no letter,
+    so most cells meet the pattern once.
     """
     text = F.upper(trimmed_text(c))
     digits = F.regexp_extract(text, MONEY_TEXT, 1)
+    plain = F.lit(1).cast("decimal(10,0)")
     letter = F.regexp_extract(text, MONEY_TEXT, 2)
-    scale = F.lit(1).cast("decimal(10,0)")
-    for name, factor in SCALE_OF_LETTER.items():
-        scale = F.when(letter == name, F.lit(factor).cast("decimal(10,0)")).otherwise(scale)
+    scales = F.create_map(*(F.lit(x) for pair in SCALE_OF_LETTER.items() for x in pair))
+    scale = F.when(F.substring(text, -1, 1).between("0", "9"), plain).otherwise(
+        F.coalesce(scales[letter].cast("decimal(10,0)"), plain)
+    )
     amount = F.translate(digits, ",", "").try_cast("decimal(22,6)") * scale
     return amount.try_cast(MONEY_TYPE)
 

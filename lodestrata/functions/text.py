@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 from lodestrata.functions._cells import as_column, trimmed_text
 
 # Separators of list cells, noise at the ends of names, and texts that are no name.
-OTHER_SEPARATORS = r"[;|]"
-LIST_SEPARATOR = r"\s*,\s*"
-EDGE_NOISE = r'^[\\"\s]+|[\\"\s]+$'
+LIST_SEPARATOR = r"\s*[,;|]\s*"
+EDGE_NOISE = '\\" \t\n\x0b\f\r'
 ABSENT_NAMES = ("", "N/A", "n/a", "None")
 NUMBER_AS_NAME = r"^-?\d+([.,]\d+)?$"
 IMAGE_PATH = r"(?i)^/|\.(jpg|jpeg|png)$"
@@ -37,21 +36,18 @@ def normalize_label(c: Column | str) -> Column:
 
 def map_values(c: Column | str, values: Mapping[str, str], default: str) -> Column:
     """The value a small fixed dictionary gives, or ``default`` (also for NULL)."""
-    label = as_column(c)
-    mapped = F.lit(default)
-    for known, value in values.items():
-        mapped = F.when(label == known, F.lit(value)).otherwise(mapped)
-    return mapped
+    known = F.create_map(*(F.lit(x) for pair in values.items() for x in pair))
+    return F.coalesce(known[as_column(c)], F.lit(default))
 
 
 def split_list(c: Column | str) -> Column:
     """The elements of a delimited cell; comma, semicolon and bar all separate."""
-    return F.split(F.regexp_replace(as_column(c), OTHER_SEPARATORS, ","), LIST_SEPARATOR)
+    return F.split(as_column(c), LIST_SEPARATOR)
 
 
 def strip_edges(c: Column | str) -> Column:
-    """The text without spaces, quotes and backslashes at its ends."""
-    return F.regexp_replace(F.trim(as_column(c)), EDGE_NOISE, "")
+    """The text without white space, quotes and backslashes at its ends."""
+    return F.btrim(as_column(c), F.lit(EDGE_NOISE))
 
 
 def is_name(
@@ -74,10 +70,18 @@ def is_name(
 
 
 def title_case_words(c: Column | str) -> Column:
-    """Title case for words written all upper or all lower; mixed-case words stay as they are."""
+    """Title case for words written all upper or all lower; mixed-case words stay as they are.
+
+    A text in one case, or in title case already, gives the same as title case of the whole text.
+    Only the rest is taken apart word by word.
+    """
+    text = as_column(c)
 
     def word_case(word: Column) -> Column:
         one_case = (word == F.upper(word)) | (word == F.lower(word))
         return F.when(one_case, F.initcap(word)).otherwise(word)
 
-    return F.array_join(F.transform(F.split(as_column(c), " "), word_case), " ")
+    whole = F.initcap(text)
+    uniform = (text == whole) | (text == F.lower(text)) | (text == F.upper(text))
+    by_word = F.array_join(F.transform(F.split(text, " "), word_case), " ")
+    return F.when(uniform, whole).otherwise(by_word)

@@ -1,4 +1,8 @@
-"""Clean tables of the movie catalogue from the raw ones."""
+"""Clean tables of the movie catalogue from the raw ones.
+
+A parsed cell becomes a column before a rule uses it more than once: Spark keeps such steps apart, so
+each cell is parsed once.
+"""
 
 from __future__ import annotations
 
@@ -28,28 +32,28 @@ from lodestrata.plans import catalogue as c
 
 def movie_info(raw: DataFrame) -> DataFrame:
     """``tb_info_filmes``: one row per movie; completeness counts the raw text of the other cells."""
-    named = raw.withColumnsRenamed(c.INFO_NAMES)
     status = rules.map_values(
         rules.normalize_label("status_filme"), c.STATUS_LABELS, c.UNKNOWN_STATUS
     )
-    newest = keep_latest_and_most_complete(named.withColumn("status_filme", status), "id_filme")
-    released = rules.multi_date("release_date")
-    return newest.withColumns(
+    named = raw.withColumnsRenamed(c.INFO_NAMES).withColumn("status_filme", status)
+    newest = keep_latest_and_most_complete(named, "id_filme")
+    typed = newest.withColumns(
         {
             "duracao_minutos": rules.safe_number("duracao_minutos", "int"),
-            "data_lancamento": released,
-            "ano_lancamento": F.year(released),
+            "data_lancamento": rules.multi_date("release_date"),
         }
-    ).select(*c.INFO_COLUMNS)
+    )
+    return typed.withColumn("ano_lancamento", F.year("data_lancamento")).select(*c.INFO_COLUMNS)
 
 
 def movie_financials(raw: DataFrame, rate: Column | float) -> DataFrame:
     """``tb_financeiro_filmes``: amounts in both currencies, profit and margin, one row per movie."""
     amounts = ("orcamento_usd", "receita_usd")
-    clean = raw.withColumnsRenamed(c.FINANCIAL_NAMES).withColumns(
-        {a: rules.null_non_positive(rules.money(a)) for a in amounts}
+    parsed = raw.withColumnsRenamed(c.FINANCIAL_NAMES).withColumns(
+        {a: rules.money(a) for a in amounts}
     )
-    converted = clean.withColumns(
+    positive = parsed.withColumns({a: rules.null_non_positive(a) for a in amounts})
+    converted = positive.withColumns(
         {
             "orcamento_brl": rules.convert_currency("orcamento_usd", rate),
             "receita_brl": rules.convert_currency("receita_usd", rate),
@@ -75,17 +79,13 @@ def movie_metrics(raw: DataFrame) -> DataFrame:
     )
     witnesses = {w: c.METRIC_TYPES[w] for w in c.SHIFT_WITNESSES}
     flagged = flag_shifted_rows(text, witnesses, "_slipped")
-    limits = {
-        column: c.RATING_SCALE if column.startswith("nota_") else (0, None)
-        for column in c.METRIC_TYPES
-    }
     numbers = flagged.withColumns(
-        {
-            column: rules.null_outside(rules.safe_number(column, data_type), *limits[column])
-            for column, data_type in c.METRIC_TYPES.items()
-        }
+        {column: rules.safe_number(column, kind) for column, kind in c.METRIC_TYPES.items()}
+    )
+    valid = numbers.withColumns(
+        {column: rules.null_outside(column, *limits) for column, limits in c.METRIC_LIMITS.items()}
     )
-    trusted = distrust_shifted_rows(numbers, ["popularidade"], "_slipped")
+    trusted = distrust_shifted_rows(valid, ["popularidade"], "_slipped")
     return keep_latest_and_most_complete(trusted, "id_filme").select(*c.METRIC_COLUMNS)
 
 

@@ -9,6 +9,8 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
+from lodestrata.session import tune  # noqa: E402
+
 
 @pytest.fixture(scope="session")
 def spark():
@@ -20,7 +22,7 @@ def spark():
         .appName("lodestrata-tests")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "6g")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.ansi.enabled", "true")
         .config("spark.checkpoint.dir", f"{scratch}/checkpoints")
@@ -28,7 +30,7 @@ def spark():
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
-    yield session
+    yield tune(session)
     session.stop()
 
 

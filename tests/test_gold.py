@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from lodestrata.operators import QualityGateFailed
 from lodestrata.plans import catalogue as c
 from lodestrata.plans import gate, gold, questions
+from lodestrata.sources import stage
 
 
 @pytest.fixture(scope="module")
@@ -64,7 +65,7 @@ def star(spark, info, names):
     context = gold.movie_context(
         movies, fact, gold.people_per_movie(cast, people, c.ACTOR), gold.people_per_movie(cast, people, c.DIRECTOR)
     )
-    return {
+    star = {
         "dim_movies": movies,
         "dim_genres": genres,
         "dim_people": people,
@@ -76,6 +77,7 @@ def star(spark, info, names):
         "bridge_company": gold.bridge_movie_company(movies, companies, names),
         "context": context,
     }
+    return {name: stage(table) for name, table in star.items()}
 
 
 def rows(df):

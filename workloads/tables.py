@@ -6,6 +6,7 @@ from string import Formatter
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lodestrata.session import tune
 from workloads.inputs import INPUTS
 
 
@@ -13,7 +14,7 @@ class Tables:
     """Driver tables of one folder: ``t["orders"]`` reads a table, ``t.input("money_txt")`` derives one."""
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
-        self.spark = spark
+        self.spark = tune(spark)
         self._folder = folder.rstrip("/")
 
     def __getitem__(self, table: str) -> DataFrame:

@@ -16,7 +16,12 @@ from lodestrata.operators.cleaning import (
     keep_names,
 )
 from lodestrata.operators.dedup import keep_latest_and_most_complete
-from lodestrata.operators.documents import assemble_sentence, money_words, names_per_key
+from lodestrata.operators.documents import (
+    assemble_sentence,
+    money_words,
+    names_per_key,
+    names_per_role,
+)
 from lodestrata.operators.explode import explode_entities, explode_list
 from lodestrata.operators.keys import dense_key
 from lodestrata.operators.quality import (
@@ -62,6 +67,7 @@ __all__ = [
     "latest_value",
     "money_words",
     "names_per_key",
+    "names_per_role",
     "orphans",
     "quality_report",
     "raise_on_failures",

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def _listed(names: Column) -> Column:
+    """The distinct names in alphabetical order as one text; no names give NULL."""
+    found = F.sort_array(F.collect_set(names))
+    return F.when(F.size(found) > 0, F.array_join(found, ", "))
+
+
 def names_per_key(
     links: DataFrame, members: DataFrame, on: str, key: str, name: str, output: str
 ) -> DataFrame:
@@ -15,8 +21,26 @@ def names_per_key(
 
     The text is one cell of the result, as long as the list cells the links came from.
     """
-    names = F.array_join(F.sort_array(F.collect_set(name)), ", ")
-    return links.join(members.select(on, name), on, "inner").groupBy(key).agg(names.alias(output))
+    named = links.join(members.select(on, name), on, "inner")
+    return named.groupBy(key).agg(_listed(F.col(name)).alias(output))
+
+
+def names_per_role(
+    links: DataFrame,
+    members: DataFrame,
+    on: str,
+    key: str,
+    name: str,
+    role: str,
+    output_of_role: Mapping[str, str],
+) -> DataFrame:
+    """``names_per_key`` for several roles side by side, in one pass over the links."""
+    chosen = members.filter(F.col(role).isin(*output_of_role)).select(on, name, role)
+    texts = [
+        _listed(F.when(F.col(role) == wanted, F.col(name))).alias(output)
+        for wanted, output in output_of_role.items()
+    ]
+    return links.join(chosen, on, "inner").groupBy(key).agg(*texts)
 
 
 def money_words(c: Column | str, currency: str) -> Column:

@@ -15,6 +15,7 @@ from lodestrata.operators import (
     keep_members,
     money_words,
     names_per_key,
+    names_per_role,
     summary_dimension,
 )
 from lodestrata.plans import catalogue as c
@@ -89,16 +90,25 @@ def people_per_movie(
     return names_per_key(links, members, "sk_person_id", "sk_movie_id", "nome_pessoa", column)
 
 
-def movie_context(
-    movies: DataFrame, performance: DataFrame, actors: DataFrame, directors: DataFrame
-) -> DataFrame:
-    """``gold_genai_movies_context``: one sentence per movie, whatever is missing."""
-    amounts = performance.select("sk_movie_id", "receita_usd", "orcamento_usd")
-    known = (
-        movies.join(amounts, "sk_movie_id", "left")
-        .join(actors, "sk_movie_id", "left")
-        .join(directors, "sk_movie_id", "left")
+def cast_and_directors(links: DataFrame, people: DataFrame) -> DataFrame:
+    """Actors and directors per movie, as ``people_per_movie`` gives them, in one pass."""
+    columns = {c.ACTOR: "atores_principais", c.DIRECTOR: "diretor"}
+    return names_per_role(
+        links, people, "sk_person_id", "sk_movie_id", "nome_pessoa", "tipo_pessoa", columns
+    )
+
+
+def movie_context(movies: DataFrame, performance: DataFrame, *people: DataFrame) -> DataFrame:
+    """``gold_genai_movies_context``: one sentence per movie, whatever is missing.
+
+    ``people`` holds the columns ``atores_principais`` and ``diretor``, in one frame or two. All are
+    keyed by movie, so each frame is shuffled at most once.
+    """
+    known = movies.join(
+        performance.select("sk_movie_id", "receita_usd", "orcamento_usd"), "sk_movie_id", "left"
     )
+    for names in people:
+        known = known.join(names, "sk_movie_id", "left")
     values = (
         (F.col("titulo"), c.NO_TITLE),
         (F.col("ano_lancamento"), c.NO_YEAR),

@@ -144,6 +144,16 @@ def test_people_per_movie_column_names(star):
     assert rows(named) == [(2, "Wes")]
 
 
+def test_roles_side_by_side_equal_one_by_one(star):
+    links, people = star["bridge_person"], star["dim_people"]
+    both = gold.cast_and_directors(links, people)
+    assert both.columns == ["sk_movie_id", "atores_principais", "diretor"]
+    actors, directors = (gold.people_per_movie(links, people, kind) for kind in (c.ACTOR, c.DIRECTOR))
+    assert rows(both) == rows(actors.join(directors, "sk_movie_id", "full"))
+    context = gold.movie_context(star["dim_movies"], star["fact"], both)
+    assert rows(context) == rows(star["context"])
+
+
 def test_questions(star):
     fact, movies = star["fact"], star["dim_movies"]
     today = F.lit("2026-02-20").cast("date")

@@ -461,37 +461,37 @@ def rule_money(t):
 
 @on_silver
 def silver_info(s):
-    return s.info
+    return s.info()
 
 
 @on_silver
 def silver_financials(s):
-    return s.financials
+    return s.financials()
 
 
 @on_silver
 def silver_metrics(s):
-    return s.metrics
+    return s.metrics()
 
 
 @on_silver
 def silver_reviews(s):
-    return s.reviews
+    return s.reviews()
 
 
 @on_silver
 def silver_genres(s):
-    return s.genres
+    return s.genres()
 
 
 @on_silver
 def silver_people(s):
-    return s.names
+    return s.names()
 
 
 @on_silver
 def silver_rates(s):
-    return s.rates
+    return s.rates()
 
 
 # --- the movie catalogue: star --------------------------------------------------------------------

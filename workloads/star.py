@@ -6,7 +6,6 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestrata.plans import catalogue as c
 from lodestrata.plans import gate, gold, silver
 from lodestrata.sources import stage
 from workloads.tables import Tables
@@ -23,106 +22,104 @@ class Silver:
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self._tables = Tables(spark, folder)
 
-    def _keep(self, df: DataFrame) -> DataFrame:
-        return df
-
-    @cached_property
     def info(self) -> DataFrame:
-        return self._keep(silver.movie_info(self._tables.input("raw_info")))
+        return silver.movie_info(self._tables.input("raw_info"))
 
-    @cached_property
     def rates(self) -> DataFrame:
-        return self._keep(
-            silver.daily_rates(self._tables.input("raw_rates"), RATE_START, RATE_END)
-        )
+        return silver.daily_rates(self._tables.input("raw_rates"), RATE_START, RATE_END)
 
-    @cached_property
     def financials(self) -> DataFrame:
         raw = self._tables.input("raw_financials")
-        return self._keep(silver.movie_financials(raw, silver.current_rate(self.rates)))
+        return silver.movie_financials(raw, silver.current_rate(self.rates()))
 
-    @cached_property
     def metrics(self) -> DataFrame:
-        return self._keep(silver.movie_metrics(self._tables.input("raw_metrics")))
+        return silver.movie_metrics(self._tables.input("raw_metrics"))
 
-    @cached_property
     def reviews(self) -> DataFrame:
-        return self._keep(silver.user_reviews(self._tables.input("raw_reviews")))
+        return silver.user_reviews(self._tables.input("raw_reviews"))
 
-    @cached_property
     def genres(self) -> DataFrame:
-        return self._keep(silver.movie_genres(self._tables.input("raw_credits")))
+        return silver.movie_genres(self._tables.input("raw_credits"))
 
-    @cached_property
     def names(self) -> DataFrame:
-        return self._keep(silver.people_and_companies(self._tables.input("raw_credits")))
+        return silver.people_and_companies(self._tables.input("raw_credits"))
 
 
-class StagedSilver(Silver):
-    """The clean tables written once and read back, as they are between the layers of a run."""
+class Gold:
+    """The star; only what a query uses is built.
 
-    def _keep(self, df: DataFrame) -> DataFrame:
-        return stage(df)
+    A clean table that several tables of the star read is written once and read back, as between the
+    layers of a run. One that a single table reads stays part of its plan.
+    """
 
+    def __init__(self, spark: SparkSession, folder: str) -> None:
+        self.silver = Silver(spark, folder)
 
-class Gold:
-    """The star, built from staged clean tables; only what a query uses is built."""
+    @cached_property
+    def genre_links(self) -> DataFrame:
+        return stage(self.silver.genres())
 
-    def __init__(self, spark: SparkSession, folder: str) -> None:
-        self.silver = StagedSilver(spark, folder)
+    @cached_property
+    def names(self) -> DataFrame:
+        return stage(self.silver.names())
 
     @cached_property
     def movies(self) -> DataFrame:
-        return gold.dim_movies(self.silver.info)
+        return gold.dim_movies(self.silver.info())
 
     @cached_property
     def genres(self) -> DataFrame:
-        return gold.dim_genres(self.silver.genres)
+        return gold.dim_genres(self.genre_links)
 
     @cached_property
     def people(self) -> DataFrame:
-        return gold.dim_people(self.silver.names)
+        return gold.dim_people(self.names)
 
     @cached_property
     def companies(self) -> DataFrame:
-        return gold.dim_companies(self.silver.names)
+        return gold.dim_companies(self.names)
 
     @cached_property
     def reviews(self) -> DataFrame:
-        return gold.dim_reviews(self.movies, self.silver.reviews)
+        return gold.dim_reviews(self.movies, self.silver.reviews())
 
     @cached_property
     def fact(self) -> DataFrame:
-        return gold.fact_movies_performance(self.movies, self.silver.financials, self.silver.metrics)
+        return gold.fact_movies_performance(
+            self.movies, self.silver.financials(), self.silver.metrics()
+        )
 
     @cached_property
     def bridge_genre(self) -> DataFrame:
-        return gold.bridge_movie_genre(self.movies, self.genres, self.silver.genres)
+        return gold.bridge_movie_genre(self.movies, self.genres, self.genre_links)
 
     @cached_property
     def bridge_person(self) -> DataFrame:
-        return gold.bridge_movie_person(self.movies, self.people, self.silver.names)
+        return gold.bridge_movie_person(self.movies, self.people, self.names)
 
     @cached_property
     def bridge_company(self) -> DataFrame:
-        return gold.bridge_movie_company(self.movies, self.companies, self.silver.names)
+        return gold.bridge_movie_company(self.movies, self.companies, self.names)
 
     def people_of(self, kind: str, output: str | None = None) -> DataFrame:
         return gold.people_per_movie(self.bridge_person, self.people, kind, output)
 
     @cached_property
     def context(self) -> DataFrame:
-        actors, directors = self.people_of(c.ACTOR), self.people_of(c.DIRECTOR)
-        return gold.movie_context(self.movies, self.fact, actors, directors)
+        names = gold.cast_and_directors(self.bridge_person, self.people)
+        return gold.movie_context(self.movies, self.fact, names)
 
     def report(self) -> DataFrame:
+        """The report on stored tables: the facts, bridges and documents are written once."""
+        for table in ("fact", "bridge_genre", "bridge_person", "bridge_company", "context"):
+            setattr(self, table, stage(getattr(self, table)))
         return gate.check_all(
             dim_movies=self.movies,
             dim_genres=self.genres,
             dim_people=self.people,
             dim_companies=self.companies,
             dim_reviews=self.reviews,
-            fact=stage(self.fact),
+            fact=self.fact,
             bridge_genre=self.bridge_genre,
             bridge_person=self.bridge_person,
             bridge_company=self.bridge_company,

@@ -1,0 +1,128 @@
+"""Fast forms of the rules against the plain forms, on many random cells in one job each."""
+
+import random
+import re
+from decimal import ROUND_HALF_UP, Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from lodestrata import functions as rules
+from lodestrata import operators as ops
+from lodestrata.functions import dates, text
+from lodestrata.functions.money import MONEY_TEXT, SCALE_OF_LETTER
+
+
+def cells(alphabet, count, longest, seed=7):
+    pick = random.Random(seed)
+    return ["".join(pick.choice(alphabet) for _ in range(pick.randint(0, longest))) for _ in range(count)]
+
+
+def differing(spark, values, fast, plain):
+    df = spark.createDataFrame([(v,) for v in [*values, None]], "v string")
+    return df.select("v", fast(F.col("v")).alias("fast"), plain(F.col("v")).alias("plain")).filter(
+        ~F.col("fast").eqNullSafe(F.col("plain"))
+    ).collect()
+
+
+def test_title_case_equals_word_by_word(spark):
+    def by_word(v):
+        def case(w):
+            return F.when((w == F.upper(w)) | (w == F.lower(w)), F.initcap(w)).otherwise(w)
+
+        return F.array_join(F.transform(F.split(v, " "), case), " ")
+
+    values = cells("aBcD éÉßÇ1-' \t", 4000, 9) + cells("ab ", 500, 6) + cells("AB ", 500, 6)
+    assert differing(spark, values, rules.title_case_words, by_word) == []
+
+
+def test_split_list_equals_unify_then_split(spark):
+    def plain(v):
+        return F.split(F.regexp_replace(v, "[;|]", ","), r"\s*,\s*")
+
+    assert differing(spark, cells("ab,;| \t\n", 4000, 12), rules.split_list, plain) == []
+
+
+def test_strip_edges_equals_pattern(spark):
+    def plain(v):
+        return F.regexp_replace(F.trim(v), r'^[\\"\s]+|[\\"\s]+$', "")
+
+    assert differing(spark, cells('ab\\" \t\r\f\x0b', 4000, 8), rules.strip_edges, plain) == []
+
+
+def test_multi_date_equals_date_parsers(spark):
+    def plain(v):
+        cell = F.trim(v)
+        return F.coalesce(
+            *(F.when(cell.rlike(p), F.try_to_timestamp(cell, F.lit(f)).cast("date")) for f, p in dates.DATE_FORMS)
+        )
+
+    pick = random.Random(3)
+    shapes = ("{y:04d}-{m:02d}-{d:02d}", "{m:02d}-{d:02d}-{y:04d}", "{d:02d}/{m:02d}/{y:04d}", " {y:04d}-{m:02d}-{d:02d} ")
+    values = [
+        pick.choice(shapes).format(y=pick.choice([0, 1, 1582, 1900, 2000, 2023, 2024, 9999]), m=pick.randint(0, 14), d=pick.randint(0, 33))
+        for _ in range(4000)
+    ]
+    assert differing(spark, values + cells("0123-/ ", 1000, 11), rules.multi_date, plain) == []
+
+
+def test_money_equals_exact_arithmetic(spark):
+    def exact(cell):
+        if cell is None:
+            return None
+        found = re.search(MONEY_TEXT, cell.strip(" ").upper(), re.ASCII)
+        if not found:
+            return None
+        value = Decimal(found.group(1).replace(",", "")) * SCALE_OF_LETTER.get(found.group(2), 1)
+        value = value.quantize(Decimal("0.01"), ROUND_HALF_UP)
+        return value if value < Decimal(10) ** 16 else None
+
+    pick = random.Random(11)
+    marks = ("", "", "$", "US$", "USD ", "R$ ", "€", "x")
+    numbers = ("5", "0", "12.5", "1.234567", "1,234", "12,345,678.9", "9999999999999999", "12345678901234567", "1.2345678", "0.005", "-3", "1,23", "9999999999999999.995")
+    values = [pick.choice(marks) + pick.choice(numbers) + pick.choice(("", "", "k", "M", " B", "T", " ")) for _ in range(3000)]
+    df = spark.createDataFrame([(v,) for v in [*values, None]], "v string").select("v", rules.money("v").alias("m"))
+    assert [(r["v"], r["m"]) for r in df.collect() if r["m"] != exact(r["v"])] == []
+
+
+def test_is_name_equals_the_rules_one_by_one(spark):
+    def python(cell):
+        return (
+            cell is not None
+            and cell not in text.ABSENT_NAMES
+            and not re.search(text.NUMBER_AS_NAME, cell, re.ASCII)
+            and not (cell.startswith("/") or re.search(r"\.(jpg|jpeg|png)$", cell, re.I))
+            and 2 <= len(cell) <= 60
+        )
+
+    values = cells("a1.,/-Nn", 3000, 6) + ["x.JPG", "y.jpeg", "z.png.", "é" * 60, "é" * 61, "None", "n/a", "N/A"]
+    df = spark.createDataFrame([(v,) for v in values], "v string").select("v", rules.is_name("v").alias("t"))
+    assert [r["v"] for r in df.collect() if r["t"] != python(r["v"])] == []
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_dedup_equals_brute_force(spark, seed):
+    pick = random.Random(seed)
+    rows = [
+        (pick.randint(0, 60), pick.choice([None, "a", "b"]), pick.choice([None, 1, 2]), pick.choice([None, 5, 6]))
+        for _ in range(2000)
+    ]
+    df = spark.createDataFrame(rows, "k int, v string, w int, at int").repartition(5)
+    from hashlib import sha256
+
+    def order(row):
+        _, v, w, at = row
+        joined = "|".join(str(x) for x in (v, w) if x is not None)
+        return (
+            -(at if at is not None else -1),
+            -sum(x is not None for x in (v, w)),
+            sha256(joined.encode()).hexdigest(),
+            (v is not None, v or ""),
+            (w is not None, w or 0),
+        )
+
+    best = {}
+    for row in sorted(rows, key=order):
+        best.setdefault(row[0], row)
+    got = {r["k"]: tuple(r) for r in ops.keep_latest_and_most_complete(df, "k", "at").collect()}
+    assert got == best

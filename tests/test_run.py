@@ -2,7 +2,7 @@
 
 import json
 import random
-from datetime import UTC, datetime
+from datetime import UTC, date, datetime
 
 import pytest
 
@@ -71,6 +71,12 @@ def content(spark):
     return {t: sorted(map(str, spark.table(f"gold.{t}").collect())) for t in STAR}
 
 
+def test_last_week():
+    assert run.last_week(date(2026, 9, 20)) == (date(2026, 9, 13), date(2026, 9, 20))
+    start, end = run.last_week()
+    assert (end - start).days == 7
+
+
 def test_daily_runs(spark, tmp_path):
     first = land(tmp_path / "one", 1)
     rates = read_rate_json(spark, f"{first}/rates.json", "2026-09-13", "2026-09-20")

@@ -131,7 +131,7 @@ def test_user_reviews_compare_ratings_as_numbers(spark):
     ("cell", "genres"),
     [
         ("Comedy|Drama", {"Comedy", "Drama"}),
-        ("Drama, Never underestimate a nobody., /oajNi4Su39WAByHI6EONu8G8HYn.jpg", {"Drama"}),
+        ("Drama, Never underestimate a nobody., /abc.jpg", {"Drama"}),
         ("Science Fiction, TV Movie, 2013", {"Science Fiction", "TV Movie"}),
         ("Action, Action; Comedy", {"Action", "Comedy"}),
         (None, set()),

@@ -8,12 +8,13 @@ from lodestrata.sources.landing import (
     records_to_df,
     stamp_ingestion,
 )
-from lodestrata.sources.staging import stage, staging_folder
+from lodestrata.sources.staging import drop_staged, stage, staged_run, staging_folder
 from lodestrata.sources.tables import append_table, ensure_layers, ingest_files, overwrite_table
 
 __all__ = [
     "RATE_SCHEMA",
     "append_table",
+    "drop_staged",
     "ensure_layers",
     "ingest_files",
     "overwrite_table",
@@ -22,6 +23,7 @@ __all__ = [
     "read_rate_json",
     "records_to_df",
     "stage",
+    "staged_run",
     "staging_folder",
     "stamp_ingestion",
 ]

@@ -2,41 +2,59 @@
 
 A staged table cuts the lineage: later steps read files every executor can reach, so a lost executor
 costs the rerun of its tasks and never of the steps before.
+
+Every application has one folder of its own. ``staged_run`` drops what was staged inside it, also
+after an error; ``drop_staged`` drops everything the application has staged.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SHARED_FOLDER_SETTING = "spark.checkpoint.dir"
-_local_folders: dict[str, str] = {}
+_WAREHOUSE_SETTING = "spark.sql.warehouse.dir"
+_runs: list[str] = []
 
 
 def staging_folder(spark: SparkSession) -> str:
-    """The folder for staged tables: the cluster's checkpoint folder.
+    """The folder of this application's staged tables.
 
-    Only a session that runs inside one machine may do without the setting; it gets a temporary
-    folder, the same one for the life of the application.
+    It lies in the cluster's checkpoint folder, or, where none is set, in the warehouse: both are
+    places every executor reaches, whatever the master is.
     """
-    shared = spark.conf.get(_SHARED_FOLDER_SETTING, None)
-    if shared:
-        return f"{shared.rstrip('/')}/lodestrata"
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(
-            f"{_SHARED_FOLDER_SETTING} is not set: staged tables need a folder all executors share"
-        )
-    application = spark.sparkContext.applicationId
-    if application not in _local_folders:
-        _local_folders[application] = tempfile.mkdtemp(prefix="lodestrata-")
-    return _local_folders[application]
+    shared = spark.conf.get(_SHARED_FOLDER_SETTING, None) or spark.conf.get(_WAREHOUSE_SETTING)
+    return f"{shared.rstrip('/')}/lodestrata/{spark.sparkContext.applicationId}"
 
 
 def stage(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table of its own in the staging folder and read it back."""
     spark = df.sparkSession
-    path = f"{staging_folder(spark)}/{uuid.uuid4().hex}"
+    path = "/".join([_runs[-1] if _runs else staging_folder(spark), uuid.uuid4().hex])
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staged_run(spark: SparkSession) -> Iterator[str]:
+    """Tables staged inside are dropped at the end, also after an error."""
+    folder = f"{staging_folder(spark)}/run-{uuid.uuid4().hex}"
+    _runs.append(folder)
+    try:
+        yield folder
+    finally:
+        _runs.remove(folder)
+        _delete(spark, folder)
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Drop all tables this application has staged; frames over them can no longer be read."""
+    _delete(spark, staging_folder(spark))
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -84,19 +84,35 @@ def test_staged_tables_lie_in_the_shared_folder(spark):
 
 
 class _Session:
-    """A session without the setting, on a given master."""
+    """A session on a given master, with the warehouse as its only shared folder."""
 
     def __init__(self, master):
         self.conf = self
         self.sparkContext = self
         self.master = master
-        self.applicationId = f"app-of-{master}"
+        self.applicationId = "app"
 
-    def get(self, _name, default=None):
-        return default
+    def get(self, name, default=None):
+        return "/shared/warehouse" if name == "spark.sql.warehouse.dir" else default
 
 
-def test_a_cluster_without_a_shared_folder_is_refused():
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        sources.staging_folder(_Session("yarn"))
-    assert sources.staging_folder(_Session("local[2]")) == sources.staging_folder(_Session("local[2]"))
+@pytest.mark.parametrize("master", ["local[2]", "local-cluster[2,1,1024]", "yarn"])
+def test_without_a_checkpoint_folder_the_warehouse_holds_staged_tables(master):
+    assert sources.staging_folder(_Session(master)) == "/shared/warehouse/lodestrata/app"
+
+
+def _files(spark, folder):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [str(f.getPath()) for f in system.listStatus(path)] if system.exists(path) else []
+
+
+def test_a_run_drops_what_it_staged(spark):
+    with sources.staged_run(spark) as folder:
+        assert sources.stage(spark.range(3)).count() == 3
+        assert len(_files(spark, folder)) == 1
+    assert _files(spark, folder) == []
+    with pytest.raises(ValueError), sources.staged_run(spark) as folder:
+        sources.stage(spark.range(3))
+        raise ValueError
+    assert _files(spark, folder) == []

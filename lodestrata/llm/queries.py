@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestrata.llm import mixing, secrets
+from lodestrata.llm import byte_bpe, mixing, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -31,6 +31,11 @@ def op1_mixing(docs):
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@on("documents")
+def op4_byte_bpe(docs):
+    return byte_bpe.round_trip(docs)
+
+
 @on("documents")
 def op8_secrets(docs):
     return secrets.scan_secrets(docs)

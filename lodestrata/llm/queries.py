@@ -7,18 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestrata.llm import byte_bpe, mixing, secrets
+from lodestrata.llm import byte_bpe, mixing, secrets, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def on(table: str) -> Callable:
-    """Register a query on one driver table, under its function name."""
+def on(*tables: str) -> Callable:
+    """Register a query on driver tables, under its function name."""
 
     def register(build: Callable[[DataFrame], DataFrame]) -> Callable:
         def query(spark: SparkSession, folder: str) -> DataFrame:
-            return build(spark.read.parquet(f"{folder.rstrip('/')}/{table}.parquet"))
+            return build(*(spark.read.parquet(f"{folder.rstrip('/')}/{t}.parquet") for t in tables))
 
         QUERIES[build.__name__] = query
         return build
@@ -36,6 +36,11 @@ def op4_byte_bpe(docs):
     return byte_bpe.round_trip(docs)
 
 
+@on("documents", "labels")
+def op7_toxicity(docs, labels):
+    return toxicity.classify(docs, labels).select("doc_id", "held_out", "score", "predicted")
+
+
 @on("documents")
 def op8_secrets(docs):
     return secrets.scan_secrets(docs)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestrata.llm import byte_bpe, mixing, secrets, toxicity
+from lodestrata.llm import byte_bpe, jaccard_join, mixing, secrets, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -36,6 +36,11 @@ def op4_byte_bpe(docs):
     return byte_bpe.round_trip(docs)
 
 
+@on("documents")
+def op5_jaccard_join(docs):
+    return jaccard_join.jaccard_components(docs)
+
+
 @on("documents", "labels")
 def op7_toxicity(docs, labels):
     return toxicity.classify(docs, labels).select("doc_id", "held_out", "score", "predicted")

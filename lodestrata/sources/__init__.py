@@ -8,12 +8,20 @@ from lodestrata.sources.landing import (
     records_to_df,
     stamp_ingestion,
 )
-from lodestrata.sources.staging import drop_staged, stage, staged_run, staging_folder
+from lodestrata.sources.staging import (
+    drop_folder,
+    drop_staged,
+    stage,
+    staged_run,
+    staging_folder,
+    staging_into,
+)
 from lodestrata.sources.tables import append_table, ensure_layers, ingest_files, overwrite_table
 
 __all__ = [
     "RATE_SCHEMA",
     "append_table",
+    "drop_folder",
     "drop_staged",
     "ensure_layers",
     "ingest_files",
@@ -25,5 +33,6 @@ __all__ = [
     "stage",
     "staged_run",
     "staging_folder",
+    "staging_into",
     "stamp_ingestion",
 ]

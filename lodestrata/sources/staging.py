@@ -39,22 +39,32 @@ def stage(df: DataFrame) -> DataFrame:
 
 
 @contextmanager
-def staged_run(spark: SparkSession) -> Iterator[str]:
-    """Tables staged inside are dropped at the end, also after an error."""
+def staging_into(spark: SparkSession) -> Iterator[str]:
+    """Tables staged inside lie in a folder of their own, which stays: see ``drop_folder``."""
     folder = f"{staging_folder(spark)}/run-{uuid.uuid4().hex}"
     _runs.append(folder)
     try:
         yield folder
     finally:
         _runs.remove(folder)
-        _delete(spark, folder)
+
+
+@contextmanager
+def staged_run(spark: SparkSession) -> Iterator[str]:
+    """Tables staged inside are dropped at the end, also after an error."""
+    with staging_into(spark) as folder:
+        try:
+            yield folder
+        finally:
+            drop_folder(spark, folder)
 
 
 def drop_staged(spark: SparkSession) -> None:
     """Drop all tables this application has staged; frames over them can no longer be read."""
-    _delete(spark, staging_folder(spark))
+    drop_folder(spark, staging_folder(spark))
 
 
-def _delete(spark: SparkSession, folder: str) -> None:
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of staged tables, wherever the cluster keeps it."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

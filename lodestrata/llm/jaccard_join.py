@@ -23,8 +23,9 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lodestrata.llm.components import components
 from lodestrata.llm.words import mixed, pieces, words_of
@@ -374,3 +375,41 @@ def jaccard_components(
         nameless = _per_text(rows.filter("id IS NULL"), make, "id long, n int, component_id long")
         result = result.unionByName(nameless)
     return result.select(F.col("id").alias(id), F.col("n").cast("long").alias("n_shingles"), "component_id")
+
+
+def one_of_each(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT
+) -> DataFrame:
+    """One row of each group of linked texts: the one with the smallest id; rows that repeat it go too.
+
+    Rows without words link with nothing and stay, and so do rows without id. All columns are kept.
+    """
+    rows = docs.select(F.col(id).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    members, links = join_classes(rows.filter("id IS NOT NULL"), words, percent)
+    found = components(links, "a", "b")
+    classes = members.filter("n > 0").groupBy("n", "class").agg(F.min("id").alias("node"))
+    chosen = stage(
+        classes.join(found, "node", "left")
+        .filter(F.coalesce("component", "node") == F.col("node"))
+        .select(F.col("node").alias("_id"), F.col("n").alias("_n"), F.col("class").alias("_class"), F.lit(True).alias("_chosen"))
+    )
+    frame = docs.select("*", F.col(id).cast("long").alias("_id"), F.col(text).alias("_text"))
+    names = [*docs.columns, "_id", "_n", "_class"]
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, classes = [], []
+            for _, texts in pieces(batch.column(len(names) - 2)):
+                shingles, firsts = shingle_sets(texts, words)
+                sizes.append(np.diff(firsts).astype(np.int32))
+                classes.append(set_hashes(shingles, firsts))
+            if sizes:
+                added = [pa.array(np.concatenate(x)) for x in (sizes, classes)]
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *added], names)
+
+    fields = [*frame.schema.fields[:-1], T.StructField("_n", T.IntegerType()), T.StructField("_class", T.LongType())]
+    marked = frame.mapInArrow(task, T.StructType(fields)).join(chosen, ["_id", "_n", "_class"], "left")
+    place = F.row_number().over(Window.partitionBy("_id", "_n", "_class").orderBy(text))
+    alone = F.col("_id").isNull() | (F.col("_n") == 0)
+    linked = marked.filter(~alone & F.col("_chosen")).withColumn("_place", place).filter("_place = 1")
+    return linked.select(*docs.columns).unionByName(marked.filter(alone).select(*docs.columns))

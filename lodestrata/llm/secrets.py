@@ -220,15 +220,16 @@ def redact(
         .filter(F.size("live") > 0)
         .select(F.col("_row").alias("_mark"), F.array_distinct("live").alias("_live"))
     )
-    frame = keyed.join(judged, "_mark", "left").select(*docs.columns, "_live")
+    names = docs.columns
+    frame = keyed.join(judged, "_mark", "left").select(*names, "_live")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place = docs.columns.index(text)
+        place = names.index(text)
         for batch in batches:
             columns = list(batch.columns)
             texts, lives = columns[place].to_pylist(), columns.pop().to_pylist()
             covered = [mask(t, s) if s else t for t, s in zip(texts, lives, strict=True)]
             columns[place] = pa.array(covered, columns[place].type)
-            yield pa.RecordBatch.from_arrays(columns, docs.columns)
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     return frame.mapInArrow(task, docs.schema)

@@ -37,7 +37,7 @@ VOCABULARY = "byte_bpe_50k.tiktoken"
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Bytes of text encoded at once, bytes of new words in one recursive query, encoded words a worker
 #: remembers, ids in one decoding query.
-SLICE_BYTES, WORD_BYTES, REMEMBERED, IDS = 1 << 22, 1 << 18, 200_000, 1 << 18
+SLICE_BYTES, WORD_BYTES, REMEMBERED, IDS = 1 << 21, 1 << 18, 150_000, 1 << 18
 
 #: From this many bytes on a word is long.
 LONG = 48
@@ -244,18 +244,23 @@ def _slices(batch: pa.RecordBatch, column: int, most: int) -> Iterator[pa.Record
         start, before = end, int(ends[end - 1])
 
 
-def _added(docs: DataFrame, name: str, kind: str, column: str, make, most: int) -> DataFrame:
-    """``docs`` with a column made from another one by ``make(codec, array)``, a slice of rows at a time."""
-    plain = docs.drop(name)
+def _added(docs: DataFrame, added: dict[str, T.DataType], column: str, make, most: int) -> DataFrame:
+    """``docs`` with columns that ``make(array)`` gives for another one, a slice of rows at a time."""
+    plain = docs.drop(*added)
     frame = plain.select("*", F.col(column).alias("_from"))
-    names = [*plain.columns, name]
+    names = [*plain.columns, *added]
+    place = len(plain.columns)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in _slices(batch, len(names) - 1, most):
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], make(part.column(len(names) - 1))], names)
+            for part in _slices(batch, place, most):
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], *make(part.column(place))], names)
 
-    return frame.mapInArrow(task, T.StructType([*plain.schema.fields, T.StructField(name, kind)]))
+    fields = [T.StructField(name, kind) for name, kind in added.items()]
+    return frame.mapInArrow(task, T.StructType([*plain.schema.fields, *fields]))
+
+
+IDS_TYPE = T.ArrayType(T.IntegerType())
 
 
 def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
@@ -264,20 +269,32 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
     ``path`` must be readable on every executor. A missing or empty text has an empty array. Text that looks
     like a special token is ordinary text. A column that is already named ``ids`` is replaced.
     """
-    make = lambda texts: codec(path).encode(texts.to_pylist())
-    return _added(docs, ids, T.ArrayType(T.IntegerType()), text, make, SLICE_BYTES)
+    make = lambda texts: [codec(path).encode(texts.to_pylist())]
+    return _added(docs, {ids: IDS_TYPE}, text, make, SLICE_BYTES)
 
 
 def decode(rows: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """The rows with the bytes of their ids (``binary``); missing or empty ids give no bytes."""
-    make = lambda lists: pa.array(codec(path).decode(lists), pa.binary())
-    return _added(rows, decoded, T.BinaryType(), ids, make, IDS)
+    make = lambda lists: [pa.array(codec(path).decode(lists), pa.binary())]
+    return _added(rows, {decoded: T.BinaryType()}, ids, make, IDS)
+
+
+def encode_decode(
+    docs: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded"
+) -> DataFrame:
+    """``decode(encode(docs))`` with one worker, and so one database, per task instead of two."""
+
+    def make(texts: pa.Array) -> list[pa.Array]:
+        encoded = codec(path).encode(texts.to_pylist())
+        return [encoded, pa.array(codec(path).decode(encoded), pa.binary())]
+
+    return _added(docs, {ids: IDS_TYPE, decoded: T.BinaryType()}, text, make, SLICE_BYTES)
 
 
 def round_trip(docs: DataFrame, path: str | None = None, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row ``doc_id, n_tokens, ids_sha256, decoded_sha256``: digests of the ids and of the decoded bytes."""
     path = path or public_tokenizers.path(VOCABULARY)
-    both = decode(encode(docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text")), path), path)
+    both = encode_decode(docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text")), path)
     return both.select(
         F.col("doc_id").alias(id),
         F.size("ids").cast("long").alias("n_tokens"),

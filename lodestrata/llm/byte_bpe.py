@@ -245,9 +245,12 @@ def _slices(batch: pa.RecordBatch, column: int, most: int) -> Iterator[pa.Record
 
 
 def _added(docs: DataFrame, added: dict[str, T.DataType], column: str, make, most: int) -> DataFrame:
-    """``docs`` with columns that ``make(array)`` gives for another one, a slice of rows at a time."""
-    plain = docs.drop(*added)
-    frame = plain.select("*", F.col(column).alias("_from"))
+    """``docs`` with columns that ``make(array)`` gives for another one, a slice of rows at a time.
+
+    The other one is taken out if it is named ``_from``.
+    """
+    plain = docs.drop(*added, "_from")
+    frame = docs.select(*plain.columns, F.col(column).alias("_from"))
     names = [*plain.columns, *added]
     place = len(plain.columns)
 
@@ -294,7 +297,7 @@ def encode_decode(
 def round_trip(docs: DataFrame, path: str | None = None, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row ``doc_id, n_tokens, ids_sha256, decoded_sha256``: digests of the ids and of the decoded bytes."""
     path = path or public_tokenizers.path(VOCABULARY)
-    both = encode_decode(docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text")), path)
+    both = encode_decode(docs.select(F.col(id).alias("doc_id"), F.col(text).alias("_from")), path, "_from")
     return both.select(
         F.col("doc_id").alias(id),
         F.size("ids").cast("long").alias("n_tokens"),

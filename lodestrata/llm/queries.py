@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lodestrata.llm import byte_bpe, jaccard_join, licenses, mixing, secrets, toxicity
+from lodestrata.llm import byte_bpe, jaccard_join, licenses, mixing, secrets, spotsigs, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -32,6 +32,11 @@ def op1_mixing(docs):
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@on("documents")
+def op2_spotsigs(docs):
+    return spotsigs.fingerprint_edits(docs)
+
+
 @on("documents")
 def op3_licenses(docs):
     return licenses.scan_licenses(docs).drop("matches")

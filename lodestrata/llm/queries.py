@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lodestrata.llm import byte_bpe, jaccard_join, licenses, mixing, secrets, spotsigs, toxicity
+from lodestrata.llm import byte_bpe, jaccard_join, licenses, mixing, neighbours, secrets, spotsigs, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -62,6 +62,11 @@ def op8_secrets(docs):
     return secrets.scan_secrets(docs)
 
 
+@on("embeddings")
+def op10_neighbours(embeddings):
+    return neighbours.nearest_neighbours(embeddings)
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

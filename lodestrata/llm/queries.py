@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lodestrata.llm import byte_bpe, jaccard_join, licenses, mixing, neighbours, secrets, spotsigs, toxicity
+from lodestrata.llm import byte_bpe, chunk_dedup, jaccard_join, licenses, mixing, neighbours, secrets, spotsigs, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -52,6 +52,11 @@ def op5_jaccard_join(docs):
     return jaccard_join.jaccard_components(docs)
 
 
+@on("documents")
+def op6_chunk_dedup(docs):
+    return chunk_dedup.repeated_passages(docs)
+
+
 @on("documents", "labels")
 def op7_toxicity(docs, labels):
     return toxicity.classify(docs, labels).select("doc_id", "held_out", "score", "predicted")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lodestrata.llm import byte_bpe, chunk_dedup, jaccard_join, licenses, mixing, neighbours, secrets, spotsigs, toxicity
+from lodestrata.llm import byte_bpe, chunk_dedup, jaccard_join, licenses, line_crf, mixing, neighbours, secrets, spotsigs, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -67,6 +67,11 @@ def op8_secrets(docs):
     return secrets.scan_secrets(docs)
 
 
+@on("documents", "labels")
+def op9_line_crf(docs, labels):
+    return line_crf.classify(docs, labels).select("doc_id", "held_out", "score", "predicted")
+
+
 @on("embeddings")
 def op10_neighbours(embeddings):
     return neighbours.nearest_neighbours(embeddings)

@@ -22,7 +22,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from lodestrata.llm.labelled import labelled_sample, logistic
 from lodestrata.llm.words import LETTERS, Words, mixed, pieces, words_of
 
 LENGTH, STRIDE = 16, 8
@@ -269,19 +271,6 @@ def _shares(bucket: np.ndarray, text: np.ndarray, labels: np.ndarray) -> np.ndar
     return (ratio * (a + b) / (a + b + PRIOR_COUNT)).astype(np.float32)
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of a weighted logistic fit of one variable, by Newton steps with a weak pull to 1 and 0."""
-    a, b = 1.0, 0.0
-    for _ in range(50):
-        q = 1 / (1 + np.exp(-(a * x + b)))
-        e, c = weight * (q - y), weight * q * (1 - q)
-        grad = np.array([(e * x).sum() + 0.5 * (a - 1), e.sum() + 0.5 * b])
-        hess = np.array([[(c * x * x).sum() + 0.5, (c * x).sum()], [(c * x).sum(), c.sum() + 0.5]])
-        step = np.clip(np.linalg.solve(hess, grad), -2, 2)
-        a, b = a - step[0], b - step[1]
-    return max(float(a), 1e-3), float(b)
-
-
 def train(texts: list[str], labels: list[int], toxic_share: float, epochs: int = 6, seed: int = 7) -> Network:
     """A network from labelled texts; ``toxic_share`` is the share of toxic rows among all labelled ones.
 
@@ -357,7 +346,7 @@ def train(texts: list[str], labels: list[int], toxic_share: float, epochs: int =
     x, t = logits[kept_out].astype(float), y[kept_out]
     if t.any() and not t.all():
         weight = np.where(t, share / t.mean(), (1 - share) / (1 - t.mean()))
-        net.slope, net.offset = _logistic(x, t.astype(float), weight)
+        net.slope, net.offset = logistic(x, t.astype(float), weight)
     return net
 
 
@@ -389,29 +378,8 @@ def fit(
 
     ``labels`` may name an id more than once; the highest label counts. Missing labels and ids are left out.
     """
-    known = (
-        labels.select(F.col(id).alias("_id"), F.col(label).cast("int").alias("_label"))
-        .filter(F.col("_id").isNotNull() & F.col("_label").isNotNull() & ~held_out("_id"))
-        .groupBy("_id")
-        .agg(F.max("_label").alias("_label"))
-    )
-    counts = {row["_label"]: row["n"] for row in known.groupBy("_label").agg(F.count("*").alias("n")).collect()}
-    mark = F.xxhash64(F.lit(11), "_id")
-    chosen = None
-    for value in (0, 1):
-        part = known.filter(F.col("_label") == value).orderBy(mark, "_id").limit(sample)
-        chosen = part if chosen is None else chosen.unionByName(part)
-    rows = (
-        docs.select(F.col(id).alias("_id"), F.col(text).alias("_text"))
-        .join(F.broadcast(chosen), "_id")  # at most two samples of (id, label)
-        .orderBy("_id", "_text")
-        .limit(4 * sample)
-        .select("_text", "_label")
-        .collect()
-    )
-    total = counts.get(0, 0) + counts.get(1, 0)
-    share = counts.get(1, 0) / total if total else 0.1
-    return train([row[0] or "" for row in rows], [row[1] for row in rows], share)
+    rows, share = labelled_sample(docs, labels, id, text, label, sample, held_out)
+    return train([row[0] for row in rows], [row[1] for row in rows], share)
 
 
 def score(docs: DataFrame, network: Network, text: str = "text", output: str = "score") -> DataFrame:
@@ -419,14 +387,13 @@ def score(docs: DataFrame, network: Network, text: str = "text", output: str = "
     plain = docs.drop(output)
     frame = plain.select("*", F.col(text).alias("_text"))
     names = [*plain.columns, output]
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema.fields)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             scores = network.probabilities(batch.column(len(names) - 1))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(scores, pa.float64())], names)
 
-    return frame.mapInArrow(task, ", ".join(filter(None, [kept, f"`{output}` double"])))
+    return frame.mapInArrow(task, T.StructType([*plain.schema.fields, T.StructField(output, T.DoubleType())]))
 
 
 def classify(

@@ -32,7 +32,9 @@ STATE, ATTENTION, VECTOR = 6, 6, 6
 TABLE_BITS, SHARE_BITS = 14, 17
 GRAMS = (3, 5)
 #: Labelled rows of each label that are used for training.
-SAMPLE = 3000
+SAMPLE = 2000
+#: Distinct words whose inputs are gathered at once, and texts whose n-grams are counted at once.
+WORDS_AT_ONCE, TEXTS_AT_ONCE = 1 << 15, 100
 THRESHOLD = 0.3
 PRIOR_COUNT = 4.0
 
@@ -124,16 +126,19 @@ class Network:
         """One row per distinct word: word vector, word share, mean n-gram vector, highest n-gram share."""
         if not len(x.word):
             return np.zeros((0, 2 * (VECTOR + 1)), dtype=np.float32)
-        counts = np.diff(np.append(x.first, len(x.gram)))[:, None]
-        vectors = self.p["gram"][_buckets(x.gram, TABLE_BITS)]
-        return np.hstack(
-            [
-                self.p["word"][_buckets(x.word, TABLE_BITS)],
-                self.word_share[_buckets(x.word, SHARE_BITS), None],
-                np.add.reduceat(vectors, x.first) / counts,
-                np.maximum.reduceat(self.gram_share[_buckets(x.gram, SHARE_BITS)], x.first)[:, None],
-            ]
-        ).astype(np.float32)
+        bounds = np.append(x.first, len(x.gram))
+        out = np.empty((len(x.word), 2 * (VECTOR + 1)), dtype=np.float32)
+        for k in range(0, len(x.word), WORDS_AT_ONCE):
+            words = x.word[k : k + WORDS_AT_ONCE]
+            begin = bounds[k : k + len(words)]
+            gram = x.gram[begin[0] : bounds[k + len(words)]]
+            counts = np.diff(bounds[k : k + len(words) + 1])[:, None]
+            rows = out[k : k + len(words)]
+            rows[:, :VECTOR] = self.p["word"][_buckets(words, TABLE_BITS)]
+            rows[:, VECTOR] = self.word_share[_buckets(words, SHARE_BITS)]
+            rows[:, VECTOR + 1 : -1] = np.add.reduceat(self.p["gram"][_buckets(gram, TABLE_BITS)], begin - begin[0]) / counts
+            rows[:, -1] = np.maximum.reduceat(self.gram_share[_buckets(gram, SHARE_BITS)], begin - begin[0])
+        return out
 
     def suspicion(self, x: Inputs) -> np.ndarray:
         f = self.features(x)
@@ -260,17 +265,35 @@ class _Adam:
             p[name] -= self.rate * (m / (1 - 0.9**self.n)) / (np.sqrt(v / (1 - 0.99**self.n)) + 1e-6)
 
 
-def _shares(bucket: np.ndarray, text: np.ndarray, labels: np.ndarray) -> np.ndarray:
-    """By bucket: log of how much larger the share of toxic texts with it is than that of clean ones, drawn to 0
-    where few texts have it."""
+def _counts(bucket: np.ndarray, text: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """By label and bucket: texts with it."""
     pairs = np.unique(bucket * len(labels) + text)
     bucket, toxic = pairs // len(labels), labels[pairs % len(labels)]
-    n = 1 << SHARE_BITS
-    a, b = np.bincount(bucket[toxic], minlength=n), np.bincount(bucket[~toxic], minlength=n)
-    ratio = np.log((a + 0.5) / (toxic_n := max(1, labels.sum()))) - np.log((b + 0.5) / max(1, len(labels) - toxic_n))
+    return np.stack([np.bincount(bucket[toxic == y], minlength=1 << SHARE_BITS) for y in (False, True)])
+
+
+def _shares(counts: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """By bucket: log of how much larger the share of toxic texts with it is than that of clean ones, drawn to 0
+    where few texts have it."""
+    b, a = counts
+    ratio = np.log((a + 0.5) / max(1, labels.sum())) - np.log((b + 0.5) / max(1, (~labels).sum()))
     return (ratio * (a + b) / (a + b + PRIOR_COUNT)).astype(np.float32)
 
 
+def _all_words(texts: list[str]) -> Words:
+    """``words_of`` all texts, a slice at a time."""
+    parts = [words_of(part, LETTERS) for _, part in pieces(pa.array(texts, pa.string()))]
+    data = np.cumsum([0, *(len(p.data) for p in parts)])
+    words = np.cumsum([0, *(len(p.starts) for p in parts)])
+    return Words(
+        np.concatenate([p.data for p in parts]),
+        np.concatenate([p.starts + at for p, at in zip(parts, data, strict=False)]),
+        np.concatenate([p.ends + at for p, at in zip(parts, data, strict=False)]),
+        np.concatenate([p.hashes for p in parts]),
+        np.append(np.concatenate([p.firsts[:-1] + at for p, at in zip(parts, words, strict=False)]), words[-1]),
+    )
+
+
 def train(texts: list[str], labels: list[int], toxic_share: float, epochs: int = 6, seed: int = 7) -> Network:
     """A network from labelled texts; ``toxic_share`` is the share of toxic rows among all labelled ones.
 
@@ -284,20 +307,25 @@ def train(texts: list[str], labels: list[int], toxic_share: float, epochs: int =
         net.p["score"][:] = 0
         return net
     rng = np.random.default_rng(seed)
-    words = words_of(pa.array(texts), LETTERS)
+    words = _all_words(texts)
     inputs, place = distinct_words(words)
     text_of_word = np.repeat(np.arange(len(texts)), np.diff(words.firsts))
     kept_out = rng.random(len(texts)) < 0.2
     used = ~kept_out[text_of_word]
     # Shares of words and of n-grams, by the texts they stand in; the kept-out texts take no part.
-    pair = np.unique(place[used] * len(texts) + text_of_word[used])
-    word, text = pair // len(texts), pair % len(texts)
-    net.word_share = _shares(_buckets(inputs.word, SHARE_BITS)[word], text, y)
     counts = np.diff(np.append(inputs.first, len(inputs.gram)))
-    at = np.repeat(inputs.first[word], counts[word]) + (
-        np.arange(int(counts[word].sum())) - np.repeat(np.cumsum(counts[word]) - counts[word], counts[word])
-    )
-    net.gram_share = _shares(_buckets(inputs.gram, SHARE_BITS)[at], np.repeat(text, counts[word]), y)
+    word_bucket, gram_bucket = _buckets(inputs.word, SHARE_BITS), _buckets(inputs.gram, SHARE_BITS)
+    of_words, of_grams = 0, 0
+    for k in range(0, len(texts), TEXTS_AT_ONCE):
+        part = slice(words.firsts[k], words.firsts[min(k + TEXTS_AT_ONCE, len(texts))])
+        pair = np.unique(place[part][used[part]] * len(texts) + text_of_word[part][used[part]])
+        word, text = pair // len(texts), pair % len(texts)
+        of_words = of_words + _counts(word_bucket[word], text, y)
+        at = np.repeat(inputs.first[word], counts[word]) + (
+            np.arange(int(counts[word].sum())) - np.repeat(np.cumsum(counts[word]) - counts[word], counts[word])
+        )
+        of_grams = of_grams + _counts(gram_bucket[at], np.repeat(text, counts[word]), y)
+    net.word_share, net.gram_share = _shares(of_words, y), _shares(of_grams, y)
 
     start, end, of = windows(words.firsts)
     firsts = np.searchsorted(of, np.arange(len(texts)))

@@ -9,11 +9,15 @@ copies are never paired. Classes are joined exactly at ``percent``:
   each. These are sorted into one list per shingle, in blocks of equal set size, by position inside a block.
   A probe skips the blocks whose size cannot link, and in a block all that lies behind the last position
   from which the overlap can still be reached.
+* **Shapes.** A set's shape counts its shingles by hash in a few buckets. Two shapes differ at most by as much
+  as their sets, so pairs whose shapes differ by more than linked sets may are left out: in the lists by a
+  shape of 8 buckets, then by one of 64.
 * **Answers from a similar set.** Sets that link are alike: what one of them links to, the others reach
-  through it. First each list compares its sets with one leader only (linear in the list). The links give
-  components; then only pairs from different components are candidates, since the others' answer (same
-  component) follows from the leader's. So a large group of near copies never makes all its pairs.
-* Every candidate pair is checked on its whole sets.
+  through it. First each set of a list is compared with the first possible partner only (linear in the
+  list). The links give components; then only pairs from different components are candidates, since the
+  others' answer (same component) follows from the leader's. So a large group of near copies never makes all
+  its pairs.
+* Every pair that is left is checked on its whole sets.
 * Links give components (``components.py``), and each document its smallest reachable id.
 """
 
@@ -33,7 +37,9 @@ from lodestrata.sources.staging import stage
 
 WORDS, PERCENT = 3, 90
 #: Counters of shingles (a fixed size), and how many tables of the result they are dealt to.
-COUNTER_BITS, SEGMENTS = 18, 256
+COUNTER_BITS, SEGMENTS = 20, 256
+#: Buckets of a shape in the lists and in the table of classes; pairs that a task looks at together.
+SMALL, LARGE, AT_ONCE = 8, 64, 1 << 20
 #: Classes a task remembers, to send the index entries of copies once.
 REMEMBERED = 200_000
 
@@ -88,31 +94,45 @@ def _per_text(frame: DataFrame, make: Callable, schema: str, end: Callable | Non
     return frame.mapInArrow(task, schema)
 
 
+def _shapes(shingles: np.ndarray, firsts: np.ndarray, buckets: int, kind: type) -> np.ndarray:
+    """(set, bucket) counts, as high as the type can hold; a cut count is still a bound from below."""
+    text = np.repeat(np.arange(len(firsts) - 1), np.diff(firsts))
+    bucket = (shingles >> np.uint64(8)).astype(np.int64) % buckets
+    counts = np.bincount(text * buckets + bucket, minlength=(len(firsts) - 1) * buckets)
+    return np.minimum(counts, np.iinfo(kind).max).astype(kind).reshape(-1, buckets)
+
+
+_CLASSES = "id long, n int, class long, shape binary, segment int, counts binary"
+
+
 def _classes_and_counters(rows: DataFrame, words: int) -> DataFrame:
-    """Rows of (id, n, class), and at the end of a task its counters as rows of (segment, counts)."""
+    """Rows of (id, n, class, shape), and at the end of a task its counters as rows of (segment, counts)."""
     size = 1 << COUNTER_BITS
-    schema = pa.schema(
-        [("id", pa.int64()), ("n", pa.int32()), ("class", pa.int64()), ("segment", pa.int32()), ("counts", pa.binary())]
-    )
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.int32(), pa.binary()]
+    schema = pa.schema([(part.split()[0], kind) for part, kind in zip(_CLASSES.split(", "), kinds, strict=True)])
+
+    def table(size: int, **columns: pa.Array) -> pa.Table:
+        return pa.table([columns.get(f.name, pa.nulls(size, f.type)) for f in schema], schema=schema)
 
     def make(state: dict, ids: pa.Array, texts: pa.Array) -> pa.Table:
         shingles, firsts = shingle_sets(texts, words)
         bucket = (shingles >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)
-        state["counts"] = state.get("counts", 0) + np.bincount(bucket, minlength=size)
-        n = np.diff(firsts).astype(np.int32)
-        nothing = pa.nulls(len(n))
-        columns = [ids, n, set_hashes(shingles, firsts), nothing.cast(pa.int32()), nothing.cast(pa.binary())]
-        return pa.table(columns, schema=schema)
+        if "counts" not in state:
+            state["counts"] = np.zeros(size, dtype="<i4")
+        np.add.at(state["counts"], bucket, 1)
+        shapes = _shapes(shingles, firsts, LARGE, np.uint16)
+        return table(
+            len(ids), id=ids, n=pa.array(np.diff(firsts).astype(np.int32)),
+            shape=pa.array([x.tobytes() for x in shapes], pa.binary()),
+            **{"class": pa.array(set_hashes(shingles, firsts))},
+        )
 
     def end(state: dict) -> pa.Table:
-        parts = state.get("counts", np.zeros(size, dtype=np.int64)).astype("<i8").reshape(SEGMENTS, -1)
-        used = [k for k in range(SEGMENTS) if parts[k].any()]
-        nothing = pa.nulls(len(used))
-        columns = [nothing.cast(pa.int64()), nothing.cast(pa.int32()), nothing.cast(pa.int64()),
-                   pa.array(used, pa.int32()), pa.array([parts[k].tobytes() for k in used], pa.binary())]
-        return pa.table(columns, schema=schema)
+        parts = state["counts"].reshape(SEGMENTS, -1) if state else np.zeros((0, 1))
+        raw = pa.array([part.tobytes() for part in parts], pa.binary())
+        return table(len(parts), segment=pa.array(range(len(parts)), pa.int32()), counts=raw)
 
-    return _per_text(rows, make, "id long, n int, class long, segment int, counts binary", end)
+    return _per_text(rows, make, _CLASSES, end)
 
 
 def _levels(counted: DataFrame) -> np.ndarray:
@@ -122,7 +142,7 @@ def _levels(counted: DataFrame) -> np.ndarray:
         total: dict[int, np.ndarray] = {}
         for batch in batches:
             for k, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                total[k] = total.get(k, 0) + np.frombuffer(raw, dtype="<i8")
+                total[k] = total.get(k, 0) + np.frombuffer(raw, dtype="<i4").astype("<i8")
         arrays = [pa.array(total.keys(), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())]
         yield pa.RecordBatch.from_arrays(arrays, ["segment", "counts"])
 
@@ -141,8 +161,11 @@ def _levels(counted: DataFrame) -> np.ndarray:
     return np.minimum(255, np.round(8 * np.log2(1 + excess))).astype(np.uint8)
 
 
+_ENTRY = "token long, n int, pos int, class long, shape long"
+
+
 def _entries(rows: DataFrame, words: int, percent: int, levels: np.ndarray) -> DataFrame:
-    """The index entries (token, n, pos, class) of every class, from the first shingles of its set."""
+    """The index entries (token, n, pos, class, shape) of every class, from the first shingles of its set."""
 
     def make(state: dict, _: pa.Array, texts: pa.Array) -> pa.Table:
         shingles, firsts = shingle_sets(texts, words, levels)
@@ -165,10 +188,11 @@ def _entries(rows: DataFrame, words: int, percent: int, levels: np.ndarray) -> D
                 "n": n[text].astype(np.int32),
                 "pos": pos.astype(np.int32),
                 "class": classes[text],
+                "shape": _shapes(shingles, firsts, SMALL, np.uint8).view("<i8").ravel()[text],
             }
         )
 
-    return _per_text(rows, make, "token long, n int, pos int, class long")
+    return _per_text(rows, make, _ENTRY)
 
 
 def _whole_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
@@ -194,7 +218,7 @@ def _shared_lists(entries: DataFrame) -> DataFrame:
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for columns in _whole_lists(batches):
-            token, n, _, group = columns
+            token, n, _, group, _ = columns
             again = np.zeros(len(token), dtype=bool)
             again[1:] = (token[1:] == token[:-1]) & (group[1:] == group[:-1]) & (n[1:] == n[:-1])
             columns = [c[~again] for c in columns]
@@ -202,86 +226,128 @@ def _shared_lists(entries: DataFrame) -> DataFrame:
             same = np.zeros(len(token) + 1, dtype=bool)
             same[1:-1] = token[1:] == token[:-1]
             keep = same[1:] | same[:-1]
-            yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in columns], ["token", "n", "pos", "class"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c[keep]) for c in columns], ["token", "n", "pos", "class", "shape"]
+            )
 
     # Equal entries of a class meet: a class has one position in a list.
-    placed = entries.repartition("token").sortWithinPartitions("token", "n", "pos", "class")
-    return placed.mapInArrow(task, "token long, n int, pos int, class long")
+    return _in_lists(entries).mapInArrow(task, _ENTRY)
+
 
+def _in_lists(entries: DataFrame) -> DataFrame:
+    return entries.repartition("token").sortWithinPartitions("token", "n", "pos", "class")
 
-def _overlap_needed(n: np.ndarray | int, m: np.ndarray | int, percent: int):
+
+def _overlap_needed(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
     return -((-percent * (n + m)) // (100 + percent))
 
 
+def _spread(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For rows that stand for ``counts`` items each: the row and the number inside it of every item."""
+    row = np.repeat(np.arange(len(counts)), counts)
+    return row, np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
+def _possible_pairs(token, n, pos, shape, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(later, earlier) places of entries of one list that may link, in order of the later one."""
+    n, pos = n.astype(np.int64), pos.astype(np.int64)
+    new_list = np.append(True, token[1:] != token[:-1])
+    new_block = new_list | np.append(True, n[1:] != n[:-1])
+    of_list, of_block = np.cumsum(new_list) - 1, np.cumsum(new_block) - 1
+    begin = np.flatnonzero(new_block)
+    block_key = (of_list[begin] << 32) | n[begin]
+    entry_key = (of_block << 32) | pos
+    # Blocks of a list from the smallest size that can link up to the entry's own.
+    lowest = np.searchsorted(block_key, (of_list << 32) | -((-percent * n) // 100))
+    counts = shape.view(np.uint8).reshape(-1, SMALL).astype(np.int16)
+    blocks_to = np.cumsum(of_block - lowest + 1)
+    start = 0
+    while start < len(n):
+        stop = max(start + 1, int(np.searchsorted(blocks_to, (blocks_to[start - 1] if start else 0) + AT_ONCE)))
+        row, nth = _spread((of_block - lowest + 1)[start:stop])
+        later, block = row + start, lowest[start:stop][row] + nth
+        size = n[begin[block]]
+        need = _overlap_needed(n[later], size, percent)
+        reach = np.searchsorted(entry_key, (block << 32) | np.maximum(size - need, -1), side="right")
+        reach = np.where(n[later] - pos[later] >= need, np.minimum(reach, later), 0)
+        length = np.maximum(reach - begin[block], 0)
+        ends = np.cumsum(length)
+        at = 0
+        while at < len(length):
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + AT_ONCE)))
+            row, nth = _spread(length[at:to])
+            k, j = later[at:to][row], begin[block[at:to][row]] + nth
+            differ = np.abs(counts[k] - counts[j]).sum(axis=1)
+            good = differ <= n[k] + n[j] - 2 * _overlap_needed(n[k], n[j], percent)
+            if good.any():
+                yield k[good], j[good]
+            at = to
+        start = stop
+
+
 def _candidates(lists: DataFrame, percent: int, leaders: bool) -> DataFrame:
-    """Pairs of classes from lists of (token, n, pos, class[, component]).
+    """Pairs of classes from lists of (token, n, pos, class, shape[, component]).
 
-    ``leaders``: each entry with the leader of its part of the list only. Otherwise all pairs that have
+    ``leaders``: for each entry one partner, the first one of its list. Otherwise all pairs that have
     different components.
     """
 
-    def pairs_of(n: np.ndarray, pos: np.ndarray, group: np.ndarray) -> Iterator[tuple]:
-        if leaders:
-            lead = 0
-            for k in range(1, len(n)):
-                need = _overlap_needed(int(n[lead]), int(n[k]), percent)
-                if 100 * n[lead] >= percent * n[k] and n[lead] - pos[lead] >= need and n[k] - pos[k] >= need:
-                    yield lead, [k]
-                else:
-                    lead = k
-            return
-        sizes, begins = np.unique(n, return_index=True)
-        ends = np.append(begins[1:], len(n))
-        for k in range(len(n)):
-            found = []
-            for size, begin, end in zip(sizes.tolist(), begins.tolist(), ends.tolist(), strict=True):
-                if size < n[k] or percent * size > 100 * n[k]:
-                    continue  # a block of sizes that cannot link, or that probes this one
-                need = _overlap_needed(int(n[k]), size, percent)
-                begin = max(begin, k + 1)
-                if begin >= end or n[k] - pos[k] < need or size - pos[begin] < need:
-                    continue
-                reach = begin + int(np.searchsorted(pos[begin:end], size - need, side="right"))
-                found.append(np.flatnonzero(group[begin:reach] != group[k]) + begin)
-            if found:
-                yield k, np.concatenate(found)
-
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["n", "class", "other_n", "other_class"]
         for columns in _whole_lists(batches):
-            token, n, pos, group = columns[:4]
-            label = columns[4] if len(columns) > 4 else group
-            first = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
-            left: list[int] = []
-            right: list[int] = []
-
-            def filled() -> pa.RecordBatch:
-                arrays = [n[left], group[left], n[right], group[right]]
-                return pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], names)
-
-            for begin, end in zip(first, np.append(first[1:], len(token)), strict=True):
-                part = slice(begin, end)
-                if not leaders and (label[part] == label[begin]).all():
-                    continue
-                for k, others in pairs_of(n[part], pos[part], label[part]):
-                    left += [begin + k] * len(others)
-                    right += [begin + int(x) for x in others]
-                    if len(left) >= 1 << 16:
-                        yield filled()
-                        left, right = [], []
-            if left:
-                yield filled()
-
-    placed = lists.repartition("token").sortWithinPartitions("token", "n", "pos", "class")
-    return placed.mapInArrow(task, "n int, class long, other_n int, other_class long").distinct()
+            token, n, pos, group, shape = columns[:5]
+            paired = np.zeros(len(n), dtype=bool)
+            for k, j in _possible_pairs(token, n, pos, shape, percent):
+                if leaders:
+                    first = np.unique(k, return_index=True)[1]
+                    paired[k[first]] = paired[j[first]] = True
+                    other = np.unique(j, return_index=True)[1]
+                    other = other[~paired[j[other]]]  # a partner of later ones only
+                    paired[j[other]] = True
+                    keep = np.concatenate([first, other])
+                else:
+                    keep = np.flatnonzero(columns[5][k] != columns[5][j])
+                if len(keep):
+                    k, j = k[keep], j[keep]
+                    arrays = [pa.array(x) for x in (n[k], group[k], n[j], group[j])]
+                    yield pa.RecordBatch.from_arrays(arrays, names)
+
+    return _in_lists(lists).mapInArrow(task, "n int, class long, other_n int, other_class long").distinct()
+
+
+def _near(pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose shapes do not differ by more than linked sets may."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m = (batch.column(k).to_numpy().astype(np.int64) for k in (2, 3))
+            shapes = [
+                np.frombuffer(b"".join(batch.column(k).to_pylist()), dtype="<u2").reshape(-1, LARGE).astype(np.int32)
+                for k in (4, 5)
+            ]
+            differ = np.abs(shapes[0] - shapes[1]).sum(axis=1)
+            good = pa.array(differ <= n + m - 2 * _overlap_needed(n, m, percent))
+            yield pa.RecordBatch.from_arrays([batch.column(k).filter(good) for k in (0, 1)], ["a", "b"])
+
+    return pairs.mapInArrow(task, "a long, b long")
 
 
 def _numbered(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs of classes as pairs of their ids, the smaller one first."""
-    a = classes.select("n", "class", F.col("id").alias("_a"))
-    b = classes.select(F.col("n").alias("other_n"), F.col("class").alias("other_class"), F.col("id").alias("_b"))
-    both = pairs.join(a, ["n", "class"]).join(b, ["other_n", "other_class"])
-    return both.select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b")).distinct()
+    """Pairs of classes by their ids, the smaller one first, with sizes and shapes."""
+
+    def side(n: str, group: str, mark: str) -> DataFrame:
+        return classes.select(
+            F.col("n").alias(n), F.col("class").alias(group), F.struct("id", F.col("n").alias("n"), "shape").alias(mark)
+        )
+
+    both = pairs.join(side("n", "class", "_x"), ["n", "class"]).join(
+        side("other_n", "other_class", "_y"), ["other_n", "other_class"]
+    )
+    low, high = F.least("_x", "_y"), F.greatest("_x", "_y")
+    return both.select(
+        low["id"].alias("a"), high["id"].alias("b"), low["n"].alias("n"), high["n"].alias("m"),
+        low["shape"].alias("shape_a"), high["shape"].alias("shape_b"),
+    ).dropDuplicates(["a", "b"])
 
 
 def _linked(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -312,13 +378,16 @@ def join_classes(rows: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     the smallest ids of classes. A class is identified by its size and a 64-bit hash of its set."""
     counted = stage(_classes_and_counters(rows, words))
     members = counted.filter(F.col("n").isNotNull()).select("id", "n", "class")
-    full = members.filter("n > 0")
-    classes = stage(full.groupBy("n", "class").agg(F.min("id").alias("id"), F.count("*").alias("members")))
+    shapes = counted.filter(F.col("n") > 0).groupBy("n", "class")
+    classes = stage(shapes.agg(F.min("id").alias("id"), F.min("shape").alias("shape")))
     lists = stage(_shared_lists(_entries(rows, words, percent, _levels(counted))))
 
-    firsts = lists.select("n", "class").distinct().join(classes, ["n", "class"]).select("id")
-    texts = stage(_texts(rows, firsts, classes, words))
-    pairs = stage(_numbered(_candidates(lists, percent, leaders=True), classes))
+    possible = stage(_candidates(lists, percent, leaders=True))
+    ends = possible.select("n", "class").unionByName(
+        possible.select(F.col("other_n").alias("n"), F.col("other_class").alias("class"))
+    )
+    texts = stage(_texts(rows, ends.distinct().join(classes, ["n", "class"]), words))
+    pairs = stage(_near(_numbered(possible, classes), percent))
     links = stage(_linked(pairs, texts, words, percent))
 
     found = components(links, "a", "b").withColumnRenamed("node", "id")
@@ -326,23 +395,23 @@ def join_classes(rows: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
         "n", "class", F.coalesce("component", "id").alias("component")
     )
     rest = _candidates(lists.join(labelled, ["n", "class"]).select(*lists.columns, "component"), percent, leaders=False)
-    others = _numbered(rest, classes).join(pairs, ["a", "b"], "left_anti")
-    more = stage(_linked(stage(others), texts, words, percent))
+    others = stage(_near(_numbered(rest, classes), percent).join(pairs, ["a", "b"], "left_anti"))
+    more = stage(_linked(others, texts, words, percent))
     return members, links.unionByName(more)
 
 
-def _texts(rows: DataFrame, ids: DataFrame, classes: DataFrame, words: int) -> DataFrame:
-    """One text per wanted class, by the class's smallest id; an id may have several texts."""
-    wanted = rows.join(ids.distinct(), "id", "left_semi")
+def _texts(rows: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """One text per wanted class (id, n, class); an id may have several texts."""
 
     def make(_: dict, ids: pa.Array, texts: pa.Array) -> pa.Table:
         shingles, firsts = shingle_sets(texts, words)
         n = np.diff(firsts).astype(np.int32)
         return pa.table({"id": ids, "text": texts, "n": n, "class": set_hashes(shingles, firsts)})
 
-    known = _per_text(wanted, make, "id long, text string, n int, class long")
-    one = known.join(classes.select("id", "n", "class"), ["id", "n", "class"])
-    return one.groupBy("id", "n", "class").agg(F.first("text").alias("text")).select("id", "text")
+    some = rows.join(wanted.select("id").distinct(), "id", "left_semi")
+    known = _per_text(some, make, "id long, text string, n int, class long")
+    one = known.join(wanted.select("id", "n", "class"), ["id", "n", "class"])
+    return one.groupBy("id", "n", "class").agg(F.min("text").alias("text")).select("id", "text")
 
 
 def jaccard_components(

@@ -4,7 +4,8 @@
    words; what is above is shared out again by weight (``source_targets``).
 2. Whole copies of a source fill its target as far as they fit. The rest of the budget is filled with
    documents counted by exact length: the same fraction of each length first, and the few words that
-   are then left by a bounded-knapsack dynamic program over the lengths (``fill_budget``).
+   are then left by a bounded-knapsack dynamic program over the lengths, in which a document may be taken
+   as often as the limit of repeats leaves open (``fill_budget``).
 3. Which documents of a length are taken is decided by a seeded hash (``mix``).
 
 Only counts per (source, length) meet in one task, never documents. A source of A words has at most
@@ -63,13 +64,15 @@ def _reachable(lengths: np.ndarray, counts: np.ndarray, budget: int, limit: int)
     return seen, by, items
 
 
-def fill_budget(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
+def fill_budget(lengths: np.ndarray, counts: np.ndarray, budget: int, repeats: int = 1) -> np.ndarray:
     """How many documents of each length to take, so that their words come nearest to ``budget``.
 
-    ``lengths`` are distinct and positive, ``budget`` at most all their words. Never above ``counts``.
+    ``lengths`` are distinct and positive, ``budget`` at most all their words. Never above ``counts`` times
+    ``repeats``.
     """
     order = np.argsort(-lengths, kind="stable")
     lengths, counts = lengths[order], counts[order]
+    most = counts * repeats
     total = int((lengths * counts).sum())
     taken = np.zeros_like(counts)
     if total and budget > 0:
@@ -79,10 +82,10 @@ def fill_budget(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndar
         for i, length in enumerate(lengths.tolist()):
             if left <= DYNAMIC_WORDS:
                 break
-            more = min(int(counts[i] - taken[i]), (left - DYNAMIC_WORDS) // length)
+            more = min(int(most[i] - taken[i]), (left - DYNAMIC_WORDS) // length)
             taken[i] += more
             left -= more * length
-        free = counts - taken
+        free = most - taken
         if left > 0 and free.any():
             # One document more than the budget may be nearer than any sum below it.
             limit = left + int(lengths[free > 0].min())
@@ -131,8 +134,9 @@ def _fill_source(rows: pd.DataFrame) -> pd.DataFrame:
     words, target = int(rows[SOURCE_SIZE].iloc[0]), float(rows[TARGET].iloc[0])
     goal = math.floor(target + 0.5)
     whole = goal // words
-    taken = fill_budget(rows[SIZE].to_numpy(), rows["_rows"].to_numpy(), goal - whole * words)
-    return rows[["_key", SIZE]].assign(_whole=whole, _extra=taken)
+    counts, open_repeats = rows["_rows"].to_numpy(), max(1, int(rows["_most"].iloc[0]) - whole)
+    taken = fill_budget(rows[SIZE].to_numpy(), counts, goal - whole * words, open_repeats)
+    return rows[["_key", SIZE]].assign(_whole=whole + taken // counts, _extra=taken % counts)
 
 
 def mix(
@@ -173,6 +177,7 @@ def mix(
     lengths = counts.filter(F.col(SIZE) > 0).groupBy("_key", SIZE).agg(F.sum("_rows").alias("_rows"))
     takes = stage(
         lengths.join(targets, "_key")
+        .withColumn("_most", F.lit(max_repeats))
         .groupBy("_key")
         .applyInPandas(_fill_source, "_key string, size long, _whole long, _extra long")
     )

@@ -1,0 +1,114 @@
+from collections import defaultdict
+
+import numpy as np
+import pytest
+
+from lodestrata.llm import mixing
+
+
+def nearest_sum(lengths, counts, budget):
+    sums = {0}
+    for length, count in zip(lengths, counts, strict=True):
+        sums = {s + k * length for s in sums for k in range(count + 1)}
+    return min(abs(s - budget) for s in sums)
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_the_budget_is_met_as_nearly_as_any_choice_could(seed):
+    rng = np.random.default_rng(seed)
+    lengths = rng.choice(np.arange(2, 60), rng.integers(1, 6), replace=False).astype(np.int64)
+    counts = rng.integers(1, 4, len(lengths)).astype(np.int64)
+    budget = int(rng.integers(0, (lengths * counts).sum() + 1))
+    taken = mixing.fill_budget(lengths, counts, budget)
+    assert (taken >= 0).all() and (taken <= counts).all()
+    whole = np.array([c * budget // int((lengths * counts).sum()) for c in counts])
+    rest = budget - int((lengths * whole).sum())
+    assert abs(int((lengths * taken).sum()) - budget) == nearest_sum(lengths, counts - whole, rest)
+
+
+def test_a_large_budget_is_met_exactly():
+    lengths = np.arange(1, 4000, dtype=np.int64)
+    counts = np.full(len(lengths), 1000, dtype=np.int64)
+    for budget in (1, 12_345, 10**9 + 7, 7_900_000_001):
+        assert int((mixing.fill_budget(lengths, counts, budget) * lengths).sum()) == budget
+
+
+def targets_by_hand(sizes, weights=3, most=3):
+    """The excess above each cap shared again by weight until none is above."""
+    names = sorted((s for s in sizes if s is not None), key=lambda s: [ord(c) for c in s]) + [s for s in sizes if s is None]
+    weight = {s: k % weights + 1 for k, s in enumerate(names)}
+    target, total = dict.fromkeys(names, 0.0), sum(sizes.values())
+    free = list(names)
+    while total > 1e-9 and free:
+        share = total / sum(weight[s] for s in free)
+        for s in free:
+            target[s] += share * weight[s]
+        total = sum(max(0, target[s] - most * sizes[s]) for s in free)
+        for s in free:
+            target[s] = min(target[s], most * sizes[s])
+        free = [s for s in free if target[s] < most * sizes[s]]
+    return target
+
+
+def rows_of(result):
+    return sorted((r["doc_id"] is not None, r["doc_id"], r["size"], r["target"], r["copies"], r["taken"]) for r in result.collect())
+
+
+def test_mix_meets_targets_and_repeats(documents):
+    rng = np.random.default_rng(1)
+    rows = [(i, "w " * int(rng.integers(1, 30)), f"s{i % 5}" if i % 7 else None) for i in range(300)]
+    rows += [(1000 + i, "same words here", "hot") for i in range(400)] + [(2000, "tiny", "\U0001f600"), (2001, "x", "￮")]
+    rows += [(2002, None, "s1"), (2003, "", "s1"), (2004, " \t\n", "s1"), (2004, " \t\n", "s1"), (2005, "nothing", "only")]
+    docs = documents(rows)
+    mixed = mixing.mix(docs)
+    assert [c for c in docs.columns if c not in mixing.ADDED] == mixed.columns[: len(docs.columns) - 1]
+    sizes, taken = defaultdict(int), defaultdict(int)
+    found = mixed.collect()
+    assert len(found) == len(rows)
+    for r in found:
+        assert r["size"] == len((r["text"] or "").split())
+        assert r["taken"] == r["copies"] * r["size"] <= 3 * r["size"]
+        sizes[r["source"]] += r["size"]
+        taken[r["source"]] += r["taken"]
+    expected = targets_by_hand(sizes)
+    for r in found:
+        assert r["source_size"] == sizes[r["source"]]
+        assert r["target"] == pytest.approx(expected[r["source"]])
+    assert sum(expected.values()) == pytest.approx(sum(sizes.values()))
+    for source, words in taken.items():
+        assert abs(words - expected[source]) <= 2, source
+    assert rows_of(mixed) == rows_of(mixing.mix(docs.repartition(7)))
+
+
+def test_odd_tables(documents):
+    assert mixing.mix(documents([])).collect() == []
+    only_empty = mixing.mix(documents([(1, None, None), (None, "", "a")])).collect()
+    assert [(r["size"], r["target"], r["taken"]) for r in only_empty] == [(0, 0.0, 0)] * 2
+    long = mixing.mix(documents([(1, "word " * 200_000, "a"), (2, "b", "b")])).collect()
+    assert sorted((r["size"], r["target"]) for r in long) == [(1, 3.0), (200_000, 199_998.0)]
+
+
+def test_a_copy_of_a_length_is_chosen_by_the_seed(documents):
+    rows = [(i, "a b c", "s") for i in range(40)] + [(100 + i, "a b", "t") for i in range(40)]
+    picks = [
+        sorted(r["doc_id"] for r in mixing.mix(documents(rows), seed=seed).filter("taken > 0 AND source = 's'").collect())
+        for seed in (1, 2)
+    ]
+    assert len(picks[0]) == len(picks[1]) and picks[0] != picks[1]
+
+
+def test_columns_of_the_query(spark, sf_dir):
+    from lodestrata.llm.queries import QUERIES
+
+    result = QUERIES["op1_mixing"](spark, sf_dir)
+    assert dict(result.dtypes) == {
+        "doc_id": "bigint", "size": "bigint", "source_size": "bigint", "target": "double", "taken": "bigint",
+    }
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source").collect()
+    source = {r["doc_id"]: r["source"] for r in docs}
+    taken, target = defaultdict(int), {}
+    for r in result.collect():
+        taken[source[r["doc_id"]]] += r["taken"]
+        target[source[r["doc_id"]]] = r["target"]
+    assert len(target) == len(set(source.values()))
+    assert all(abs(taken[s] - target[s]) <= max(20, 0.02 * target[s]) for s in target)

@@ -7,8 +7,8 @@
   probes is the least number that finds ``RECALL`` of the neighbours in the sample. These are farther than
   the neighbours in the whole table, so the number is on the safe side.
 * In a probed list distances grow block of columns by block of columns. After each block a hypothesis test
-  (is the distance above the bound, given so many of its dimensions?) abandons candidates. The bound is the
-  distance of the query's k-th neighbour in a seed of the sample.
+  (is the distance above the bound, given so many of its dimensions?) abandons candidates. The bound is a
+  distance within which the probed lists hold ``k`` rows of a seed of the sample, and ``SPARE`` more.
 * What is left is scored exactly, by the inner product of the original vectors, and ranked by Spark.
 
 A list is cut into shards and the queries of a list into blocks of a fixed size, so no group grows with the
@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodestrata.sources.staging import stage
+
 #: Vectors that lists are fitted on, those that give a query its first bound, and queries that are tried.
 SAMPLE, SEED, TRIED = 20_000, 2_000, 400
 #: Largest number of lists, candidates in a shard, queries in a block.
@@ -35,6 +37,8 @@ LISTS, SHARD, QUERIES = 4096, 8192, 2048
 RECALL = 0.97
 #: Columns of a block, and deviations that the test allows.
 COLUMNS, DEVIATIONS = 16, 2.1
+#: Rows of the seed beyond k that lie within a query's bound, in case the test abandons one wrongly.
+SPARE = 10
 
 
 def usable(vectors: DataFrame, id: str, vector: str) -> DataFrame:
@@ -65,14 +69,22 @@ class Index:
         last = np.sqrt(np.maximum(self.longest - (x * x).sum(axis=1), 0)) if candidates else np.zeros(len(x))
         return np.column_stack([x, last]) @ self.rotation
 
-    def nearest(self, x: np.ndarray, n: int) -> np.ndarray:
-        """The ``n`` nearest lists of rotated vectors."""
-        return np.argsort(squared(x, self.centres), axis=1, kind="stable")[:, :n]
+    def lists(self, x: np.ndarray) -> np.ndarray:
+        """The list of each rotated candidate."""
+        return squared(x, self.centres).argmin(axis=1)
+
+    def probed(self, x: np.ndarray, held: np.ndarray, least: int) -> np.ndarray:
+        """(query, list): whether it is probed; the nearest ones, at least ``probes`` that hold ``least`` rows."""
+        order = np.argsort(squared(x, self.centres), axis=1, kind="stable")
+        before = np.cumsum(held[order], axis=1) - held[order]
+        out = np.zeros(order.shape, dtype=bool)
+        np.put_along_axis(out, order, (np.arange(order.shape[1]) < self.probes) | (before < least), axis=1)
+        return out
 
-    def bounds(self, ids: np.ndarray, x: np.ndarray, k: int) -> np.ndarray:
-        """A squared distance within which each query has ``k`` candidates, if the seed has as many."""
+    def bounds(self, ids: np.ndarray, x: np.ndarray, probed: np.ndarray, k: int) -> np.ndarray:
+        """A squared distance within which the probed lists hold ``k`` rows of the seed; infinite without."""
         d = squared(x, self.seed)
-        d[ids[:, None] == self.seed_ids[None, :]] = np.inf
+        d[(ids[:, None] == self.seed_ids) | ~probed[:, self.lists(self.seed)]] = np.inf
         return np.full(len(x), np.inf) if d.shape[1] < k else np.partition(d, k - 1, axis=1)[:, k - 1]
 
 
@@ -142,36 +154,53 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     return flat.flatten().to_numpy().reshape(len(flat), -1)
 
 
-def _listed(vectors: DataFrame, index: Index, queries: bool, k: int) -> DataFrame:
-    """Rows with their list; queries have a row for each probed list, and their bound."""
+def _mapped(vectors: DataFrame, schema: str, make) -> DataFrame:
+    """Rows made by ``make(ids, vectors)`` from up to a thousand vectors at a time."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            ids, x = batch.column(0).to_numpy(), batch.column(1).flatten().to_numpy().reshape(batch.num_rows, -1)
-            for start in range(0, len(ids), 1024):
-                part = slice(start, start + 1024)
-                turned = index.rotated(x[part], not queries)
-                lists = index.nearest(turned, index.probes if queries else 1)
-                bound = index.bounds(ids[part], turned, k) if queries else np.zeros(len(turned))
-                row = np.repeat(np.arange(len(turned)), lists.shape[1])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(ids[part][row]),
-                        pa.array(list(x[part][row]), pa.list_(pa.float64())),
-                        pa.array(lists.ravel().astype(np.int32)),
-                        pa.array(bound[row]),
-                    ],
-                    ["vec_id", "vector", "list", "bound"],
-                )
-
-    return vectors.select("vec_id", "vector").mapInArrow(task, "vec_id long, vector array<double>, list int, bound double")
-
-
-def _parts(df: DataFrame, size: int) -> dict[int, int]:
-    """Into how many parts of ``size`` rows each list is cut; one number per list, at most ``LISTS``."""
-    return {row["list"]: -(-row["count"] // size) for row in df.groupBy("list").count().collect()}
+            if batch.num_rows:
+                ids, x = batch.column(0).to_numpy(), batch.column(1).flatten().to_numpy().reshape(batch.num_rows, -1)
+                for start in range(0, len(ids), 1024):
+                    yield pa.RecordBatch.from_pydict(make(ids[start : start + 1024], x[start : start + 1024]))
+
+    return vectors.select("vec_id", "vector").mapInArrow(task, schema)
+
+
+def _arrays(x: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * x.shape[1], pa.int32()), pa.array(x.ravel()))
+
+
+def _listed(candidates: DataFrame, index: Index) -> DataFrame:
+    """Every candidate with its list."""
+
+    def make(ids: np.ndarray, x: np.ndarray) -> dict:
+        return {"vec_id": ids, "vector": _arrays(x), "list": index.lists(index.rotated(x, True)).astype(np.int32)}
+
+    return _mapped(candidates, "vec_id long, vector array<double>, list int", make)
+
+
+def _asked(queries: DataFrame, index: Index, held: np.ndarray, k: int) -> DataFrame:
+    """Every query in a row for each probed list, with its bound."""
+
+    def make(ids: np.ndarray, x: np.ndarray) -> dict:
+        turned = index.rotated(x, False)
+        probed = index.probed(turned, held, k + 1)
+        bound = index.bounds(ids, turned, probed, k + SPARE)
+        row, of = np.nonzero(probed)
+        return {"vec_id": ids[row], "vector": _arrays(x[row]), "list": of.astype(np.int32), "bound": bound[row]}
+
+    return _mapped(queries, "vec_id long, vector array<double>, list int, bound double", make)
+
+
+def _counts(df: DataFrame) -> dict[int, int]:
+    """Rows of each list; one number per list, at most ``LISTS``."""
+    return {row["list"]: row["count"] for row in df.groupBy("list").count().collect()}
+
+
+def _parts(counts: dict[int, int], size: int) -> dict[int, int]:
+    """Into how many parts of ``size`` rows each list is cut."""
+    return {of: -(-count // size) for of, count in counts.items()}
 
 
 def _dealt(df: DataFrame, own: str, own_parts: dict[int, int], other: str, other_parts: dict[int, int]) -> DataFrame:
@@ -198,23 +227,23 @@ def nearest_neighbours(
     schema = "query_id long, vec_id long, score double"
     good = usable(vectors, id, vector)
     norm = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x)
-    facts = good.agg(F.max(norm).alias("longest"), F.count("*").alias("total")).first()
-    if not facts["total"]:
+    facts = good.agg(F.max(norm).alias("longest")).first()
+    if facts["longest"] is None:
         empty = good.sparkSession.createDataFrame([], schema)
         return empty.withColumn("rank", F.lit(1)).select("query_id", "rank", "vec_id", "score")
-    rows = good.orderBy(F.xxhash64("vec_id"), "vec_id", "vector").limit(SAMPLE).toArrow()
-    sample = _matrix(rows["vector"])
-    index = fit(rows["vec_id"].to_numpy(), sample, facts["total"], facts["longest"], k, recall)
-
     same = Window.partitionBy("vector").orderBy("vec_id")
-    candidates = good.withColumn("_place", F.row_number().over(same)).filter(F.col("_place") <= k + 1)
-    listed = _listed(candidates, index, False, k).select("vec_id", "vector", "list")
-    asked = _listed(good.filter(F.col("vec_id") % every == 0), index, True, k)
-    shards, blocks = _parts(listed, SHARD), _parts(asked, QUERIES)
-    if not blocks:
-        blocks = {-1: 1}
-    left = _dealt(listed, "shard", shards, "block", blocks)
-    right = _dealt(asked, "block", blocks, "shard", shards)
+    candidates = stage(good.withColumn("_place", F.row_number().over(same)).filter(F.col("_place") <= k + 1))
+    different = candidates.filter("_place = 1")
+    rows = different.orderBy(F.xxhash64("vec_id"), "vec_id", "vector").limit(SAMPLE).toArrow()
+    index = fit(rows["vec_id"].to_numpy(), _matrix(rows["vector"]), candidates.count(), facts["longest"], k, recall)
+
+    listed = _listed(candidates, index)
+    counts = _counts(listed)
+    held = np.array([counts.get(of, 0) for of in range(len(index.centres))])
+    asked = _asked(good.filter(F.col("vec_id") % every == 0), index, held, k)
+    blocks = _parts(_counts(asked), QUERIES) or {-1: 1}
+    left = _dealt(listed, "shard", _parts(counts, SHARD), "block", blocks)
+    right = _dealt(asked, "block", blocks, "shard", _parts(counts, SHARD))
 
     def search(_, own: pa.Table, queries: pa.Table) -> pa.Table:
         found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []

@@ -37,6 +37,8 @@ SAMPLE = 2000
 WORDS_AT_ONCE, TEXTS_AT_ONCE = 1 << 15, 100
 THRESHOLD = 0.3
 PRIOR_COUNT = 4.0
+#: Clean texts without a word that training adds, so that the network knows what those are.
+WORDLESS = 40
 
 
 def _buckets(hashes: np.ndarray, bits: int) -> np.ndarray:
@@ -306,6 +308,8 @@ def train(texts: list[str], labels: list[int], toxic_share: float, epochs: int =
     if not y.any() or y.all():
         net.p["score"][:] = 0
         return net
+    texts = [*texts, *[""] * WORDLESS]
+    y = np.append(y, np.zeros(WORDLESS, dtype=bool))
     rng = np.random.default_rng(seed)
     words = _all_words(texts)
     inputs, place = distinct_words(words)

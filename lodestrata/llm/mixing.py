@@ -183,7 +183,7 @@ def mix(
     )
     before = Window.partitionBy("_key", SIZE).orderBy("_slice")
     earlier = F.sum("_rows").over(before) - F.col("_rows")
-    of_slice = F.greatest(F.lit(0), F.least(F.col("_rows"), F.col("_extra") - earlier))
+    of_slice = F.greatest(F.lit(0), F.least(F.col("_rows"), F.coalesce("_extra", F.lit(0)) - earlier))
     plan = (
         counts.select("_key", SIZE, "_slice", "_rows")
         .join(targets, "_key")
@@ -191,7 +191,7 @@ def mix(
         .select(
             "_key", SIZE, "_slice", SOURCE_SIZE, TARGET,
             F.coalesce("_whole", F.lit(0)).alias("_whole"),
-            F.coalesce(of_slice, F.lit(0)).alias("_of_slice"),
+            of_slice.alias("_of_slice"),
         )
     )
     place = F.row_number().over(Window.partitionBy("_key", SIZE, "_slice").orderBy("_chance", id))

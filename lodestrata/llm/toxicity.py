@@ -37,8 +37,10 @@ SAMPLE = 2000
 WORDS_AT_ONCE, TEXTS_AT_ONCE = 1 << 15, 100
 THRESHOLD = 0.3
 PRIOR_COUNT = 4.0
-#: Clean texts without a word that training adds, so that the network knows what those are.
-WORDLESS = 40
+#: Steps of training at least, however few texts there are.
+STEPS = 200
+#: The logit of a text without words: there is nothing to find in it.
+WORDLESS = -8.0
 
 
 def _buckets(hashes: np.ndarray, bits: int) -> np.ndarray:
@@ -241,7 +243,8 @@ class Network:
             inputs, place = distinct_words(words)
             start, end, of = windows(words.firsts)
             logits = self.window_logits(self.features(inputs), place, start, end)
-            out[first : first + len(part)] = np.maximum.reduceat(logits, np.searchsorted(of, np.arange(len(part))))
+            highest = np.maximum.reduceat(logits, np.searchsorted(of, np.arange(len(part))))
+            out[first : first + len(part)] = np.where(np.diff(words.firsts) > 0, highest, WORDLESS)
         return out
 
     def probabilities(self, texts: pa.Array) -> np.ndarray:
@@ -306,10 +309,8 @@ def train(texts: list[str], labels: list[int], toxic_share: float, epochs: int =
     share = min(max(toxic_share, 1e-3), 1 - 1e-3)
     net.offset = float(np.log(share / (1 - share)))
     if not y.any() or y.all():
-        net.p["score"][:] = 0
+        net.slope = 0.0
         return net
-    texts = [*texts, *[""] * WORDLESS]
-    y = np.append(y, np.zeros(WORDLESS, dtype=bool))
     rng = np.random.default_rng(seed)
     words = _all_words(texts)
     inputs, place = distinct_words(words)
@@ -342,6 +343,8 @@ def train(texts: list[str], labels: list[int], toxic_share: float, epochs: int =
     gram_owner, gram_bucket = inputs.owners(), _buckets(inputs.gram, TABLE_BITS)
     gram_share = (1 / counts)[gram_owner]
     word_bucket = _buckets(inputs.word, TABLE_BITS)
+    batch = min(256, max(32, len(texts) // 16))
+    epochs = max(epochs, -(-STEPS * batch // (2 * len(texts))))
     for epoch in range(epochs):
         if epoch == epochs // 2:
             rank = net.window_logits(net.features(inputs), place, start, end)
@@ -355,7 +358,7 @@ def train(texts: list[str], labels: list[int], toxic_share: float, epochs: int =
         # The second window of a toxic text may well be clean: it counts little.
         importance = np.concatenate([np.ones(len(chosen[0])), np.where(y[more], 0.2, 1), np.ones(len(chosen[2]))])
         chosen = np.concatenate(chosen)
-        for part in np.array_split(rng.permutation(len(chosen)), max(1, len(chosen) // 256)):
+        for part in np.array_split(rng.permutation(len(chosen)), max(1, len(chosen) // batch)):
             w = chosen[part]
             index, present = _window_rows(np.append(place, 0), start[w], end[w])
             rows, local = np.unique(index, return_inverse=True)

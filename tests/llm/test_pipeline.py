@@ -1,0 +1,107 @@
+import hashlib
+import random
+from collections import Counter
+
+import corpus_pipeline
+import public_tokenizers
+import pyarrow as pa
+import pytest
+from lodestrata.llm import byte_bpe, toxicity
+from test_jaccard_join import components_by_hand
+from test_mixing import targets_by_hand
+
+
+@pytest.fixture(scope="module")
+def folder(spark, tmp_path_factory):
+    """Small tables: prose, copies and near copies, insults, secrets, odd rows."""
+    rng = random.Random(12)
+    prose = lambda n: " ".join(f"word{rng.randrange(400)}" for _ in range(n))
+    rows, labels = [], []
+    for i in range(240):
+        toxic = i % 4 == 0
+        text = prose(rng.randrange(20, 120))
+        if toxic:
+            words = text.split()
+            for _ in range(2):
+                words.insert(rng.randrange(len(words)), rng.choice(["vrednak", "glupson"]))
+            text = " ".join(words)
+        rows.append((i, text, "en", f"s{i % 4}" if i % 9 else None))
+        labels.append((i, 1, int(toxic)))
+    clean = [r for r in rows if r[0] % 4]
+    rows += [(1000 + i, clean[2][1], "en", "s1") for i in range(20)]
+    rows += [(1100 + i, clean[5][1] + f" tail{i}", "de", "s2") for i in range(5)]
+    rows += [(1200, prose(60) + " token=Pm4Vc8Xz1Nb6Qw " + prose(5), "en", "s0"), (1201, None, "en", "s0"), (1202, "", None, "s1")]
+    path = tmp_path_factory.mktemp("tables")
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    docs.selectExpr("*", "cast(length(text) as long) AS n_chars").write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    return str(path)
+
+
+def test_every_stage_on_what_the_one_before_kept(spark, folder, tmp_path):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    columns = docs.columns
+    results = {}
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, docs, folder).write.parquet(f"{tmp_path}/{name}")
+        docs = spark.read.parquet(f"{tmp_path}/{name}")
+        results[name] = [r.asDict() for r in docs.collect()]
+        if name != corpus_pipeline.STAGES[-1][0]:
+            assert docs.columns == columns
+    assert list(results) == ["toxicity", "jaccard_join", "secrets", "mixing", "byte_bpe"]
+    given = [r.asDict() for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+
+    network = toxicity.fit(spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet"))
+    scores = network.probabilities(pa.array([r["text"] for r in given], pa.string()))
+    kept = [r for r, s in zip(given, scores, strict=True) if s < toxicity.THRESHOLD]
+    assert key(results["toxicity"]) == key(kept)
+    gone = {r["doc_id"] for r in given} - {r["doc_id"] for r in kept}
+    assert len([i for i in gone if i < 240 and i % 4 == 0]) >= 55 and len([i for i in gone if i >= 240 or i % 4]) <= 3
+
+    components = components_by_hand([(r["doc_id"], r["text"]) for r in kept])
+    alone = [r for r in kept if any(c == r["doc_id"] for (i, _), found in components.items() if i == r["doc_id"] for c in found)]
+    assert key(results["jaccard_join"]) == key(alone)
+    assert len(alone) < len(kept) - 20
+
+    covered = {r["doc_id"]: r["text"] for r in results["secrets"]}
+    assert covered.keys() == {r["doc_id"] for r in alone}
+    assert "*" * len("token=Pm4Vc8Xz1Nb6Qw") in covered[1200] and "Pm4Vc8" not in covered[1200]
+    assert all(covered[r["doc_id"]] == r["text"] for r in alone if r["doc_id"] != 1200)
+
+    copies = Counter(r["doc_id"] for r in results["mixing"])
+    sizes, taken = Counter(), Counter()
+    for r in results["secrets"]:
+        n = len((r["text"] or "").split())
+        sizes[r["source"]] += n
+        taken[r["source"]] += n * copies[r["doc_id"]]
+    assert max(copies.values()) <= 3
+    for source, target in targets_by_hand(dict(sizes)).items():
+        assert abs(taken[source] - target) <= 3
+
+    codec = byte_bpe.codec(public_tokenizers.path(byte_bpe.VOCABULARY))
+    for r in results["byte_bpe"]:
+        ids = codec.encode([covered[r["doc_id"]]]).to_pylist()[0]
+        assert r["n_tokens"] == len(ids)
+        assert r["ids_sha256"] == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+        assert r["decoded_sha256"] == hashlib.sha256((covered[r["doc_id"]] or "").encode()).hexdigest()
+    assert Counter(r["doc_id"] for r in results["byte_bpe"]) == copies
+
+    whole = corpus_pipeline.run(spark, folder)
+    assert Counter(tuple(r) for r in whole.collect()) == Counter(tuple(r.values()) for r in results["byte_bpe"])
+
+
+def key(rows):
+    return sorted((r["doc_id"], r["text"] or "", r["source"] or "") for r in rows)
+
+
+def test_no_documents(spark, tmp_path):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_queries_are_registered():
+    from lodestrata.llm.queries import QUERIES
+
+    assert sorted(name.split("_")[0] for name in QUERIES) == sorted([*(f"op{n}" for n in range(1, 11)), "pipeline"])

@@ -26,10 +26,15 @@ def _iso_text(text: Column, form: str) -> Column:
 def multi_date(c: Column | str, forms: Iterable[tuple[str, str]] = DATE_FORMS) -> Column:
     """The date of the first form whose pattern matches and whose day exists, else NULL.
 
+    A line end after the date is no part of any form, though ``$`` would pass over it.
+
     A form places ``yyyy``, ``MM`` and ``dd`` at fixed positions. The parts are put in ISO order and
     cast, which is several times faster than a date parser per form.
     """
     text = trimmed_text(c)
     return F.coalesce(
-        *(F.when(text.rlike(p), _iso_text(text, form).try_cast("date")) for form, p in forms)
+        *(
+            F.when((F.length(text) == len(form)) & text.rlike(p), _iso_text(text, form).try_cast("date"))
+            for form, p in forms
+        )
     )

@@ -12,19 +12,19 @@ from lodestrata.functions import split_list, strip_edges
 
 def explode_list(df: DataFrame, key: str, column: str, element: str) -> DataFrame:
     """One row per element of a delimited cell; a NULL cell gives no rows."""
-    return df.select(key, F.explode(split_list(column)).alias(element)).withColumn(
-        element, F.trim(element)
-    )
+    return df.select(key, F.explode(F.transform(split_list(column), F.trim)).alias(element))
 
 
 def explode_entities(
     df: DataFrame, key: str, kind_of_column: Mapping[str, str], name: str, kind: str
 ) -> DataFrame:
-    """Several delimited columns as one tall table (key, name, kind), in one scan of the input."""
+    """Several delimited columns as one tall table (key, name, kind), in one scan of the input.
+
+    Names are stripped before they become rows, so a filter that comes after uses finished ones.
+    """
     cells = [
         F.struct(F.lit(label).alias(kind), F.col(column).alias("_cell"))
         for column, label in kind_of_column.items()
     ]
     tall = df.select(key, F.inline(F.array(*cells)))
-    names = tall.select(key, F.explode(split_list("_cell")).alias(name), kind)
-    return names.withColumn(name, strip_edges(name))
+    return tall.select(key, F.explode(F.transform(split_list("_cell"), strip_edges)).alias(name), kind)

@@ -22,7 +22,9 @@ def dense_key(df: DataFrame, order_by: Sequence[str], key: str) -> DataFrame:
     of the partitions before: one number per partition, as many rows as there are partitions, which
     is what is broadcast.
 
-    ``order_by`` should identify a row; equal rows get different keys in any order.
+    ``order_by`` should identify a row; equal rows get different keys in any order. The staged table is
+    written while the frame is built, and ``df`` is read twice for it (once to sample the range
+    partitions): pass a stored table, not a long plan.
     """
     number = F.monotonically_increasing_id()
     numbered = (

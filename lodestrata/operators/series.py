@@ -28,13 +28,15 @@ def latest_per_day(
 ) -> DataFrame:
     """The last value of each day; equal instants take the larger value.
 
-    A plain max per group: each map task sends one row per day, however many readings a day has.
-    Texts that are no instant have no day and drop out when the calendar is joined.
+    Readings without a value, or with a text that is no instant, are left out first: neither hides
+    another reading. A plain max per group: each map task sends one row per day, however many readings
+    a day has.
     """
     moment = F.col(instant).try_cast("timestamp")
     newest = F.max(F.struct(moment.alias("at"), F.col(value).alias("value")))
     return (
-        df.groupBy(*by, moment.cast("date").alias(day))
+        df.filter(moment.isNotNull() & F.col(value).isNotNull())
+        .groupBy(*by, moment.cast("date").alias(day))
         .agg(newest.alias("_newest"))
         .select(*by, day, F.col("_newest.value").alias(output))
     )

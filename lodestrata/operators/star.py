@@ -60,15 +60,21 @@ def fact(
     key: str,
     on: str,
     measures: Sequence[tuple[DataFrame, Mapping[str, str]]],
+    wanted: Sequence[str] | None = None,
 ) -> DataFrame:
     """All rows of ``base`` with the measures other tables hold for them; none lost, absent is NULL.
 
     ``measures`` pairs each table with its columns and their types. A value that does not fit its
-    type becomes NULL. All joins are on the same key, so each table is shuffled once.
+    type becomes NULL. All joins are on the same key, so each table is shuffled once. Each table has at
+    most one row per key, so one that gives none of the ``wanted`` measures is not joined at all; Spark
+    cannot know that and would keep the join.
     """
     rows = base.select(key, on)
     output = []
-    for table, types in measures:
+    for table, given in measures:
+        types = {c: data_type for c, data_type in given.items() if wanted is None or c in wanted}
+        if not types:
+            continue
         right = table.select(F.col(on).alias("_on"), *types)
         rows = rows.join(right, _equal(rows, on, right, "_on"), "left").drop("_on")
         output += [F.col(c).try_cast(data_type).alias(c) for c, data_type in types.items()]

@@ -233,6 +233,11 @@ def check_all(
     return _report(measured, [GRAIN, COVERAGE, CONTEXT, GENRES, BRIDGES, RATINGS, MONEY])
 
 
+def failed_rules(report: DataFrame) -> DataFrame:
+    """The rows of a report whose rule failed."""
+    return report.filter(~F.col("passou"))
+
+
 def require_quality(report: DataFrame) -> None:
     """Stop with one error that names every failed rule."""
     raise_on_failures(

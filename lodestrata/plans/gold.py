@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -65,12 +67,12 @@ def bridge_movie_company(movies: DataFrame, companies: DataFrame, names: DataFra
 
 
 def fact_movies_performance(
-    movies: DataFrame, financials: DataFrame, metrics: DataFrame
+    movies: DataFrame, financials: DataFrame, metrics: DataFrame, wanted: Sequence[str] | None = None
 ) -> DataFrame:
-    """One row per released movie."""
+    """One row per released movie; with ``wanted`` only these measures, without work for the others."""
     released = movies.filter(F.col("status_filme") == c.RELEASED)
     measures = [(financials, c.FACT_FINANCIALS), (metrics, c.FACT_METRICS)]
-    return fact(released, "sk_movie_id", "id_filme", measures)
+    return fact(released, "sk_movie_id", "id_filme", measures, wanted)
 
 
 def dim_reviews(movies: DataFrame, reviews: DataFrame) -> DataFrame:

@@ -10,7 +10,6 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from lodestrata import functions as rules
 from lodestrata.operators import (
@@ -92,13 +91,15 @@ def movie_metrics(raw: DataFrame) -> DataFrame:
 def user_reviews(raw: DataFrame) -> DataFrame:
     """``tb_avaliacoes_usuarios``: no exact copies, ratings on the scale, no blank comments.
 
-    Ratings are numbers before copies are compared; comments are compared as they came.
+    Readable ratings are compared as numbers, unreadable ones and comments as they came: two reviews that
+    differ in an unreadable rating are two reviews.
     """
-    named = raw.withColumnsRenamed(c.REVIEW_NAMES)
-    if isinstance(named.schema["nota_usuario"].dataType, StringType):
-        named = named.withColumn("nota_usuario", rules.safe_number("nota_usuario"))
+    named = raw.withColumnsRenamed(c.REVIEW_NAMES).select(*c.REVIEW_COLUMNS)
+    text = named.withColumn("_as_came", F.col("nota_usuario").cast("string"))
+    read = text.withColumn("nota_usuario", rules.safe_number("_as_came"))
+    compared = read.withColumn("_as_came", F.coalesce(F.col("nota_usuario").cast("string"), "_as_came"))
     return (
-        drop_exact_duplicates(named.select(*c.REVIEW_COLUMNS), c.REVIEW_COLUMNS)
+        drop_exact_duplicates(compared, [*c.REVIEW_COLUMNS, "_as_came"])
         .withColumns(
             {
                 "nota_usuario": rules.null_outside("nota_usuario", *c.RATING_SCALE),

@@ -12,7 +12,6 @@ SETTINGS = {
     # Wide cleaning rules generate long methods. HotSpot does not compile methods over 8000 bytes;
     # below that Spark generates several short ones instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",
-    "spark.sql.session.timeZone": "UTC",
 }
 
 

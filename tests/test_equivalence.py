@@ -54,16 +54,18 @@ def test_multi_date_equals_date_parsers(spark):
     def plain(v):
         cell = F.trim(v)
         return F.coalesce(
-            *(F.when(cell.rlike(p), F.try_to_timestamp(cell, F.lit(f)).cast("date")) for f, p in dates.DATE_FORMS)
+            *(F.when(cell.rlike(p) & (F.length(cell) == 10), F.try_to_timestamp(cell, F.lit(f)).cast("date")) for f, p in dates.DATE_FORMS)
         )
 
     pick = random.Random(3)
-    shapes = ("{y:04d}-{m:02d}-{d:02d}", "{m:02d}-{d:02d}-{y:04d}", "{d:02d}/{m:02d}/{y:04d}", " {y:04d}-{m:02d}-{d:02d} ")
+    shapes = ("{y:04d}-{m:02d}-{d:02d}", "{m:02d}-{d:02d}-{y:04d}", "{d:02d}/{m:02d}/{y:04d}", " {y:04d}-{m:02d}-{d:02d} ", "{y:04d}-{m:02d}-{d:02d}\n", "{d:02d}/{m:02d}/{y:04d}\r\n")
     values = [
         pick.choice(shapes).format(y=pick.choice([0, 1, 1582, 1900, 2000, 2023, 2024, 9999]), m=pick.randint(0, 14), d=pick.randint(0, 33))
         for _ in range(4000)
     ]
     assert differing(spark, values + cells("0123-/ ", 1000, 11), rules.multi_date, plain) == []
+    ends = spark.createDataFrame([("2020-01-01\n",), ("2020-01-01\r\n",), ("2020-01-01",)], "v string")
+    assert [r[0] is None for r in ends.select(rules.multi_date("v")).collect()] == [True, True, False]
 
 
 def test_money_equals_exact_arithmetic(spark):

@@ -25,13 +25,13 @@ FINANCIALS = """id,budget,revenue
 4,0,0
 """
 METRICS = """id,popularity,vote_average,vote_count,averageRating,numVotes
-1,"89,985",7.5,100,6.5,5000
+1,"41,562",7.5,100,6.5,5000
 2,1969,10.0,,Italian,
 3,5.5,76.06,10,,
 4,3,0,0,0,0
 """
 CREDITS = """id,genres,production_companies,production_countries,spoken_languages,keywords,directors,writers,cast
-1,Drama|War,"Acme; BEST films",,,,joe RUSSO,,"Ana, Zoe, /x.jpg"
+1,Drama|War,"Acme; BEST films",,,,rui SALDO,,"Ana, Zoe, /x.jpg"
 2,"Drama, 2013",Acme,,,,,N/A,ana
 3,War,,,,,,,Zoe
 4,Comedy,Acme,,,,,,Zoe
@@ -101,7 +101,7 @@ def test_daily_runs(spark, tmp_path):
     document = spark.table("gold.gold_genai_movies_context").filter("movie_id = '1'").first()[2]
     assert document == (
         "O filme Alpha, lançado no ano de 2024, faturou US$ 2,500,000.00 e teve um custo de US$ 1,000,000.00. "
-        'Estrelado por Ana, Zoe e dirigido por Joe Russo, o filme possui a seguinte sinopse: He said "go", she went.'
+        'Estrelado por Ana, Zoe e dirigido por Rui Saldo, o filme possui a seguinte sinopse: He said "go", she went.'
     )
 
     second = land(tmp_path / "two", 2)

@@ -66,7 +66,7 @@ def test_movie_financials(spark):
 def test_no_rate_is_a_clear_error(spark):
     raw = spark.createDataFrame([("1", "1", "1", AT)], "id string, budget string, revenue string, ingestion_datetime string")
     frame = spark.createDataFrame([], "data_cotacao date, cotacao_dolar double")
-    with pytest.raises(Exception, match="Nenhuma cotação"):
+    with pytest.raises(Exception, match="Sem taxa de câmbio"):
         silver.movie_financials(raw, silver.current_rate(frame)).collect()
 
 
@@ -78,20 +78,20 @@ METRIC_DDL = (
 
 def test_movie_metrics(spark):
     rows = [
-        ("1", "a historia de 2009, 2010 e 2012.1", "7.5", "100", "6.0", "50", AT),
-        ("2", "89,985", "63.65", "-5", "8.1", "5000", AT),
+        ("1", "told in 1987, 1994 and 2003.7", "7.5", "100", "6.0", "50", AT),
+        ("2", "41,562", "58.25", "-5", "8.1", "5000", AT),
         ("3", '28"', "", None, None, None, AT),
-        ("4", "1969", "10.0", None, "Italian", None, AT),
-        ("5", "72.735", "7.5", "100", None, "99999999999", AT),
+        ("4", "1954", "9.5", None, "Danish", None, AT),
+        ("5", "31.842", "7.5", "100", None, "99999999999", AT),
         ("6", "-1", "7", "100.0", None, None, AT),
     ]
     got = silver.movie_metrics(spark.createDataFrame(rows, METRIC_DDL)).orderBy("id_filme")
     assert [tuple(r) for r in got.collect()] == [
         ("1", None, 7.5, 100, 6.0, 50),
-        ("2", 89.985, None, None, 8.1, 5000),
+        ("2", 41.562, None, None, 8.1, 5000),
         ("3", None, None, None, None, None),
         ("4", None, 10.0, None, None, None),
-        ("5", 72.735, 7.5, 100, None, None),
+        ("5", 31.842, 7.5, 100, None, None),
         ("6", None, 7.0, None, None, None),
     ]
     assert [t for _, t in got.dtypes] == ["string", "double", "double", "int", "double", "int"]
@@ -131,7 +131,7 @@ def test_user_reviews_compare_ratings_as_numbers(spark):
     ("cell", "genres"),
     [
         ("Comedy|Drama", {"Comedy", "Drama"}),
-        ("Drama, Never underestimate a nobody., /abc.jpg", {"Drama"}),
+        ("Drama, A night of storms., /pic.jpg", {"Drama"}),
         ("Science Fiction, TV Movie, 2013", {"Science Fiction", "TV Movie"}),
         ("Action, Action; Comedy", {"Action", "Comedy"}),
         (None, set()),
@@ -147,13 +147,13 @@ def test_people_and_companies(spark):
     ddl = "id int, genres string, production_companies string, directors string, writers string, cast string"
     phrase = "uma frase longa demais para ser o nome de uma pessoa ou de uma empresa"
     rows = [
-        (1, "Drama", "MARVEL studios", "joe RUSSO", "Ann Lee|ANN LEE", "robert downey; Chris Evans"),
-        (2, None, None, None, None, f"6.1, 766, /abc123.jpg, poster.png, X, {phrase}, Ryan Reynolds"),
+        (1, "Drama", "LANTERN works", "rui SALDO", "Ann Lee|ANN LEE", "olga farias; Nuno Prado"),
+        (2, None, None, None, None, f"6.1, 766, /pic77.jpg, poster.png, X, {phrase}, Tom Hollis"),
     ]
     got = silver.people_and_companies(spark.createDataFrame(rows, ddl))
     assert sorted(map(tuple, got.collect())) == [
-        (1, "Ann Lee", "Roteirista"), (1, "Chris Evans", "Ator"), (1, "Joe Russo", "Diretor"),
-        (1, "Marvel Studios", "Produtora"), (1, "Robert Downey", "Ator"), (2, "Ryan Reynolds", "Ator"),
+        (1, "Ann Lee", "Roteirista"), (1, "Nuno Prado", "Ator"), (1, "Rui Saldo", "Diretor"),
+        (1, "Lantern Works", "Produtora"), (1, "Olga Farias", "Ator"), (2, "Tom Hollis", "Ator"),
     ]
 
 
@@ -167,3 +167,19 @@ def test_daily_rates(spark):
     latest = spark.range(1).select(silver.current_rate(got).alias("r")).first()["r"]
     assert latest == 5.40
     assert got.agg(F.count("*")).first()[0] == 5
+
+
+def test_reviews_that_differ_in_an_unreadable_rating_stay_apart(spark):
+    rows = [(1, "ann", "ruim", "x"), (1, "ann", "N/A", "x"), (1, "ann", "N/A", "x"), (1, "ann", "7", "x"), (1, "ann", "7.0", "x"), (1, "ann", None, "x")]
+    text = silver.user_reviews(spark.createDataFrame(rows, "id int, nome string, nota string, comentario string"))
+    assert sorted((r["nota_usuario"] is None, r["nota_usuario"]) for r in text.collect())[0] == (False, 7.0)
+    assert text.count() == 4
+    whole = silver.user_reviews(spark.createDataFrame([(1, "ann", 7, "x")], "id int, nome string, nota int, comentario string"))
+    assert whole.schema["nota_usuario"].dataType == text.schema["nota_usuario"].dataType
+
+
+def test_a_null_or_undated_reading_hides_no_other(spark):
+    rows = [("2026-09-11 10:00:00.0", 5.1), ("2026-09-11 13:00:00.0", None), ("bad", 1.0)]
+    raw = spark.createDataFrame(rows, "dataHoraCotacao string, cotacaoCompra double")
+    got = silver.daily_rates(raw, "2026-09-11", "2026-09-12").orderBy("data_cotacao").collect()
+    assert [r["cotacao_dolar"] for r in got] == [5.1, 5.1]

@@ -44,6 +44,23 @@ def test_rate_feed(spark, tmp_path):
     assert [tuple(r) for r in some] == [("2026-09-17 13:09:02.5", 6.35)]
 
 
+@pytest.mark.parametrize(
+    "text", ['{"error": "boom"}', '{"value": [{"dataHoraCotacao": "2026-09-16 13:09:02.5", "cotaca', "<html>", "", '{"value": null}']
+)
+def test_a_broken_response_stops_the_run(spark, tmp_path, text):
+    (tmp_path / "good.json").write_text('{"value": []}')
+    (tmp_path / "broken.json").write_text(text or " ")
+    with pytest.raises(Exception, match="response without a list of rates.*broken.json"):
+        sources.read_rate_json(spark, str(tmp_path)).collect()
+
+
+def test_a_header_in_another_order_stops_the_run(spark, tmp_path):
+    file = tmp_path / "swapped.csv"
+    file.write_text("b,a\n1,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        sources.read_landing_csv(spark, str(file), columns=["a", "b"]).collect()
+
+
 def test_records(spark):
     two = [{"dataHoraCotacao": "a", "cotacaoCompra": 1.0}, {"dataHoraCotacao": "b", "cotacaoCompra": 2.0}]
     assert sources.records_to_df(spark, two).count() == 2

@@ -49,13 +49,15 @@ SELECT l_orderkey, l_linenumber, CAST(date_trunc('year', l_shipdate) AS DATE) AS
   CASE WHEN l_tax > 0.04 THEN NULL ELSE l_linestatus END AS l_linestatus
 FROM {lineitem}""",
     "week_values": """
-SELECT o_orderpriority, CAST(CAST(date_trunc('week', o_orderdate) AS DATE) AS STRING) || ' '
-  || lpad(CAST(o_orderkey % 24 AS STRING), 2, '0') || ':09:02.5' AS read_at, o_totalprice
+SELECT o_orderpriority, CASE WHEN o_orderkey % 29 = 0 THEN 'no instant'
+  ELSE CAST(CAST(date_trunc('week', o_orderdate) AS DATE) AS STRING) || ' '
+    || lpad(CAST(o_orderkey % 24 AS STRING), 2, '0') || ':09:02.5' END AS read_at,
+  CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_totalprice END AS o_totalprice
 FROM {orders}""",
     "rate_payload": """
-SELECT '{{"value": [{{"dataHoraCotacao": "' || CAST(CAST(ts AS DATE) AS STRING) || ' 13:09:02.5", "cotacaoCompra": '
+SELECT CASE WHEN event_id % 17 = 0 THEN '{{"value": []}}' ELSE '{{"value": [{{"dataHoraCotacao": "' || CAST(CAST(ts AS DATE) AS STRING) || ' 13:09:02.5", "cotacaoCompra": '
   || CAST(value AS STRING) || '}}, {{"dataHoraCotacao": "' || CAST(CAST(ts AS DATE) AS STRING)
-  || ' 10:00:00.0", "cotacaoCompra": ' || CAST(event_id AS STRING) || '.5}}]}}' AS payload
+  || ' 10:00:00.0", "cotacaoCompra": ' || CAST(event_id AS STRING) || '.5}}]}}' END AS payload
 FROM {events}""",
     # The raw movie catalogue: a movie is an order, its repeated raw rows are the order's lines.
     "raw_info": """
@@ -98,7 +100,7 @@ FROM (SELECT l.*, CAST(l_extendedprice AS STRING) AS v, CAST(floor(l_quantity) A
     "raw_credits": """
 SELECT CAST(o_orderkey AS STRING) AS id,
   CASE o_orderkey % 6 WHEN 0 THEN 'Drama|War' WHEN 1 THEN 'Action; Comedy, 2013' WHEN 2 THEN 'Science Fiction , TV Movie'
-    WHEN 3 THEN 'Never underestimate a nobody., /x.jpg' WHEN 4 THEN NULL ELSE 'Drama' END AS genres,
+    WHEN 3 THEN 'A night of storms., /x.jpg' WHEN 4 THEN NULL ELSE 'Drama' END AS genres,
   CASE WHEN o_custkey % 10 = 3 THEN NULL ELSE 'ACME ' || CAST(o_custkey % 53 AS STRING) || '; Best Films, Inc.'
     END AS production_companies,
   'dir ' || CAST(o_custkey % 97 AS STRING) || CASE WHEN o_orderstatus = 'F' THEN ' | "Ann McBee"' ELSE '' END AS directors,
@@ -108,14 +110,17 @@ SELECT CAST(o_orderkey AS STRING) AS id,
 FROM {orders}""",
     "raw_reviews": """
 SELECT CAST(user_id AS STRING) AS id, 'user ' || CAST(event_id % 3 AS STRING) AS nome,
-  CASE event_id % 4 WHEN 0 THEN '15.0' WHEN 1 THEN CAST(event_id % 11 AS STRING) WHEN 2 THEN 'ruim'
-    ELSE CAST(event_id % 10 AS STRING) || '.5' END AS nota,
+  CASE event_id % 8 WHEN 0 THEN '15.0' WHEN 1 THEN CAST(event_id % 11 AS STRING) WHEN 2 THEN 'ruim' WHEN 3 THEN NULL
+    WHEN 4 THEN CAST(event_id % 11 AS STRING) || '.0' WHEN 6 THEN 'N/A' ELSE CAST(event_id % 10 AS STRING) || '.5'
+    END AS nota,
   CASE event_type WHEN 'view' THEN NULL WHEN 'error' THEN '   ' ELSE event_type END AS comentario
 FROM {events}""",
     "raw_rates": """
-SELECT CAST(CAST(date_trunc('week', o_orderdate) AS DATE) AS STRING) || ' '
-  || lpad(CAST(o_orderkey % 24 AS STRING), 2, '0') || ':09:02.5' AS dataHoraCotacao,
-  CAST(o_custkey % 10 AS DOUBLE) / CAST(5 AS DOUBLE) + CAST(4 AS DOUBLE) AS cotacaoCompra
+SELECT CASE WHEN o_orderkey % 29 = 0 THEN 'no instant'
+  ELSE CAST(CAST(date_trunc('week', o_orderdate) AS DATE) AS STRING) || ' '
+    || lpad(CAST(o_orderkey % 24 AS STRING), 2, '0') || ':09:02.5' END AS dataHoraCotacao,
+  CASE WHEN o_orderkey % 3 = 0 THEN NULL
+    ELSE CAST(o_custkey % 10 AS DOUBLE) / CAST(5 AS DOUBLE) + CAST(4 AS DOUBLE) END AS cotacaoCompra
 FROM {orders}""",
 }
 

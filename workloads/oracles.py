@@ -9,8 +9,9 @@ import re
 
 from lodestrata.plans import catalogue as c
 from workloads.inputs import INPUTS, input_sql
-from workloads.star import RATE_END, RATE_START, TODAY
+from workloads.star import FEED_END, FEED_START, RATE_END, RATE_START, TODAY
 
+# The accepted written forms of numbers and amounts.
 DECIMAL = r"^-?\d+(\.\d+)?$"
 INTEGER = r"^-?\d+$"
 MONEY = (
@@ -159,7 +160,8 @@ SELECT id_filme, titulo, titulo_original, {day("release_date")} AS data_lancamen
   idioma_original, status_filme, sinopse, frase_divulgacao
 FROM info_best"""
 STEPS["rates_daily"] = """
-SELECT CAST(substr(dataHoraCotacao, 1, 10) AS DATE) AS data_cotacao, cotacaoCompra AS rate FROM raw_rates
+SELECT CAST(substr(dataHoraCotacao, 1, 10) AS DATE) AS data_cotacao, cotacaoCompra AS rate
+FROM (SELECT * FROM raw_rates WHERE dataHoraCotacao <> 'no instant' AND cotacaoCompra IS NOT NULL) t
 QUALIFY row_number() OVER (PARTITION BY substr(dataHoraCotacao, 1, 10) ORDER BY dataHoraCotacao DESC, cotacaoCompra DESC) = 1"""
 STEPS["s_rates"] = f"""
 SELECT d AS data_cotacao, last_value(rate IGNORE NULLS) OVER (ORDER BY d ROWS UNBOUNDED PRECEDING) AS cotacao_dolar
@@ -206,7 +208,8 @@ SELECT id_filme, popularidade, nota_media_tmdb, qtd_votos_tmdb, nota_media_imdb,
 STEPS["s_reviews"] = f"""
 SELECT id_filme, nome_usuario, {in_scale("nota")} AS nota_usuario,
   CASE WHEN comentario IS NULL OR trim(comentario) = '' THEN '{c.NO_COMMENT}' ELSE comentario END AS comentario_usuario
-FROM (SELECT DISTINCT id AS id_filme, nome AS nome_usuario, {number("nota")} AS nota, comentario FROM raw_reviews) t"""
+FROM (SELECT DISTINCT id AS id_filme, nome AS nome_usuario, {number("nota")} AS nota,
+  coalesce(CAST({number("nota")} AS VARCHAR), nota) AS as_came, comentario FROM raw_reviews) t"""
 STEPS["s_genres"] = f"""
 SELECT DISTINCT id_filme, trim(g) AS nome_genero FROM (SELECT id AS id_filme, {elements("genres")} AS g FROM raw_credits) t
 WHERE trim(g) IN ({", ".join(f"'{g}'" for g in c.GENRES)})"""
@@ -276,6 +279,7 @@ STEPS["g_directors"] = people_of("Diretor", "diretor")
 STEPS["g_context"] = f"""
 SELECT id_filme AS movie_id, titulo AS title, {sentence()} AS llm_context_document
 FROM g_movies LEFT JOIN g_fact USING (sk_movie_id) LEFT JOIN g_actors USING (sk_movie_id) LEFT JOIN g_directors USING (sk_movie_id)"""
+STEPS["g_released"] = "SELECT sk_movie_id FROM g_movies WHERE status_filme = 'Lançado'"
 STEPS["g_cutoff"] = f"""
 SELECT max(data_lancamento) AS cut FROM g_movies WHERE status_filme = 'Lançado' AND data_lancamento <= DATE '{TODAY}'"""
 
@@ -314,6 +318,51 @@ def sql(body: str) -> str:
     return f"WITH {steps}\n{body}" if steps else body
 
 
+# --- quality rules: each takes the measured counts ---------------------------------------------------
+
+
+def grain(counts: str) -> str:
+    return f"""SELECT '{c.RULE_GRAIN}' AS regra, n = k AS passou, CASE WHEN n = k THEN n || ' linhas, uma por filme'
+  ELSE n || ' linhas para ' || k || ' filmes distintos (grão duplicado)' END AS detalhe FROM ({counts}) t"""
+
+
+def coverage(counts: str) -> str:
+    return f"""SELECT '{c.RULE_COVERAGE}' AS regra, a + b = 0 AS passou, CASE WHEN a + b = 0 THEN n || ' filmes lançados na fato'
+  ELSE a || ' lançados fora da fato e ' || b || ' filmes na fato que não são lançados' END AS detalhe FROM ({counts}) t"""
+
+
+def documents(counts: str) -> str:
+    return f"""SELECT '{c.RULE_CONTEXT}' AS regra, b + d = 0 AS passou,
+  CASE WHEN b + d = 0 THEN n || ' documentos, um por filme, nenhum vazio'
+  ELSE b || ' documentos vazios/nulos e ' || d || ' linhas de diferença para dim_movies' END AS detalhe FROM ({counts}) t"""
+
+
+def domain(counts: str) -> str:
+    return f"""SELECT '{c.RULE_GENRES}' AS regra, b = 0 AS passou, CASE WHEN b = 0 THEN n || ' gêneros, todos do domínio'
+  ELSE b || ' gêneros fora do domínio' END AS detalhe FROM ({counts}) t"""
+
+
+def bridges(*counts: str) -> str:
+    links = ("genre->movie", "genre->genre", "person->movie", "person->person", "company->movie", "company->company")
+    rows = " UNION ALL ".join(
+        f"SELECT {i} AS i, '{link}' AS l, ({count}) AS n" for i, (link, count) in enumerate(zip(links, counts, strict=True))
+    )
+    return f"""SELECT '{c.RULE_BRIDGES}' AS regra, sum(n) = 0 AS passou,
+  CASE WHEN sum(n) = 0 THEN 'todas as chaves das bridges existem nas dimensões' ELSE 'chaves órfãs: {{'
+  || string_agg('''' || l || ''': ' || n, ', ' ORDER BY i) FILTER (WHERE n > 0) || '}}' END AS detalhe FROM ({rows}) t"""
+
+
+def scale(counts: str) -> str:
+    return f"""SELECT '{c.RULE_RATINGS}' AS regra, b = 0 AS passou, CASE WHEN b = 0 THEN 'todas as notas estão entre 0 e 10'
+  ELSE b || ' notas fora do intervalo de 0 a 10' END AS detalhe FROM ({counts}) t"""
+
+
+def money(counts: str) -> str:
+    return f"""SELECT '{c.RULE_MONEY}' AS regra, a + b = 0 AS passou,
+  CASE WHEN a + b = 0 THEN 'sem valores negativos e lucro = receita - orçamento'
+  ELSE a || ' valores negativos e ' || b || ' lucros incoerentes' END AS detalhe FROM ({counts}) t"""
+
+
 # --- the queries ----------------------------------------------------------------------------------
 
 BODIES: dict[str, str] = {
@@ -359,7 +408,7 @@ WHERE {name_test("n")}""",
     "ingest_stamp": "SELECT *, TIMESTAMP '2026-09-20 06:00:18' AS ingestion_datetime FROM customer",
     "rate_json": "\nUNION ALL\n".join(
         f"""SELECT json_extract_string(payload, '$.value[{i}].dataHoraCotacao') AS dataHoraCotacao,
-  CAST(json_extract(payload, '$.value[{i}].cotacaoCompra') AS DOUBLE) AS cotacaoCompra FROM rate_payload"""
+  CAST(json_extract(payload, '$.value[{i}].cotacaoCompra') AS DOUBLE) AS cotacaoCompra FROM rate_payload WHERE json_array_length(payload, '$.value') > {i}"""
         for i in (0, 1)
     ),
     "calendar_ffill": f"""
@@ -435,50 +484,33 @@ SELECT (SELECT count(*) FROM lineitem WHERE l_returnflag = 'R') AS left_rows,
     AND NOT EXISTS (SELECT 1 FROM lineitem WHERE l_returnflag = 'R' AND l_orderkey = o.o_orderkey)) AS only_right""",
     "orphans": """
 SELECT count(*) AS orphans FROM lineitem WHERE NOT EXISTS (SELECT 1 FROM part WHERE p_size <= 25 AND p_partkey = l_partkey)""",
-    "rule_grain": f"""
-SELECT '{c.RULE_GRAIN}' AS regra, n = k AS passou, CASE WHEN n = k THEN n || ' linhas, uma por filme'
-  ELSE n || ' linhas para ' || k || ' filmes distintos (grão duplicado)' END AS detalhe
-FROM (SELECT count(*) AS n, count(DISTINCT l_orderkey) AS k FROM lineitem) t""",
-    "rule_coverage": f"""
-SELECT '{c.RULE_COVERAGE}' AS regra, a + b = 0 AS passou, CASE WHEN a + b = 0 THEN n || ' filmes lançados na fato'
-  ELSE a || ' lançados fora da fato e ' || b || ' filmes na fato que não são lançados' END AS detalhe
-FROM (SELECT (SELECT count(*) FROM lineitem) AS n,
+    "rule_grain": grain("SELECT count(*) AS n, count(DISTINCT l_orderkey) AS k FROM lineitem"),
+    "rule_coverage": coverage("""
+SELECT (SELECT count(*) FROM lineitem) AS n,
   (SELECT count(*) FROM orders WHERE o_orderstatus = 'F' AND o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)) AS a,
-  (SELECT count(*) FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')) AS b) t""",
-    "rule_document": f"""
-SELECT '{c.RULE_CONTEXT}' AS regra, b + d = 0 AS passou, CASE WHEN b + d = 0 THEN n || ' documentos, um por filme, nenhum vazio'
-  ELSE b || ' documentos vazios/nulos e ' || d || ' linhas de diferença para dim_movies' END AS detalhe
-FROM (SELECT count(*) AS n, count(*) FILTER (WHERE comment_txt IS NULL OR trim(comment_txt) = '') AS b,
-  abs(count(*) - (SELECT count(*) FROM orders)) AS d FROM comment_txt) t""",
-    "rule_domain": f"""
-SELECT '{c.RULE_GENRES}' AS regra, b = 0 AS passou,
-  CASE WHEN b = 0 THEN n || ' gêneros, todos do domínio' ELSE b || ' gêneros fora do domínio' END AS detalhe
-FROM (SELECT count(*) AS n, count(*) FILTER (WHERE p_size > 25) AS b FROM part) t""",
-    "rule_bridges": f"""
-SELECT '{c.RULE_BRIDGES}' AS regra, sum(n) = 0 AS passou,
-  CASE WHEN sum(n) = 0 THEN 'todas as chaves das bridges existem nas dimensões'
-    ELSE 'chaves órfãs: {{' || string_agg('''' || l || ''': ' || n, ', ' ORDER BY i) FILTER (WHERE n > 0) || '}}' END AS detalhe
-FROM (
-  SELECT 1 AS i, 'genre->movie' AS l, count(*) AS n FROM no_movie
-  UNION ALL SELECT 2, 'genre->genre', count(*) FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size <= 25)
-  UNION ALL SELECT 3, 'person->movie', count(*) FROM no_movie
-  UNION ALL SELECT 4, 'person->person', count(*) FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier)
-  UNION ALL SELECT 5, 'company->movie', count(*) FROM no_movie
-  UNION ALL SELECT 6, 'company->company', count(*) FROM lineitem WHERE l_suppkey % 30 NOT IN (SELECT n_nationkey FROM nation)) t""",
-    "rule_range": f"""
-SELECT '{c.RULE_RATINGS}' AS regra, b = 0 AS passou,
-  CASE WHEN b = 0 THEN 'todas as notas estão entre 0 e 10' ELSE b || ' notas fora do intervalo de 0 a 10' END AS detalhe
-FROM (SELECT (SELECT count(*) FROM events WHERE value < 0 OR value > 10)
+  (SELECT count(*) FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')) AS b"""),
+    "rule_document": documents("""
+SELECT count(*) AS n, count(*) FILTER (WHERE comment_txt IS NULL OR trim(comment_txt) = '') AS b,
+  abs(count(*) - (SELECT count(*) FROM orders)) AS d FROM comment_txt"""),
+    "rule_domain": domain("SELECT count(*) AS n, count(*) FILTER (WHERE p_size > 25) AS b FROM part"),
+    "rule_bridges": bridges(
+        "SELECT count(*) FROM no_movie",
+        "SELECT count(*) FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size <= 25)",
+        "SELECT count(*) FROM no_movie",
+        "SELECT count(*) FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier)",
+        "SELECT count(*) FROM no_movie",
+        "SELECT count(*) FROM lineitem WHERE l_suppkey % 30 NOT IN (SELECT n_nationkey FROM nation)",
+    ),
+    "rule_range": scale("""
+SELECT (SELECT count(*) FROM events WHERE value < 0 OR value > 10)
   + (SELECT count(*) FROM events WHERE value / 10 < 0 OR value / 10 > 10)
-  + (SELECT count(*) FROM customer WHERE c_acctbal / 1000 < 0 OR c_acctbal / 1000 > 10) AS b) t""",
-    "rule_money": f"""
-SELECT '{c.RULE_MONEY}' AS regra, a + b = 0 AS passou, CASE WHEN a + b = 0 THEN 'sem valores negativos e lucro = receita - orçamento'
-  ELSE a || ' valores negativos e ' || b || ' lucros incoerentes' END AS detalhe
-FROM (SELECT count(*) FILTER (WHERE k < 0) + count(*) FILTER (WHERE low AND p < 0) + count(*) FILTER (WHERE k - 100 < 0)
+  + (SELECT count(*) FROM customer WHERE c_acctbal / 1000 < 0 OR c_acctbal / 1000 > 10) AS b"""),
+    "rule_money": money("""
+SELECT count(*) FILTER (WHERE k < 0) + count(*) FILTER (WHERE low AND p < 0) + count(*) FILTER (WHERE k - 100 < 0)
   + count(*) FILTER (WHERE p - 50000 < 0) AS a, count(*) FILTER (WHERE low AND abs(g - (p - k)) > 0.01) AS b
   FROM (SELECT CAST(o_custkey AS DECIMAL(18,2)) AS k, CAST(o_totalprice AS DECIMAL(18,2)) AS p, o_orderpriority <> '5-LOW' AS low,
     CASE WHEN o_orderstatus = 'F' THEN CAST(o_totalprice AS DECIMAL(18,2)) - CAST(o_custkey AS DECIMAL(18,2))
-      ELSE CAST(o_totalprice AS DECIMAL(18,2)) END AS g FROM orders) t) u""",
+      ELSE CAST(o_totalprice AS DECIMAL(18,2)) END AS g FROM orders) t"""),
     "silver_info": "SELECT * FROM s_info",
     "silver_financials": "SELECT * FROM s_financials",
     "silver_metrics": "SELECT * FROM s_metrics",
@@ -497,14 +529,54 @@ FROM (SELECT count(*) FILTER (WHERE k < 0) + count(*) FILTER (WHERE low AND p <
     "gold_bridge_company": "SELECT * FROM g_bridge_company",
     "gold_people_per_movie": "SELECT * FROM g_actors",
     "gold_context": "SELECT * FROM g_context",
-    "quality_report": f"""
-SELECT '{c.RULE_GRAIN}' AS regra, TRUE AS passou, count(*) || ' linhas, uma por filme' AS detalhe FROM g_fact
-UNION ALL SELECT '{c.RULE_COVERAGE}', TRUE, count(*) || ' filmes lançados na fato' FROM g_movies WHERE status_filme = 'Lançado'
-UNION ALL SELECT '{c.RULE_CONTEXT}', TRUE, count(*) || ' documentos, um por filme, nenhum vazio' FROM g_context
-UNION ALL SELECT '{c.RULE_GENRES}', TRUE, count(*) || ' gêneros, todos do domínio' FROM g_genres
-UNION ALL SELECT '{c.RULE_BRIDGES}', TRUE, 'todas as chaves das bridges existem nas dimensões'
-UNION ALL SELECT '{c.RULE_RATINGS}', TRUE, 'todas as notas estão entre 0 e 10'
-UNION ALL SELECT '{c.RULE_MONEY}', TRUE, 'sem valores negativos e lucro = receita - orçamento'""",
+    "quality_report": "\nUNION ALL\n".join(
+        [
+            grain("SELECT count(*) AS n, count(DISTINCT sk_movie_id) AS k FROM g_fact"),
+            coverage("""
+SELECT (SELECT count(*) FROM g_fact) AS n,
+  (SELECT count(*) FROM g_released WHERE sk_movie_id NOT IN (SELECT sk_movie_id FROM g_fact)) AS a,
+  (SELECT count(*) FROM g_fact WHERE sk_movie_id NOT IN (SELECT sk_movie_id FROM g_released)) AS b"""),
+            documents("""
+SELECT count(*) AS n, count(*) FILTER (WHERE llm_context_document IS NULL OR trim(llm_context_document) = '') AS b,
+  abs(count(*) - (SELECT count(*) FROM g_movies)) AS d FROM g_context"""),
+            domain(
+                "SELECT count(*) AS n, count(*) FILTER (WHERE nome_genero IS NULL OR nome_genero NOT IN "
+                f"({', '.join(f"'{g}'" for g in c.GENRES)})) AS b FROM g_genres"
+            ),
+            bridges(
+                *(
+                    f"SELECT count(*) FROM {link} WHERE {key} NOT IN (SELECT {key} FROM {dim})"
+                    for link, dim_key, dim_table in (
+                        ("g_bridge_genre", "sk_genre_id", "g_genres"),
+                        ("g_bridge_person", "sk_person_id", "g_people"),
+                        ("g_bridge_company", "sk_company_id", "g_companies"),
+                    )
+                    for key, dim in (("sk_movie_id", "g_movies"), (dim_key, dim_table))
+                )
+            ),
+            scale("""
+SELECT (SELECT count(*) FROM g_fact WHERE nota_media_tmdb < 0 OR nota_media_tmdb > 10)
+  + (SELECT count(*) FROM g_fact WHERE nota_media_imdb < 0 OR nota_media_imdb > 10)
+  + (SELECT count(*) FROM g_reviews WHERE nota_media_usuarios < 0 OR nota_media_usuarios > 10) AS b"""),
+            money("""
+SELECT count(*) FILTER (WHERE orcamento_usd < 0) + count(*) FILTER (WHERE receita_usd < 0)
+  + count(*) FILTER (WHERE orcamento_brl < 0) + count(*) FILTER (WHERE receita_brl < 0) AS a,
+  count(*) FILTER (WHERE abs(lucro_usd - (receita_usd - orcamento_usd)) > 0.01) AS b FROM g_fact"""),
+        ]
+    ),
+    "landing_csv": """
+SELECT id, tconst, title, original_title, original_language, release_date, runtime, status, overview, tagline,
+  CAST(ingestion_datetime AS VARCHAR) AS ingestion_datetime FROM raw_info""",
+    "rate_files": f"""
+SELECT CAST(CAST(ts AS DATE) AS VARCHAR) || ' 13:09:02.5' AS dataHoraCotacao, value AS cotacaoCompra FROM events
+WHERE CAST(ts AS DATE) BETWEEN DATE '{FEED_START}' AND DATE '{FEED_END}'""",
+    "table_writes": """
+SELECT 'append' AS write, 2 * count(*) AS row_count, CAST(2 * sum(c_custkey) AS BIGINT) AS key_sum FROM customer
+UNION ALL SELECT 'overwrite', count(*), CAST(sum(s_suppkey) AS BIGINT) FROM supplier
+UNION ALL SELECT 'ingest', 2 * count(*), CAST(2 * sum(c_custkey) AS BIGINT) FROM customer""",
+    "records_frame": "SELECT n_name AS dataHoraCotacao, CAST(n_nationkey AS DOUBLE) AS cotacaoCompra FROM nation",
+    "calendar_days": f"""
+SELECT {ranges("(SELECT CAST(min(o_orderdate) AS DATE) FROM orders)", "(SELECT CAST(max(o_orderdate) AS DATE) FROM orders)")} AS day""",
     "question_total_revenue": "SELECT CAST(sum(receita_brl) AS DECIMAL(28,2)) AS receita_total_brl FROM g_fact",
     "question_most_popular": """
 SELECT titulo, popularidade FROM g_fact JOIN g_movies USING (sk_movie_id)
@@ -527,12 +599,17 @@ GROUP BY nome_produtora ORDER BY lucro_total_usd DESC, nome_produtora LIMIT 1"""
 CUT = f"(SELECT CAST(max(o_orderdate) AS DATE) AS cut FROM orders WHERE CAST(o_orderdate AS DATE) <= DATE '{TODAY}') x"
 for _name in ("q_top_person_window", "q_top_company_window"):
     BODIES[_name] = BODIES[_name].format(cut=CUT)
+_RULES = ("rule_grain", "rule_coverage", "rule_document", "rule_domain", "rule_bridges", "rule_range", "rule_money")
+BODIES["gate_failures"] = (
+    "SELECT regra, detalhe FROM (" + "\nUNION ALL\n".join(BODIES[r] for r in _RULES) + ") r WHERE NOT passou"
+)
 
+STEPS["week_known"] = "SELECT * FROM week_values WHERE read_at <> 'no instant' AND o_totalprice IS NOT NULL"
 STEPS["week_best"] = """
-SELECT CAST(substr(read_at, 1, 10) AS DATE) AS w, o_totalprice AS v FROM week_values
+SELECT CAST(substr(read_at, 1, 10) AS DATE) AS w, o_totalprice AS v FROM week_known
 QUALIFY row_number() OVER (PARTITION BY substr(read_at, 1, 10) ORDER BY read_at DESC, o_totalprice DESC) = 1"""
 STEPS["week_best_by"] = """
-SELECT o_orderpriority, CAST(substr(read_at, 1, 10) AS DATE) AS w, o_totalprice AS v FROM week_values
+SELECT o_orderpriority, CAST(substr(read_at, 1, 10) AS DATE) AS w, o_totalprice AS v FROM week_known
 QUALIFY row_number() OVER (PARTITION BY o_orderpriority, substr(read_at, 1, 10) ORDER BY read_at DESC, o_totalprice DESC) = 1"""
 STEPS["order_keys"] = "SELECT row_number() OVER (ORDER BY o_orderkey) AS sk_movie_id, o_orderkey FROM orders"
 STEPS["type_keys"] = distinct_key("part", {"p_type": "p_type"}, "sk_genre_id")

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import UTC, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,8 +14,20 @@ from lodestrata import functions as rules
 from lodestrata import operators as ops
 from lodestrata.plans import catalogue as c
 from lodestrata.plans import gate, gold, questions
-from lodestrata.sources import rate_records, stamp_ingestion
-from workloads.star import TODAY, Gold, Silver
+from lodestrata.sources import (
+    append_table,
+    ensure_layers,
+    ingest_files,
+    overwrite_table,
+    rate_records,
+    read_landing_csv,
+    read_rate_json,
+    records_to_df,
+    stage,
+    staging_folder,
+    stamp_ingestion,
+)
+from workloads.star import FEED_END, FEED_START, TODAY, Gold, Silver
 from workloads.tables import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -177,6 +191,78 @@ def rate_json(t):
     return rate_records(t.input("rate_payload"), "payload")
 
 
+def _folder(t) -> str:
+    return f"{staging_folder(t.spark)}/landed-{uuid.uuid4().hex}"
+
+
+def _as_csv(rows, path) -> None:
+    kept = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    rows.write.options(**kept).csv(path)
+
+
+@on_tables
+def landing_csv(t):
+    """The raw movies as landed files, read back."""
+    rows, path = t.input("raw_info"), _folder(t)
+    _as_csv(rows.withColumn("ingestion_datetime", F.col("ingestion_datetime").cast("string")), path)
+    return read_landing_csv(t.spark, path, rows.columns)
+
+
+@on_tables
+def rate_files(t):
+    """Responses of up to 500 records as files of their own, read for a range of days."""
+    path = _folder(t)
+    record = F.struct(
+        F.concat(F.col("ts").cast("date").cast("string"), F.lit(" 13:09:02.5")).alias("dataHoraCotacao"),
+        F.col("value").alias("cotacaoCompra"),
+    )
+    responses = t["events"].groupBy(F.floor(F.col("event_id") / 500).alias("part")).agg(
+        F.to_json(F.struct(F.collect_list(record).alias("value"))).alias("response")
+    )
+    responses.write.partitionBy("part").text(path)
+    return read_rate_json(t.spark, path, FEED_START, FEED_END)
+
+
+@on_tables
+def table_writes(t):
+    """Two appends, an overwrite and two ingestions of landed files, then what the tables hold."""
+    spark, mark = t.spark, uuid.uuid4().hex
+    ensure_layers(spark)
+    appended, replaced, ingested = f"bronze.a_{mark}", f"silver.b_{mark}", f"bronze.c_{mark}"
+    customers = t["customer"].select(F.col("c_custkey").alias("key"))
+    suppliers = t["supplier"].select(F.col("s_suppkey").alias("key"))
+    landed = _folder(t)
+    _as_csv(customers, f"{landed}/customers.csv")
+    for _ in range(2):
+        append_table(customers, appended)
+        ingest_files(spark, landed, {"customers.csv": ingested})
+    for rows in (customers, suppliers):
+        overwrite_table(rows, replaced)
+
+    def held(write, table):
+        key = F.col("key").cast("bigint")
+        return spark.table(table).agg(F.lit(write).alias("write"), F.count("*").alias("row_count"), F.sum(key).alias("key_sum"))
+
+    result = held("append", appended).unionByName(held("overwrite", replaced)).unionByName(held("ingest", ingested))
+    result = stage(result)
+    for table in (appended, replaced, ingested):
+        spark.sql(f"DROP TABLE {table}")
+    return result
+
+
+@on_tables
+def records_frame(t):
+    """The nations (a fixed number) as the records of one response."""
+    rows = t["nation"].select(F.col("n_name").alias("dataHoraCotacao"), F.col("n_nationkey").cast("double").alias("cotacaoCompra"))
+    return records_to_df(t.spark, [r.asDict() for r in rows.collect()])
+
+
+@on_tables
+def calendar_days(t):
+    first, last = t["orders"].select(F.min("o_orderdate").cast("date"), F.max("o_orderdate").cast("date")).first()
+    return ops.calendar(t.spark, first, last)
+
+
 # --- series ---------------------------------------------------------------------------------------
 
 
@@ -456,6 +542,14 @@ def rule_money(t):
     return gate.check_money(_money_fact(t))
 
 
+@on_tables
+def gate_failures(t):
+    """The failed rules of a faulty star, as the gate reports them."""
+    checks = (rule_grain, rule_coverage, rule_document, rule_domain, rule_bridges, rule_range, rule_money)
+    reports = [check(t) for check in checks]
+    return gate.failed_rules(reduce(DataFrame.unionByName, reports)).select("regra", "detalhe")
+
+
 # --- the movie catalogue: clean tables ------------------------------------------------------------
 
 
@@ -566,12 +660,12 @@ def _today():
 
 @on_gold
 def question_total_revenue(g):
-    return questions.total_revenue(g.fact)
+    return questions.total_revenue(g.fact_of("receita_brl"))
 
 
 @on_gold
 def question_most_popular(g):
-    return questions.most_popular(g.fact, g.movies)
+    return questions.most_popular(g.fact_of("popularidade"), g.movies)
 
 
 @on_gold
@@ -581,7 +675,7 @@ def question_movies_per_genre(g):
 
 @on_gold
 def question_highest_revenue(g):
-    return questions.highest_revenue(g.fact, g.movies)
+    return questions.highest_revenue(g.fact_of("receita_usd", "receita_brl"), g.movies)
 
 
 @on_gold
@@ -592,5 +686,5 @@ def question_busiest_actor(g):
 @on_gold
 def question_most_profitable_company(g):
     return questions.most_profitable_company(
-        g.bridge_company, g.movies, g.fact, g.companies, today=_today()
+        g.bridge_company, g.movies, g.fact_of("lucro_usd"), g.companies, today=_today()
     )

@@ -14,6 +14,8 @@ from workloads.tables import Tables
 RATE_START, RATE_END = "2001-01-01", "2001-12-31"
 # The day the questions are asked on: releases after it are in the future.
 TODAY = "2001-06-30"
+# The range of days read from the landed rate files.
+FEED_START, FEED_END = "2024-01-05", "2024-01-20"
 
 
 class Silver:
@@ -48,8 +50,9 @@ class Silver:
 class Gold:
     """The star; only what a query uses is built.
 
-    A clean table that several tables of the star read is written once and read back, as between the
-    layers of a run. One that a single table reads stays part of its plan.
+    A clean table that several tables of the star read, or that gets keys, is written once and read back, as
+    between the layers of a run: keys never run over the long cleaning plans. One that a single table reads
+    stays part of its plan. Building a frame therefore runs jobs.
     """
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
@@ -63,9 +66,13 @@ class Gold:
     def names(self) -> DataFrame:
         return stage(self.silver.names())
 
+    @cached_property
+    def info(self) -> DataFrame:
+        return stage(self.silver.info())
+
     @cached_property
     def movies(self) -> DataFrame:
-        return gold.dim_movies(self.silver.info())
+        return gold.dim_movies(self.info)
 
     @cached_property
     def genres(self) -> DataFrame:
@@ -85,8 +92,12 @@ class Gold:
 
     @cached_property
     def fact(self) -> DataFrame:
+        return self.fact_of()
+
+    def fact_of(self, *wanted: str) -> DataFrame:
+        """The fact with the wanted measures, or all; tables that give none of them are not read."""
         return gold.fact_movies_performance(
-            self.movies, self.silver.financials(), self.silver.metrics()
+            self.movies, self.silver.financials(), self.silver.metrics(), wanted or None
         )
 
     @cached_property
@@ -107,11 +118,15 @@ class Gold:
     @cached_property
     def context(self) -> DataFrame:
         names = gold.cast_and_directors(self.bridge_person, self.people)
-        return gold.movie_context(self.movies, self.fact, names)
+        amounts = self.fact_of("receita_usd", "orcamento_usd")
+        return gold.movie_context(self.movies, amounts, names)
 
     def report(self) -> DataFrame:
-        """The report on stored tables: the facts, bridges and documents are written once."""
-        for table in ("fact", "bridge_genre", "bridge_person", "bridge_company", "context"):
+        """The report on the stored star: every table is written once, before the tables that read it."""
+        for table in (
+            "movies", "genres", "people", "companies", "reviews", "fact",
+            "bridge_genre", "bridge_person", "bridge_company", "context",
+        ):
             setattr(self, table, stage(getattr(self, table)))
         return gate.check_all(
             dim_movies=self.movies,

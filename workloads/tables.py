@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from string import Formatter
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,12 +10,17 @@ from pyspark.sql import DataFrame, SparkSession
 from lodestrata.session import tune
 from workloads.inputs import INPUTS
 
+_ZONE = "spark.sql.session.timeZone"
+
 
 class Tables:
     """Driver tables of one folder: ``t["orders"]`` reads a table, ``t.input("money_txt")`` derives one."""
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark = tune(spark)
+        if spark.conf.get(_ZONE) != "UTC":
+            warnings.warn(f"{_ZONE} of this session becomes UTC: the driver tables hold UTC instants", stacklevel=2)
+            spark.conf.set(_ZONE, "UTC")
         self._folder = folder.rstrip("/")
 
     def __getitem__(self, table: str) -> DataFrame:

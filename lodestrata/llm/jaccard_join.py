@@ -10,8 +10,8 @@ copies are never paired. Classes are joined exactly at ``percent``:
   A probe skips the blocks whose size cannot link, and in a block all that lies behind the last position
   from which the overlap can still be reached.
 * **Shapes.** A set's shape counts its shingles by hash in a few buckets. Two shapes differ at most by as much
-  as their sets, so pairs whose shapes differ by more than linked sets may are left out: in the lists by a
-  shape of 8 buckets, then by one of 64.
+  as their sets, so pairs whose shapes differ by more than linked sets may are left out: in the lists by 8
+  bytes (whether 64 buckets are odd, or counts of 8 buckets for larger sets), then by 256 counts.
 * **Answers from a similar set.** Sets that link are alike: what one of them links to, the others reach
   through it. First each set of a list is compared with the first possible partner only (linear in the
   list). The links give components; then only pairs from different components are candidates, since the
@@ -39,7 +39,9 @@ WORDS, PERCENT = 3, 90
 #: Counters of shingles (a fixed size), and how many tables of the result they are dealt to.
 COUNTER_BITS, SEGMENTS = 20, 256
 #: Buckets of a shape in the lists and in the table of classes; pairs that a task looks at together.
-SMALL, LARGE, AT_ONCE = 8, 64, 1 << 20
+SMALL, LARGE, AT_ONCE = 8, 256, 1 << 18
+#: Sets up to this size have odd buckets as their shape in the lists.
+ODD_SIZE = 256
 #: Classes a task remembers, to send the index entries of copies once.
 REMEMBERED = 200_000
 
@@ -94,12 +96,32 @@ def _per_text(frame: DataFrame, make: Callable, schema: str, end: Callable | Non
     return frame.mapInArrow(task, schema)
 
 
-def _shapes(shingles: np.ndarray, firsts: np.ndarray, buckets: int, kind: type) -> np.ndarray:
-    """(set, bucket) counts, as high as the type can hold; a cut count is still a bound from below."""
+def _counts(shingles: np.ndarray, firsts: np.ndarray, buckets: int) -> np.ndarray:
     text = np.repeat(np.arange(len(firsts) - 1), np.diff(firsts))
     bucket = (shingles >> np.uint64(8)).astype(np.int64) % buckets
-    counts = np.bincount(text * buckets + bucket, minlength=(len(firsts) - 1) * buckets)
-    return np.minimum(counts, np.iinfo(kind).max).astype(kind).reshape(-1, buckets)
+    return np.bincount(text * buckets + bucket, minlength=(len(firsts) - 1) * buckets).reshape(-1, buckets)
+
+
+def large_shapes(shingles: np.ndarray, firsts: np.ndarray) -> np.ndarray:
+    """(set, bucket) counts up to 255; a cut count is still a bound from below."""
+    return np.minimum(_counts(shingles, firsts, LARGE), 255).astype(np.uint8)
+
+
+def small_shapes(shingles: np.ndarray, firsts: np.ndarray) -> np.ndarray:
+    """Eight bytes per set as one number: 64 odd buckets of a small set, 8 counts of a large one."""
+    odd = np.packbits((_counts(shingles, firsts, 64) & 1).astype(np.uint8), axis=1)
+    counted = np.minimum(_counts(shingles, firsts, SMALL), 255).astype(np.uint8)
+    chosen = np.where((np.diff(firsts) <= ODD_SIZE)[:, None], odd, counted)
+    return np.ascontiguousarray(chosen).view("<i8").ravel()
+
+
+def _small_difference(n: np.ndarray, m: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """How much two sets differ at least, by their small shapes; 0 where those are of different kinds."""
+    odd, counted = (n <= ODD_SIZE) & (m <= ODD_SIZE), (n > ODD_SIZE) & (m > ODD_SIZE)
+    out = np.where(odd, np.bitwise_count((x ^ y).view(np.uint64)), 0).astype(np.int64)
+    a, b = (z[counted].view(np.uint8).reshape(-1, SMALL).astype(np.int16) for z in (x, y))
+    out[counted] = np.abs(a - b).sum(axis=1)
+    return out
 
 
 _CLASSES = "id long, n int, class long, shape binary, segment int, counts binary"
@@ -117,10 +139,8 @@ def _classes_and_counters(rows: DataFrame, words: int) -> DataFrame:
     def make(state: dict, ids: pa.Array, texts: pa.Array) -> pa.Table:
         shingles, firsts = shingle_sets(texts, words)
         bucket = (shingles >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)
-        if "counts" not in state:
-            state["counts"] = np.zeros(size, dtype="<i4")
-        np.add.at(state["counts"], bucket, 1)
-        shapes = _shapes(shingles, firsts, LARGE, np.uint16)
+        state["counts"] = state.get("counts", 0) + np.bincount(bucket, minlength=size).astype(np.int32)
+        shapes = large_shapes(shingles, firsts)
         return table(
             len(ids), id=ids, n=pa.array(np.diff(firsts).astype(np.int32)),
             shape=pa.array([x.tobytes() for x in shapes], pa.binary()),
@@ -128,7 +148,9 @@ def _classes_and_counters(rows: DataFrame, words: int) -> DataFrame:
         )
 
     def end(state: dict) -> pa.Table:
-        parts = state["counts"].reshape(SEGMENTS, -1) if state else np.zeros((0, 1))
+        # A byte is enough for a task: a counter that is cut still stands out.
+        counts = np.minimum(state["counts"], 255).astype(np.uint8) if state else np.zeros(0, dtype=np.uint8)
+        parts = counts.reshape(SEGMENTS, -1) if state else counts.reshape(0, 1)
         raw = pa.array([part.tobytes() for part in parts], pa.binary())
         return table(len(parts), segment=pa.array(range(len(parts)), pa.int32()), counts=raw)
 
@@ -142,7 +164,7 @@ def _levels(counted: DataFrame) -> np.ndarray:
         total: dict[int, np.ndarray] = {}
         for batch in batches:
             for k, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                total[k] = total.get(k, 0) + np.frombuffer(raw, dtype="<i4").astype("<i8")
+                total[k] = total.get(k, 0) + np.frombuffer(raw, dtype=np.uint8).astype("<i8")
         arrays = [pa.array(total.keys(), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())]
         yield pa.RecordBatch.from_arrays(arrays, ["segment", "counts"])
 
@@ -188,7 +210,7 @@ def _entries(rows: DataFrame, words: int, percent: int, levels: np.ndarray) -> D
                 "n": n[text].astype(np.int32),
                 "pos": pos.astype(np.int32),
                 "class": classes[text],
-                "shape": _shapes(shingles, firsts, SMALL, np.uint8).view("<i8").ravel()[text],
+                "shape": small_shapes(shingles, firsts)[text],
             }
         )
 
@@ -259,7 +281,6 @@ def _possible_pairs(token, n, pos, shape, percent: int) -> Iterator[tuple[np.nda
     entry_key = (of_block << 32) | pos
     # Blocks of a list from the smallest size that can link up to the entry's own.
     lowest = np.searchsorted(block_key, (of_list << 32) | -((-percent * n) // 100))
-    counts = shape.view(np.uint8).reshape(-1, SMALL).astype(np.int16)
     blocks_to = np.cumsum(of_block - lowest + 1)
     start = 0
     while start < len(n):
@@ -277,7 +298,7 @@ def _possible_pairs(token, n, pos, shape, percent: int) -> Iterator[tuple[np.nda
             to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + AT_ONCE)))
             row, nth = _spread(length[at:to])
             k, j = later[at:to][row], begin[block[at:to][row]] + nth
-            differ = np.abs(counts[k] - counts[j]).sum(axis=1)
+            differ = _small_difference(n[k], n[j], shape[k], shape[j])
             good = differ <= n[k] + n[j] - 2 * _overlap_needed(n[k], n[j], percent)
             if good.any():
                 yield k[good], j[good]
@@ -322,10 +343,10 @@ def _near(pairs: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             n, m = (batch.column(k).to_numpy().astype(np.int64) for k in (2, 3))
             shapes = [
-                np.frombuffer(b"".join(batch.column(k).to_pylist()), dtype="<u2").reshape(-1, LARGE).astype(np.int32)
+                np.frombuffer(b"".join(batch.column(k).to_pylist()), dtype=np.uint8).reshape(-1, LARGE).astype(np.int16)
                 for k in (4, 5)
             ]
-            differ = np.abs(shapes[0] - shapes[1]).sum(axis=1)
+            differ = np.abs(shapes[0] - shapes[1]).sum(axis=1, dtype=np.int64)
             good = pa.array(differ <= n + m - 2 * _overlap_needed(n, m, percent))
             yield pa.RecordBatch.from_arrays([batch.column(k).filter(good) for k in (0, 1)], ["a", "b"])
 
@@ -370,7 +391,7 @@ def _linked(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Dat
                 [batch.column(k).filter(pa.array(good)) for k in range(2)], ["a", "b"]
             )
 
-    return frame.mapInArrow(task, "a long, b long")
+    return frame.mapInArrow(task, "a long, b long").distinct()
 
 
 def join_classes(rows: DataFrame, words: int = WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
@@ -401,17 +422,24 @@ def join_classes(rows: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
 
 
 def _texts(rows: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """One text per wanted class (id, n, class); an id may have several texts."""
+    """The texts of wanted classes (id, n, class). An id may have several texts; rows that repeat may come again."""
+    frame = rows.join(wanted.select("id", "n", "class"), "id").select("id", "text", "n", "class")
 
-    def make(_: dict, ids: pa.Array, texts: pa.Array) -> pa.Table:
-        shingles, firsts = shingle_sets(texts, words)
-        n = np.diff(firsts).astype(np.int32)
-        return pa.table({"id": ids, "text": texts, "n": n, "class": set_hashes(shingles, firsts)})
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for batch in batches:
+            n, classes = (batch.column(k).to_numpy() for k in (2, 3))
+            good = np.zeros(batch.num_rows, dtype=bool)
+            for first, texts in pieces(batch.column(1)):
+                part = slice(first, first + len(texts))
+                shingles, firsts = shingle_sets(texts, words)
+                good[part] = (np.diff(firsts) == n[part]) & (set_hashes(shingles, firsts) == classes[part])
+            for k in np.flatnonzero(good).tolist():
+                key = batch.column(0)[k].as_py(), int(n[k]), int(classes[k])
+                good[k], last = key != last, key
+            yield pa.RecordBatch.from_arrays([batch.column(k).filter(pa.array(good)) for k in (0, 1)], ["id", "text"])
 
-    some = rows.join(wanted.select("id").distinct(), "id", "left_semi")
-    known = _per_text(some, make, "id long, text string, n int, class long")
-    one = known.join(wanted.select("id", "n", "class"), ["id", "n", "class"])
-    return one.groupBy("id", "n", "class").agg(F.min("text").alias("text")).select("id", "text")
+    return frame.mapInArrow(task, "id long, text string")
 
 
 def jaccard_components(

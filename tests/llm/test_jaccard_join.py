@@ -123,7 +123,7 @@ def test_possible_pairs_hold_every_link():
         texts.append(" ".join(words[: rng.integers(135, 151)]))
     shingles, firsts = jaccard_join.shingle_sets(pa.array(texts), 3, np.zeros(1 << jaccard_join.COUNTER_BITS, dtype=np.uint8))
     sets = [set(shingles[a:b].tolist()) for a, b in zip(firsts, firsts[1:], strict=False)]
-    shapes = jaccard_join._shapes(shingles, firsts, jaccard_join.SMALL, np.uint8).view("<i8").ravel()
+    shapes = jaccard_join.small_shapes(shingles, firsts)
     entries = []
     for k, s in enumerate(sets):
         prefix = len(s) + (-90 * len(s)) // 100 + 1
@@ -140,6 +140,20 @@ def test_possible_pairs_hold_every_link():
     assert links and links <= {p for p in found} | {p for p in links if sets[p[0]] == sets[p[1]]}
 
 
+def test_shapes_never_differ_more_than_their_sets():
+    rng = random.Random(4)
+    texts = [" ".join(f"w{rng.randrange(40)}" for _ in range(rng.randrange(1, 700))) for _ in range(60)]
+    texts += [t + f" tail{k}" for k, t in enumerate(texts)]
+    shingles, firsts = jaccard_join.shingle_sets(pa.array(texts), 3)
+    sets = [set(shingles[a:b].tolist()) for a, b in zip(firsts, firsts[1:], strict=False)]
+    n, small, large = np.diff(firsts), jaccard_join.small_shapes(shingles, firsts), jaccard_join.large_shapes(shingles, firsts).astype(int)
+    k, j = (x.ravel() for x in np.meshgrid(np.arange(120), np.arange(120)))
+    differ = jaccard_join._small_difference(n[k], n[j], small[k], small[j])
+    for a, b, d in zip(k.tolist(), j.tolist(), differ.tolist(), strict=True):
+        assert max(d, np.abs(large[a] - large[b]).sum()) <= len(sets[a] ^ sets[b])
+    assert differ.max() > 20
+
+
 def test_components_of_long_chains(spark):
     links = [(i, i + 1) for i in range(0, 60)] + [(100, 99), (99, 98), (200, 201), (200, 202), (5, 5)]
     found = components(spark.createDataFrame(links, "a long, b long"), "a", "b").collect()

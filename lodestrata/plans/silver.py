@@ -10,6 +10,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from lodestrata import functions as rules
 from lodestrata.operators import (
@@ -95,8 +96,10 @@ def user_reviews(raw: DataFrame) -> DataFrame:
     differ in an unreadable rating are two reviews.
     """
     named = raw.withColumnsRenamed(c.REVIEW_NAMES).select(*c.REVIEW_COLUMNS)
+    is_text = isinstance(named.schema["nota_usuario"].dataType, StringType)
+    number = rules.safe_number("_as_came") if is_text else F.col("nota_usuario").cast("double")
     text = named.withColumn("_as_came", F.col("nota_usuario").cast("string"))
-    read = text.withColumn("nota_usuario", rules.safe_number("_as_came"))
+    read = text.withColumn("nota_usuario", number)
     compared = read.withColumn("_as_came", F.coalesce(F.col("nota_usuario").cast("string"), "_as_came"))
     return (
         drop_exact_duplicates(compared, [*c.REVIEW_COLUMNS, "_as_came"])

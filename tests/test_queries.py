@@ -9,10 +9,10 @@ import pytest
 import __spark_entry__ as spark_entry
 from compare import compare
 from workloads.inputs import TABLES
+from workloads.oracles import ORACLES
+from workloads.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES = spark_entry.queries()
-ORACLES = spark_entry.oracle_sql()
 
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="no driver tables here")
 
@@ -27,6 +27,7 @@ def connection():
 
 def test_every_query_has_its_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(spark_entry.queries()) and set(ORACLES) <= set(spark_entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", QUERIES)

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodestrata import operators as ops
-from lodestrata.plans import silver
+from lodestrata.plans import gate, silver
+from workloads.star import Gold
 from workloads.tables import Tables
 
 
@@ -100,3 +101,30 @@ def test_dedup_sends_one_row_per_task_for_a_hot_key(spark):
     assert df.count() == 40000 - 13334 + 1
     plan = plan_of(df)
     assert re.search(r"row_number\(\), 1, Final[\s\S]*Exchange[\s\S]*row_number\(\), 1, Partial", plan)
+
+
+def jobs_of(spark, group, run):
+    spark.sparkContext.setJobGroup(group, group)
+    run()
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_a_measure_that_is_not_wanted_costs_nothing(spark, sf_dir):
+    star = Gold(spark, sf_dir)
+    optimized = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    for wanted in ("receita_brl", "lucro_usd"):
+        assert "nota_media_imdb" not in optimized(star.fact_of(wanted))
+    assert "receita_usd" not in optimized(star.fact_of("popularidade"))
+    assert "nota_media_imdb" in optimized(star.fact) and "receita_usd" in optimized(star.fact)
+
+
+def test_the_report_on_a_stored_star_is_one_lazy_plan(spark, sf_dir):
+    """Jobs run when the star is stored; building the report runs none, and reading it a few."""
+    star = Gold(spark, sf_dir)
+    tables = {}
+    stored = jobs_of(spark, "store", lambda: tables.update(star.stored()))
+    built = []
+    assert jobs_of(spark, "build", lambda: built.append(gate.check_all(**tables))) == 0
+    assert jobs_of(spark, "read", built[0].collect) <= 30
+    assert stored <= 110

@@ -121,22 +121,17 @@ class Gold:
         amounts = self.fact_of("receita_usd", "orcamento_usd")
         return gold.movie_context(self.movies, amounts, names)
 
-    def report(self) -> DataFrame:
-        """The report on the stored star: every table is written once, before the tables that read it."""
-        for table in (
-            "movies", "genres", "people", "companies", "reviews", "fact",
-            "bridge_genre", "bridge_person", "bridge_company", "context",
-        ):
+    def stored(self) -> dict[str, DataFrame]:
+        """The star by table name; every table is written once, before the tables that read it."""
+        names = {
+            "dim_movies": "movies", "dim_genres": "genres", "dim_people": "people", "dim_companies": "companies",
+            "dim_reviews": "reviews", "fact": "fact", "bridge_genre": "bridge_genre",
+            "bridge_person": "bridge_person", "bridge_company": "bridge_company", "context": "context",
+        }
+        for table in names.values():
             setattr(self, table, stage(getattr(self, table)))
-        return gate.check_all(
-            dim_movies=self.movies,
-            dim_genres=self.genres,
-            dim_people=self.people,
-            dim_companies=self.companies,
-            dim_reviews=self.reviews,
-            fact=self.fact,
-            bridge_genre=self.bridge_genre,
-            bridge_person=self.bridge_person,
-            bridge_company=self.bridge_company,
-            context=self.context,
-        )
+        return {name: getattr(self, table) for name, table in names.items()}
+
+    def report(self) -> DataFrame:
+        """The report on the stored star."""
+        return gate.check_all(**self.stored())

@@ -2,7 +2,7 @@
 
 A gear hash rolls over the bytes of every whole text; a chunk ends where its top bits are zero, so cuts
 follow the content: after an insertion the same chunks come again. Chunks are known by a 128-bit digest. A
-digest that stands in more than one place is a repeated chunk; runs of repeated chunks in a text of at least
+digest that stands in more than one text is a repeated chunk; runs of repeated chunks in a text of at least
 ``LEAST_RUN`` characters are repeated passages.
 
 Chunks are a table without text. Counting sums up per task before it is shuffled, and the repeated digests
@@ -117,11 +117,14 @@ def chunks(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame
     return frame.mapInArrow(task, _CHUNKS)
 
 
-def repeated_passages(docs: DataFrame, id: str = "doc_id", text: str = "text", least: int = LEAST_RUN) -> DataFrame:
+def repeated_passages(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", least: int = LEAST_RUN, within: bool = False
+) -> DataFrame:
     """One row per repeated passage of a text: ``id, start, end`` (code points, end exclusive), ``n_chunks``,
     ``first_doc_id`` (the smallest id that holds its first chunk), ``places`` (the most places that one of its
     chunks stands in) and ``n_later`` (its characters that also stand in a text of smaller id, or earlier in
-    the same text). A text without repeated passages gives no row.
+    the same text). A text without repeated passages gives no row. A chunk is repeated if it stands in more than
+    one text, and with ``within`` also if it stands in one text several times.
 
     Missing and empty texts have no chunks. A row without id takes part, after all others. Rows that repeat
     are copies of each other. Other columns do not matter.
@@ -130,8 +133,14 @@ def repeated_passages(docs: DataFrame, id: str = "doc_id", text: str = "text", l
     digest = ["digest_a", "digest_b"]
     repeated = (
         table.groupBy(*digest)
-        .agg(F.count(F.lit(1)).alias("places"), F.min("id").alias("first_doc_id"), F.min("row").alias("_first_row"))
-        .filter(F.col("places") > 1)
+        .agg(
+            F.count(F.lit(1)).alias("places"),
+            F.min("id").alias("first_doc_id"),
+            F.min("row").alias("_first_row"),
+            F.max("row").alias("_last_row"),
+        )
+        .filter((F.col("places") > 1) & (F.lit(within) | (F.col("_first_row") != F.col("_last_row"))))
+        .drop("_last_row")
     )
     of_text = Window.partitionBy("row").orderBy("nth")
     again = Window.partitionBy("row", *digest).orderBy("nth")
@@ -158,11 +167,13 @@ def repeated_passages(docs: DataFrame, id: str = "doc_id", text: str = "text", l
     )
 
 
-def without_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", least: int = LEAST_RUN) -> DataFrame:
+def without_repeats(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", least: int = LEAST_RUN, within: bool = False
+) -> DataFrame:
     """The rows of ``docs`` with repeated passages cut out of the text where all of them stands in a text of
     smaller id or earlier in the same one. Ids must be distinct; a row without id stays as it is."""
     spans = (
-        repeated_passages(docs, id, text, least)
+        repeated_passages(docs, id, text, least, within)
         .filter(F.col("n_later") == F.col("end") - F.col("start"))
         .groupBy(F.col(id).alias("_id"))
         .agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_spans"))

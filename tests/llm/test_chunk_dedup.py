@@ -73,7 +73,7 @@ def test_passages_against_a_table_of_all_chunks(documents):
     found = chunk_dedup.repeated_passages(documents(rows)).collect()
     repeated = {}
     for where in expected_places(rows).values():
-        if len(where) > 1:
+        if len({p[1] for p in where}) > 1:
             for i, row, nth, start, end in where:
                 repeated[row, nth] = (i, start, end, min((p[0] for p in where if p[0] is not None), default=None), len(where))
     runs = []
@@ -106,6 +106,14 @@ def test_texts_without_their_repeats(documents):
     assert len(texts[5]) < 30
 
 
+def test_repeats_inside_one_text(documents):
+    rng = random.Random(11)
+    block = prose(rng, 60)
+    docs = documents([(1, " ".join([block] * 4)), (2, prose(rng, 80))])
+    assert chunk_dedup.repeated_passages(docs).collect() == []
+    assert {r["doc_id"] for r in chunk_dedup.repeated_passages(docs, within=True).collect()} == {1}
+
+
 def test_long_and_no_texts(documents):
     rng = random.Random(1)
     long = prose(rng, 60_000)

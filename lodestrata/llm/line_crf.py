@@ -188,7 +188,10 @@ def train(texts: list[str], labels: list[int], good_share: float, steps: int = 1
     if not y.any() or y.all():
         return field
     kept_out = np.random.default_rng(seed).random(len(texts)) < 0.2
-    parts = [(lines_of(pa.array([t for t, k in zip(texts, kept_out, strict=True) if k == out])), y[kept_out == out]) for out in (False, True)]
+    parts = [
+        (lines_of(pa.array([t for t, k in zip(texts, kept_out, strict=True) if k == out], pa.string())), y[kept_out == out])
+        for out in (False, True)
+    ]
     lines, truth = parts[0]
     field.mean, field.scale = lines.features.mean(axis=0), lines.features.std(axis=0) + 1e-3
     field.mean[-1], field.scale[-1] = 0, 1  # the constant

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 import corpus_pipeline
 from lodestrata.llm import byte_bpe, chunk_dedup, jaccard_join, licenses, line_crf, mixing, neighbours, secrets, spotsigs, toxicity

@@ -4,20 +4,23 @@ A staged table cuts the lineage: later steps read files every executor can reach
 costs the rerun of its tasks and never of the steps before.
 
 Every application has one folder of its own. ``staged_run`` drops what was staged inside it, also
-after an error; ``drop_staged`` drops everything the application has staged.
+after an error; ``drop_staged`` drops everything the application has staged, and so does the end of the
+program that staged it.
 """
 
 from __future__ import annotations
 
+import atexit
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SHARED_FOLDER_SETTING = "spark.checkpoint.dir"
 _WAREHOUSE_SETTING = "spark.sql.warehouse.dir"
 _runs: list[str] = []
+_dropped_at_exit: set[str] = set()
 
 
 def staging_folder(spark: SparkSession) -> str:
@@ -33,6 +36,7 @@ def staging_folder(spark: SparkSession) -> str:
 def stage(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table of its own in the staging folder and read it back."""
     spark = df.sparkSession
+    _drop_at_exit(spark)
     path = "/".join([_runs[-1] if _runs else staging_folder(spark), uuid.uuid4().hex])
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -64,6 +68,20 @@ def drop_staged(spark: SparkSession) -> None:
     drop_folder(spark, staging_folder(spark))
 
 
+def _drop_at_exit(spark: SparkSession) -> None:
+    folder = staging_folder(spark)
+    if folder not in _dropped_at_exit:
+        _dropped_at_exit.add(folder)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        atexit.register(_drop_quietly, system, path)
+
+
+def _drop_quietly(system, path) -> None:
+    with suppress(Exception):  # the engine may be gone by then
+        system.delete(path, True)
+
+
 def drop_folder(spark: SparkSession, folder: str) -> None:
     """Delete a folder of staged tables, wherever the cluster keeps it."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)

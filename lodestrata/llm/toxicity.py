@@ -32,7 +32,7 @@ STATE, ATTENTION, VECTOR = 6, 6, 6
 TABLE_BITS, SHARE_BITS = 14, 17
 GRAMS = (3, 5)
 #: Labelled rows of each label that are used for training.
-SAMPLE = 2000
+SAMPLE = 1500
 #: Distinct words whose inputs are gathered at once, and texts whose n-grams are counted at once.
 WORDS_AT_ONCE, TEXTS_AT_ONCE = 1 << 15, 100
 THRESHOLD = 0.3

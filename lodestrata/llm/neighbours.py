@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from lodestrata.sources.staging import stage
 
 #: Vectors that lists are fitted on, those that give a query its first bound, and queries that are tried.
-SAMPLE, SEED, TRIED = 20_000, 2_000, 400
+SAMPLE, SEED, TRIED = 20_000, 20_000, 400
 #: Largest number of lists, candidates in a shard, queries in a block.
 LISTS, SHARD, QUERIES = 4096, 8192, 2048
 #: Share of the neighbours in the sample that probing must find.
@@ -83,9 +83,14 @@ class Index:
 
     def bounds(self, ids: np.ndarray, x: np.ndarray, probed: np.ndarray, k: int) -> np.ndarray:
         """A squared distance within which the probed lists hold ``k`` rows of the seed; infinite without."""
-        d = squared(x, self.seed)
-        d[(ids[:, None] == self.seed_ids) | ~probed[:, self.lists(self.seed)]] = np.inf
-        return np.full(len(x), np.inf) if d.shape[1] < k else np.partition(d, k - 1, axis=1)[:, k - 1]
+        out = np.full(len(x), np.inf)
+        of = self.lists(self.seed) if len(self.seed) >= k else None
+        for start in range(0, len(x) if of is not None else 0, 128):
+            part = slice(start, start + 128)
+            d = squared(x[part], self.seed)
+            d[(ids[part, None] == self.seed_ids) | ~probed[part][:, of]] = np.inf
+            out[part] = np.partition(d, k - 1, axis=1)[:, k - 1]
+        return out
 
 
 def squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:

@@ -42,10 +42,21 @@ FURTHER = (
     ("google", "AIza", re.compile(r"\bAIza[A-Za-z0-9_-]{30,}")),
     ("payment", "k_", re.compile(r"\b[rs]k_(?:live|test)_[A-Za-z0-9]{16,}")),
     ("jwt", "eyJ", re.compile(r"\beyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")),
-    ("key_block", "PRIVATE KEY", re.compile(r"-----BEGIN (?:[A-Z]{2,12} ){0,3}PRIVATE KEY-----")),
+    ("key_block", "PRIVATE KEY", re.compile(r"-----BEGIN ((?:[A-Z]{2,12} ){0,3}PRIVATE KEY)-----")),
     ("url_login", "://", re.compile(r"(?<=://)[A-Za-z0-9._%+-]{1,64}:[^\s/:@\"']{6,128}(?=@)")),
 )
 KINDS = ("assign", "access", "hex", *(kind for kind, _, _ in FURTHER))
+# Key material without an END line: header lines, then words of base64. Line ends may be written out, and quotes
+# or comment signs stand at the start of a line.
+KEY_WORD = re.compile(
+    r"""((?:[\s"',>#*]|\\[nrt])+)(?:((?:[A-Za-z0-9+/]+={0,2}|={1,2})(?![^\s"',\\]))|[A-Z][A-Za-z]*-[A-Z][A-Za-z]*:\x20[^\r\n\\]*)"""
+)
+LINE_ENDS = re.compile(r"""[\x20\t"',]*(?:[\r\n]|\\[nr]|\Z)""")
+#: Characters from which on a word of base64 is key material wherever it stands; a line of its own may be shorter.
+LONG_WORD = 16
+NO_KEY = re.compile(r"\\[nrt]|[^A-Za-z0-9+/=]")
+#: A key of this many characters holds a placeholder's word by chance only.
+LONG_KEY = 64
 
 #: Words that mark a value as a placeholder.
 PLACEHOLDERS = ("example", "sample", "changeme", "placeholder", "your", "dummy", "xxxx", "1234567")
@@ -64,14 +75,53 @@ _SPAN_TYPE = pa.struct(
 )
 
 
-def looks_random(value: str) -> bool:
+def looks_random(value: str, kind: str = "") -> bool:
     low = value.lower()
-    if any(word in low for word in PLACEHOLDERS):
+    if (kind != "key_block" or len(value) < LONG_KEY) and any(word in low for word in PLACEHOLDERS):
         return False
     counts = Counter(value).values()
     return -sum(n / len(value) * math.log2(n / len(value)) for n in counts) >= LEAST_ENTROPY
 
 
+def _key_words_end(text: str, start: int, limit: int) -> int:
+    """Where the base64 that follows ``start`` ends; ``start`` if there is none."""
+    end = at = start
+    while word := KEY_WORD.match(text, at, limit):
+        at = word.end()
+        if word[2] is None:
+            if end > start:
+                break
+            continue
+        own_line = re.search(r"[\r\n]|\\[nr]", word[1]) and LINE_ENDS.match(text, at, limit)
+        if own_line or len(word[2]) >= LONG_WORD:
+            end = at
+        else:
+            # The last piece of a key on one line; words of prose have no digits or capitals inside.
+            if end > start and not re.fullmatch("[A-Z]?[a-z]*", word[2]):
+                end = at
+            break
+    return end
+
+
+def key_blocks(text: str, header: re.Pattern) -> list[tuple[str, int, int, str]]:
+    """Private keys with all of their key material; the value is what stands between BEGIN and END.
+
+    A key ends with the END line of its BEGIN line, if one comes before the next BEGIN line, and else with its
+    lines of base64. A header alone is its own value.
+    """
+    found = []
+    headers = list(header.finditer(text))
+    for m, following in zip(headers, [*(h.start() for h in headers[1:]), len(text)], strict=True):
+        closing = f"-----END {m[1]}-----"
+        last = text.find(closing, m.end(), following)
+        if last >= 0:
+            end = last + len(closing)
+        else:
+            last = end = _key_words_end(text, m.end(), following)
+        found.append(("key_block", m.start(), end, NO_KEY.sub("", text[m.end() : last]) or m[0]))
+    return found
+
+
 def find_secrets(text: str) -> list[tuple[str, int, int, str]]:
     """(kind, start, end, secret value) by start, then kind; places in code points, end exclusive."""
     found = []
@@ -83,7 +133,9 @@ def find_secrets(text: str) -> list[tuple[str, int, int, str]]:
     found += [("access", m.start(), m.end(), m[0]) for m in ACCESS.finditer(text)]
     found += [("hex", m.start(), m.end(), m[0]) for m in HEX.finditer(text)]
     for kind, needed, pattern in FURTHER:
-        if needed in text:
+        if needed in text and kind == "key_block":
+            found += key_blocks(text, pattern)
+        elif needed in text:
             found += [(kind, m.start(), m.end(), m[0]) for m in pattern.finditer(text)]
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0])))
 
@@ -97,7 +149,7 @@ def _scan(text: str) -> tuple:
     base = [x for x in found if x[0] in KINDS[:3]]
     counts = Counter(x[0] for x in base)
     spans = [
-        (kind, start, end, hashlib.sha256(value.encode()).hexdigest()[:32], looks_random(value))
+        (kind, start, end, hashlib.sha256(value.encode()).hexdigest()[:32], looks_random(value, kind))
         for kind, start, end, value in found
     ]
     digest = hashlib.sha256(_listed(base).encode()).hexdigest()

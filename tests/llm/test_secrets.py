@@ -1,5 +1,8 @@
 import hashlib
+import random
 import re
+import string
+import time
 
 from lodestrata.llm import secrets
 
@@ -80,3 +83,39 @@ def test_redaction_covers_live_ones_only(documents):
 def test_empty_table(documents):
     assert secrets.scan_secrets(documents([])).collect() == []
     assert secrets.redact(documents([])).collect() == []
+
+
+def pem(seed, label="RSA ", size=1600, line="\n"):
+    body = "".join(random.Random(seed).choices(string.ascii_letters + string.digits + "+/", k=size)) + "=="
+    lines = [body[k : k + 64] for k in range(0, len(body), 64)]
+    return line.join([f"-----BEGIN {label}PRIVATE KEY-----", *lines, f"-----END {label}PRIVATE KEY-----"])
+
+
+def test_whole_keys_are_one_value_each(documents):
+    cut = pem(7)[: pem(7).index("-----END")].rstrip("\n")
+    wrapped = "\n".join(cut[k : k + 10] for k in range(32, len(cut), 10) if "\n" not in cut[k : k + 10])
+    headed = pem(8).replace("-----\n", "-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A1B\n\n", 1)
+    keys = [pem(k) for k in range(4)] + [pem(4, "", 62), pem(5, "EC ", 162), pem(6, "OPENSSH ", 9000), cut, headed]
+    keys += [pem(9, line="\\n"), pem(10, line="\r\n"), pem(11, line=" "), cut.replace("\n", "\\n") + "\\nQ8z", cut + "\nQ8z"]
+    keys += [f"-----BEGIN RSA PRIVATE KEY-----\n{wrapped}"]
+    rows = [(k, f"é {key}\nsome words after it", f"owner{k}") for k, key in enumerate(keys)]
+    same = pem(99)
+    rows += [(100 + k, f"{same} end" if k else same.replace("\n", "\r\n"), f"owner{k}") for k in range(3)]
+    rows += [(200, f"{pem(20)}\n{pem(21)}", "two"), (201, "-----BEGIN RSA PRIVATE KEY----- marks the start of a key", "two")]
+    by = {r["doc_id"]: r for r in secrets.scan_secrets(documents(rows)).collect()}
+    for k, key in enumerate(keys):
+        assert f"key_block:2:{2 + len(key)}" in by[k]["spans"].split(","), key
+        assert by[k]["n_copied"] == 0 and f"key_block:2:{2 + len(key)}" in by[k]["live_spans"]
+    assert all(by[100 + k]["n_copied"] == 1 and by[100 + k]["n_live"] == 0 for k in range(3))
+    assert by[200]["live_spans"].count("key_block") == 2 and by[201]["spans"] == "key_block:0:31"
+    texts = {r["doc_id"]: r["text"] for r in secrets.redact(documents(rows)).collect()}
+    assert all(texts[k] == "é " + "*" * len(key) + "\nsome words after it" for k, key in enumerate(keys))
+
+
+def test_many_headers_and_long_keys_take_linear_time():
+    started = time.perf_counter()
+    assert len(secrets.find_secrets("-----BEGIN PRIVATE KEY-----\n" * 20_000)) == 20_000
+    long = "-----BEGIN PRIVATE KEY-----" + ("\n" + "aB3d" * 16) * 20_000 + "\nwords that end it"
+    assert secrets.find_secrets(long)[0][2] == len(long) - len("\nwords that end it")
+    secrets.find_secrets("-----BEGIN PRIVATE KEY-----" + " \n" * 20_000 + "!")
+    assert time.perf_counter() - started < 20

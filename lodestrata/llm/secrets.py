@@ -15,6 +15,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import string
 from collections import Counter
 from collections.abc import Iterator
 
@@ -60,8 +61,10 @@ LONG_KEY = 64
 
 #: Words that mark a value as a placeholder.
 PLACEHOLDERS = ("example", "sample", "changeme", "placeholder", "your", "dummy", "xxxx", "1234567")
-#: Bits per character that a value needs to look random.
-LEAST_ENTROPY = 2.5
+#: Bits per character that a value needs to look random, or this share of what its length and alphabet can reach.
+LEAST_ENTROPY, LEAST_SHARE = 2.5, 0.4
+#: Characters to choose from; a value with others may hold any of 95.
+ALPHABETS = ((string.digits, 10), (string.ascii_lowercase, 26), (string.ascii_uppercase, 26))
 #: Owners from which on a value counts as copied.
 COPIED_OWNERS = 3
 
@@ -79,8 +82,12 @@ def looks_random(value: str, kind: str = "") -> bool:
     low = value.lower()
     if (kind != "key_block" or len(value) < LONG_KEY) and any(word in low for word in PLACEHOLDERS):
         return False
-    counts = Counter(value).values()
-    return -sum(n / len(value) * math.log2(n / len(value)) for n in counts) >= LEAST_ENTROPY
+    used = Counter(value)
+    alphabet = sum(size for characters, size in ALPHABETS if not used.keys().isdisjoint(characters))
+    alphabet = alphabet if all(c.isascii() and c.isalnum() for c in used) else 95
+    reachable = math.log2(max(2, min(len(value), alphabet)))
+    entropy = -sum(n / len(value) * math.log2(n / len(value)) for n in used.values())
+    return entropy >= min(LEAST_ENTROPY, LEAST_SHARE * reachable)
 
 
 def _key_words_end(text: str, start: int, limit: int) -> int:

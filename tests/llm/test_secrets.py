@@ -119,3 +119,23 @@ def test_many_headers_and_long_keys_take_linear_time():
     assert secrets.find_secrets(long)[0][2] == len(long) - len("\nwords that end it")
     secrets.find_secrets("-----BEGIN PRIVATE KEY-----" + " \n" * 20_000 + "!")
     assert time.perf_counter() - started < 20
+
+
+def test_short_and_numeric_values_may_look_random():
+    rng = random.Random(6)
+    alphabets = (string.digits, "0123456789abcdef", string.ascii_lowercase, string.ascii_letters, string.ascii_letters + string.digits)
+    for alphabet in alphabets:
+        for n in (6, 7, 8, 10, 12, 16, 24, 40):
+            values = ["".join(rng.choices(alphabet, k=n)) for _ in range(3000)]
+            values = [v for v in values if not any(word in v.lower() for word in secrets.PLACEHOLDERS)]
+            assert sum(secrets.looks_random(v) for v in values) >= 0.99 * len(values), (alphabet, n)
+    assert not any(map(secrets.looks_random, ["aaaaaa", "000000", "000001", "A" * 3000, "your_token", "changeme1"]))
+
+
+def test_short_values_of_one_owner_are_covered(documents):
+    values = ["zQ8zzw", "482911", "30771204", "771904427110", "aB3aB9"]
+    rows = [(k, f"password = {v} then more", f"owner{k}") for k, v in enumerate(values)]
+    rows += [(50 + k, "password = 660312 then more", f"owner{k}") for k in range(3)]
+    texts = {r["doc_id"]: r["text"] for r in secrets.redact(documents(rows)).collect()}
+    assert not any(v in texts[k] for k, v in enumerate(values))
+    assert all("660312" in texts[50 + k] for k in range(3))

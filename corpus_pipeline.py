@@ -1,7 +1,7 @@
 """From raw documents to token ids: five stages, each a table that the next one reads.
 
 1. toxicity: documents the network rejects go;
-2. n-gram Jaccard join: one document of each group of linked texts stays;
+2. n-gram Jaccard join on 5 words at 80 percent: one document of each group of linked texts stays;
 3. secret scans: live credentials are covered, every document stays;
 4. mixing: documents are repeated or left out so that sources come to their target weights;
 5. byte-level BPE: ids of every whole text, and the bytes they decode to, as digests.
@@ -21,6 +21,8 @@ from lodestrata.llm import byte_bpe, jaccard_join, mixing, secrets, toxicity
 from lodestrata.sources.staging import drop_folder, staging_into
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+#: Words of a shingle and percent of likeness from which two documents are near copies.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
 #: Staged tables of the stage that ran last, by application.
 _folders: dict[str, str] = {}
 
@@ -50,7 +52,7 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 @_staged
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return jaccard_join.one_of_each(docs)
+    return jaccard_join.one_of_each(docs, words=NEAR_WORDS, percent=NEAR_PERCENT)
 
 
 @_staged

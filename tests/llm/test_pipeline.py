@@ -105,3 +105,15 @@ def test_queries_are_registered():
     from lodestrata.llm.queries import QUERIES
 
     assert sorted(name.split("_")[0] for name in QUERIES) == sorted([*(f"op{n}" for n in range(1, 11)), "pipeline"])
+
+
+def test_near_copies_are_those_of_five_words_and_80_percent(spark):
+    words = [f"word{k}" for k in range(100)]
+    changed = lambda *places: " ".join("other" if k in places else w for k, w in enumerate(words))
+    # 86 of 106 shingles of five words are common, 92 of 104 of three words; with four places 76 of 116 and 86 of 110.
+    rows = [(1, changed()), (2, changed(30, 60)), (3, " ".join(f"far{k}" for k in range(100))), (4, None)]
+    rows.append((5, " ".join("apart" if k in (15, 40, 65, 90) else w for k, w in enumerate(words))))
+    rows = [(i, text, "en", "s", len(text or "")) for i, text in rows]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.keep_one_of_each(spark, docs, "").collect()
+    assert sorted(r["doc_id"] for r in kept) == [1, 3, 4, 5]

@@ -30,7 +30,7 @@ BASE = {
 }
 
 #: Words before and after a keyword that a rule can see.
-WINDOW = 14
+WINDOW = 40
 #: Stands before the keyword that a rule is tried at.
 MARK = "\x01"
 
@@ -97,16 +97,16 @@ LICENSES = (
 # Notices without a license's name: label; regex with ^ before the keyword; priority; confidence.
 NOTICES = (
     ("mit", "^permission is hereby granted free of charge to any person obtaining a copy", 2, 0.95),
-    ("isc", "^permission to use copy modify and or distribute this software for any purpose", 2, 0.95),
+    ("isc", "^permission to use copy modify and (?:or )?distribute this software for any purpose", 2, 0.95),
     ("bsd", "^redistribution and use in source and binary forms with or without modification", 2, 0.95),
-    ("bsd-3-clause", "neither the name of .{1,60}? ^endorse or promote products derived", 2, 0.9),
+    ("bsd-3-clause", r"neither the names? of (?:\S+ ){1,36}?^endorse or promote products derived", 2, 0.9),
     ("zlib", "provided as is without any express or implied ^warranty", 2, 0.8),
     ("unlicense", "this is free and ^unencumbered software released into the public domain", 2, 0.95),
     ("public-domain", "(?:released|dedicated|placed) (?:in|into|to) the public ^domain", 2, 0.8),
     ("public-domain", "public ^domain", 3, 0.5),
     ("proprietary", "all rights ^reserved", 3, 0.4),
     ("proprietary", "^confidential and proprietary|^proprietary and confidential", 2, 0.8),
-    ("proprietary", "unauthori[sz]ed (?:copying|distribution|use) .{0,40}?strictly ^prohibited", 2, 0.8),
+    ("proprietary", "unauthori[sz]ed (?:copying|distribution|use) (?:\\S+ ){0,30}?strictly ^prohibited", 2, 0.8),
     ("creative-commons", "creative ^commons(?: licen[cs]e)?", 3, 0.5),
     ("open-source", "open ^source licen[cs]e", 3, 0.4),
     ("unknown-license", "(?:licensed|released|distributed|available) under (?:the )?terms of (?:the )?(?:\\S+ ){0,3}^licen[cs]e", 4, 0.3),

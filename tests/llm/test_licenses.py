@@ -106,3 +106,33 @@ def test_query_against_plain_search(spark, sf_dir):
     for r in found:
         words = words_by_hand(texts[r["doc_id"]])
         assert (r["n_words"], r["n_base"]) == (len(words), len(base_by_hand(words)))
+
+
+BSD_START = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that"
+NOTICES = [
+    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
+    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
+    ("isc", "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted"),
+    ("bsd", BSD_START),
+    ("zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable"),
+    ("public-domain,unlicense", "This is free and unencumbered software released into the public domain."),
+    ("proprietary", "Unauthorized copying of this file, via any medium is strictly prohibited"),
+    ("proprietary", "Unauthorized copying, distribution, or use of this file, or of parts of it, via any medium, is strictly prohibited"),
+    ("proprietary", "Confidential and proprietary. All rights reserved."),
+    ("unknown-license", "see the accompanying LICENSE file"),
+]
+HOLDERS = ["Foo", "the copyright holder", "the University", "<ORG>", "the Regents of the University of California at Berkeley and its Laboratories"]
+NOTICES += [
+    ("bsd,bsd-3-clause", f"{BSD_START} the following conditions are met: 3. {opening} of {holder}{rest} may be used to endorse or promote products derived from this software")
+    for opening in ("Neither the name", "Neither the names")
+    for holder in HOLDERS
+    for rest in ("", " nor the names of its contributors")
+]
+
+
+def test_notices_in_their_official_wording(documents):
+    rows = licenses.scan_licenses(documents([(k, text) for k, (_, text) in enumerate(NOTICES)])).collect()
+    found = {r["doc_id"]: set(r["labels"].split(",")) for r in rows}
+    for k, (labels, text) in enumerate(NOTICES):
+        wanted = set(labels.split(",")) - {"public-domain"}
+        assert wanted <= found[k], (text, found[k])

@@ -1,0 +1,102 @@
+import random
+
+import duckdb
+import numpy as np
+import pytest
+
+from lodestrata.llm import hard_negatives
+from lodestrata.llm.queries import ORACLES, QUERIES
+
+COLUMNS = ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"]
+
+
+def inner(a, b):
+    return sum(x * y for x, y in zip(a, b, strict=False))
+
+
+def brute_force(rows, every=5, positives=5, negatives=3, low=50, high=95):
+    rows = list(dict.fromkeys((i, y, tuple(v)) for i, v, y in rows if None not in (i, v, y) and None not in v))
+    out = []
+    for i, y, v in rows:
+        if i % every:
+            continue
+        scored = [(-inner(v, u), j, z) for j, z, u in rows if j != i]
+        for below, j, _ in sorted(s for s in scored if s[2] == y)[:positives]:
+            near = sorted(s for s in scored if s[2] != y and low * -below <= 100 * -s[0] <= high * -below)
+            out += [(i, j, k + 1, m, -below, -s) for k, (s, m, _) in enumerate(near[:negatives])]
+    return sorted(out)
+
+
+def mined(spark, rows, kind="bigint", every=5, **options):
+    table = spark.createDataFrame(
+        [(*row, "x", 1, 2) for row in rows], f"vec_id long, embedding array<{kind}>, label int, id string, score int, mark int"
+    )
+    frame = hard_negatives.hard_negatives(table, table["vec_id"] % every == 0, **options)
+    assert frame.columns == COLUMNS
+    return sorted(tuple(r) for r in frame.collect())
+
+
+def random_rows(seed, n, labels, size=5, span=4):
+    rng = random.Random(seed)
+    return [(i, [rng.randint(-span, span) for _ in range(size)], rng.choice(labels)) for i in rng.sample(range(4 * n), n)]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_equals_brute_force_with_many_ties(spark, seed):
+    rows = random_rows(seed, 240, [0, 1, 1, 1, 1, 2, 3])
+    assert mined(spark, rows) == brute_force(rows)
+
+
+def test_shards_blocks_and_other_numbers(spark, monkeypatch):
+    for name, size in (("SHARD", 16), ("BLOCK", 8), ("SMALL_SHARD", 16), ("AT_ONCE", 50)):
+        monkeypatch.setattr(hard_negatives, name, size)
+    rows = random_rows(9, 150, [0, 1], span=9)
+    options = {"positives": 9, "negatives": 7, "low": 10, "high": 60}
+    assert mined(spark, rows, **options) == brute_force(rows, **options)
+    assert mined(spark, rows, low=0, high=100) == brute_force(rows, low=0, high=100)
+
+
+def test_odd_rows(spark):
+    rows = random_rows(5, 60, [0, 1])
+    odd = [
+        (None, [1] * 5, 1), (5, None, 1), (10, [1, None, 1, 1, 1], 1), (15, [1] * 5, None), (1000, [], 0), (1005, [0] * 5, 1),
+        (1010, [3, 2], 0), (1015, [1] * 9, 1), rows[0], rows[0], (rows[1][0], [4] * 5, rows[1][2]), (rows[2][0], rows[2][1], 7),
+    ]
+    assert mined(spark, rows + odd) == brute_force(rows + odd)
+    assert mined(spark, []) == [] and mined(spark, [(5, [1], 1)]) == [] and mined(spark, [(1, [1], 1), (2, [1], 1)]) == []
+
+
+@pytest.mark.parametrize("span", [1 << 12, 1 << 26, 1 << 30, 1 << 33])
+def test_scores_are_exact(spark, span):
+    rng = random.Random(span)
+    rows = [(i, [rng.randint(-span, span) >> (12 * (k > 0 and span > 1 << 30)) for k in range(2)], i % 3) for i in range(40)]
+    rows = [(i, [v[0] >> 4, v[1]] if span > 1 << 30 else v, y) for i, v, y in rows]
+    assert mined(spark, rows) == brute_force(rows)
+
+
+def test_products_stop_where_they_do_not_fit():
+    big = np.full((1, 4), 1 << 31)
+    with pytest.raises(OverflowError):
+        hard_negatives.products(big, big)(slice(0, 1))
+    assert hard_negatives.products(big, np.array([[1 << 31, -(1 << 31), 0, 0]]))(slice(0, 1)).tolist() == [[0]]
+
+
+def test_quantised(spark):
+    rows = [(1, [0.5, -0.001]), (2, None), (3, [float("nan")]), (4, [1.0, None]), (5, [float("-inf")]), (6, [])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    found = {r["vec_id"]: r["embedding"] for r in hard_negatives.quantised(table, "embedding").collect()}
+    assert found == {1: [128, -1], 2: None, 3: None, 4: None, 5: None, 6: []}
+
+
+def test_query_equals_sql_on_planted_rows(spark, tmp_path):
+    rng = np.random.default_rng(2)
+    centres = rng.normal(size=(6, 16))
+    rows = [(i, (centres[i % 6] + rng.normal(size=16)).astype(np.float32).tolist(), i % 10) for i in range(700)]
+    rows += [(700, None, 1), (750, [None] * 16, 1), (800, [float("inf")] * 16, 2), (850, rows[0][1], None), (900, [0.0] * 16, 3)]
+    folder = str(tmp_path)
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(f"{folder}/embeddings.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{folder}/embeddings.parquet/*.parquet'")
+    want = sorted(con.execute(f"SELECT {', '.join(COLUMNS)} FROM ({ORACLES['op11_hard_negatives']})").fetchall())
+    found = sorted(tuple(r) for r in QUERIES["op11_hard_negatives"](spark, folder).collect())
+    assert found == want and len(want) > 100

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from lodestrata.llm import (
+    bilinear_lm,
     byte_bpe,
     chunk_dedup,
     hard_negatives,
@@ -127,6 +128,11 @@ SELECT * FROM ranked WHERE rank <= 3
 """
 
 
+@on("documents")
+def op12_bilinear_lm(docs):
+    return bilinear_lm.score_texts(docs, F.crc32(F.col("doc_id").cast("string")) % 10 == 0)
+
+
 @on("documents")
 def op13_periodic_runs(docs):
     return periodic_runs.digest(docs)

@@ -16,13 +16,28 @@ from lodestrata.sources.staging import (
     staging_folder,
     staging_into,
 )
-from lodestrata.sources.tables import append_table, ensure_layers, ingest_files, overwrite_table
+from lodestrata.sources.tables import (
+    BATCH,
+    append_batch,
+    append_table,
+    batch_name,
+    batches_of,
+    drop_table,
+    ensure_layers,
+    ingest_files,
+    overwrite_table,
+)
 
 __all__ = [
+    "BATCH",
     "RATE_SCHEMA",
+    "append_batch",
     "append_table",
+    "batch_name",
+    "batches_of",
     "drop_folder",
     "drop_staged",
+    "drop_table",
     "ensure_layers",
     "ingest_files",
     "overwrite_table",

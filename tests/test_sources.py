@@ -133,3 +133,74 @@ def test_a_run_drops_what_it_staged(spark):
         sources.stage(spark.range(3))
         raise ValueError
     assert _files(spark, folder) == []
+
+
+def _files_of(spark, table):
+    return set(spark.table(table).inputFiles())
+
+
+def test_a_failed_overwrite_leaves_the_old_rows(spark):
+    sources.ensure_layers(spark, ["shelf"])
+    table = "shelf.replaced"
+    sources.overwrite_table(spark.range(5), table)
+    broken = spark.range(1000, numPartitions=4).selectExpr("IF(id = 999, raise_error('killed'), id) AS id")
+    with pytest.raises(Exception, match="killed"):
+        sources.overwrite_table(broken, table)
+    assert sorted(r[0] for r in spark.table(table).collect()) == [0, 1, 2, 3, 4]
+    sources.overwrite_table(spark.table(table).selectExpr("id + 10 AS id"), table)
+    assert sorted(r[0] for r in spark.table(table).collect()) == [10, 11, 12, 13, 14]
+
+
+def test_a_reader_that_has_begun_keeps_its_version(spark):
+    sources.ensure_layers(spark, ["shelf"])
+    table = "shelf.read"
+    sources.overwrite_table(spark.range(3), table)
+    begun, first = spark.read.parquet(*_files_of(spark, table)), _files_of(spark, table)
+    sources.overwrite_table(spark.range(4), table)
+    assert begun.count() == 3 and spark.table(table).count() == 4
+    sources.overwrite_table(spark.range(6), table)
+    folders = _files(spark, sources.tables._versions(spark, table))
+    assert len(folders) == 2 and not any(f.rsplit("/", 1)[0] in folders for f in first)
+
+
+def test_other_columns_another_format_and_a_managed_table(spark):
+    sources.ensure_layers(spark, ["shelf"])
+    table = "shelf.changed"
+    spark.range(2).write.saveAsTable(table)
+    sources.overwrite_table(spark.table(table).selectExpr("id", "'x' AS s"), table)
+    assert spark.table(table).columns == ["id", "s"] and spark.table(table).count() == 2
+    sources.overwrite_table(spark.range(7), table, "orc")
+    assert spark.table(table).count() == 7 and _files_of(spark, table).pop().endswith(".orc")
+    sources.append_table(spark.range(1), table, "orc")
+    assert spark.table(table).count() == 8
+    sources.drop_table(spark, table)
+    assert not spark.catalog.tableExists(table) and not _files(spark, sources.tables._versions(spark, table))
+
+
+def test_a_batch_that_comes_again_replaces_itself(spark):
+    sources.ensure_layers(spark, ["shelf"])
+    table = "shelf.batches"
+    days = [datetime(2026, 9, d, 6, 0, tzinfo=UTC) for d in (20, 21)]
+    names = [sources.batch_name(day) for day in days]
+    assert names == sorted(names) and sources.batch_name(datetime(2026, 9, 20, 6, 0)) == names[0]
+    for name, n in zip(names, (3, 4), strict=True):
+        for _ in range(2):
+            assert sources.append_batch(spark.range(n), table, name) == n
+    assert spark.table(table).count() == 7 and sources.batches_of(spark, table) == names
+    broken = spark.range(100, numPartitions=4).selectExpr("IF(id = 99, raise_error('killed'), id) AS id")
+    with pytest.raises(Exception, match="killed"):
+        sources.append_batch(broken, table, names[1])
+    assert spark.table(table).count() == 7
+    assert sources.append_batch(spark.range(0), table, names[0]) == 0
+    assert spark.table(table).count() == 4 and sources.batches_of(spark, table) == names[1:]
+    with pytest.raises(ValueError, match="extra"):
+        sources.append_batch(spark.range(1).selectExpr("id", "1 AS extra"), table, names[1])
+
+
+def test_a_rerun_of_an_ingestion_changes_nothing(spark, tmp_path):
+    sources.ensure_layers(spark, ["shelf"])
+    (tmp_path / "r.csv").write_text("id,v\n1,x\n2,y\n")
+    for _ in range(2):
+        assert sources.ingest_files(spark, str(tmp_path), {"r.csv": "shelf.rerun"}, MOMENT, batch=sources.batch_name(MOMENT)) == {"shelf.rerun": 2}
+    rows = spark.table("shelf.rerun")
+    assert rows.count() == 2 and rows.columns == ["id", "v", "ingestion_datetime", sources.BATCH]

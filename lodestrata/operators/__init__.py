@@ -15,7 +15,7 @@ from lodestrata.operators.cleaning import (
     keep_members,
     keep_names,
 )
-from lodestrata.operators.dedup import keep_latest_and_most_complete
+from lodestrata.operators.dedup import keep_latest_and_most_complete, keep_latest_rows
 from lodestrata.operators.documents import (
     assemble_sentence,
     money_words,
@@ -33,6 +33,7 @@ from lodestrata.operators.quality import (
 )
 from lodestrata.operators.series import (
     calendar,
+    calendar_between,
     fill_forward,
     latest_per_day,
     latest_value,
@@ -48,6 +49,7 @@ __all__ = [
     "assemble_sentence",
     "bridge",
     "calendar",
+    "calendar_between",
     "count_per_class",
     "dense_key",
     "dimension",
@@ -60,6 +62,7 @@ __all__ = [
     "flag_shifted_rows",
     "in_last_months",
     "keep_latest_and_most_complete",
+    "keep_latest_rows",
     "keep_members",
     "keep_names",
     "latest_past_date",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import add
+from operator import add, and_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,3 +36,19 @@ def keep_latest_and_most_complete(
         .filter(F.col("_place") == 1)
         .drop("_place")
     )
+
+
+def keep_latest_rows(df: DataFrame, key: str | Sequence[str], order_column: str = "ingestion_datetime") -> DataFrame:
+    """All rows of each key that share its latest instant.
+
+    Whatever ``keep_latest_and_most_complete`` chooses on all rows, it chooses on these: older ones never win. So
+    they can be kept between runs and merged with new rows only. The latest instant is summed up per task and
+    comes back by a join that Spark may split, so a key with a third of all rows is no task's burden.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    latest = df.groupBy(*keys).agg(F.max(order_column).alias("_latest"))
+    names = {k: f"_key_{i}" for i, k in enumerate(keys)}
+    latest = latest.withColumnsRenamed(names)
+    same = [F.col(k).eqNullSafe(F.col(name)) for k, name in names.items()]
+    newest = F.col(order_column).eqNullSafe(F.col("_latest"))
+    return df.join(latest, reduce(and_, [*same, newest]), "left_semi")

@@ -23,6 +23,11 @@ def calendar(spark: SparkSession, start: date | str, end: date | str, day: str =
     return spark.range(1).select(_days(_day(start), _day(end)).alias(day))
 
 
+def calendar_between(one_row: DataFrame, first: str, last: str, day: str = "day") -> DataFrame:
+    """One row per day between two days that a one-row frame holds, without fetching them."""
+    return one_row.select(_days(F.col(first), F.col(last)).alias(day))
+
+
 def latest_per_day(
     df: DataFrame, instant: str, value: str, day: str, output: str, by: Sequence[str] = ()
 ) -> DataFrame:

@@ -7,6 +7,7 @@ from lodestrata.sources.landing import (
     read_rate_json,
     records_to_df,
     stamp_ingestion,
+    wide_lines,
 )
 from lodestrata.sources.staging import (
     drop_folder,
@@ -18,6 +19,7 @@ from lodestrata.sources.staging import (
 )
 from lodestrata.sources.tables import (
     BATCH,
+    LAYERS,
     append_batch,
     append_table,
     batch_name,
@@ -30,6 +32,7 @@ from lodestrata.sources.tables import (
 
 __all__ = [
     "BATCH",
+    "LAYERS",
     "RATE_SCHEMA",
     "append_batch",
     "append_table",
@@ -50,4 +53,5 @@ __all__ = [
     "staging_folder",
     "staging_into",
     "stamp_ingestion",
+    "wide_lines",
 ]

@@ -2,13 +2,14 @@
 
 import json
 import random
+import re
 from datetime import UTC, date, datetime
 
 import pytest
 
 from lodestrata.operators import QualityGateFailed
-from lodestrata.plans import questions, run
-from lodestrata.sources import overwrite_table, read_rate_json
+from lodestrata.plans import incremental, questions, run
+from lodestrata.sources import batches_of, overwrite_table, read_rate_json
 
 INFO = """id,tconst,title,original_title,original_language,release_date,runtime,status,overview,tagline
 1,tt1,Alpha,Alpha,en,2024-05-01,108, released-,"He said ""go"", she went",tag
@@ -71,6 +72,48 @@ def content(spark):
     return {t: sorted(map(str, spark.table(f"gold.{t}").collect())) for t in STAR}
 
 
+MOVIES = ("tb_movies_info", "tb_movies_financials", "tb_movies_metrics")
+CLEAN = ("tb_info_filmes", "tb_financeiro_filmes", "tb_metricas_engajamento", "tb_pessoas_empresas")
+
+
+def clean(spark, prefix):
+    return {t: sorted(map(str, spark.table(f"{prefix}silver.{t}").collect())) for t in CLEAN}
+
+
+def test_merged_batches_equal_the_whole_run(spark, tmp_path):
+    """Batches in any order, one of them twice, and changing rates: the same tables as from all of bronze."""
+    prefix = "merged_"
+    for n, day in enumerate((20, 22, 21)):
+        folder = tmp_path / f"d{n}"
+        land(folder, n)
+        text = (folder / "movies_info_TMDB_IMDB.csv").read_text()
+        (folder / "movies_info_TMDB_IMDB.csv").write_text(text.replace("Alpha", f"Alpha {day}").replace("4,tt4", f"{day},tt4"))
+        text = (folder / "movies_financials_IMDB_TMDB.csv").read_text()
+        (folder / "movies_financials_IMDB_TMDB.csv").write_text(text + f"1,{day},{day}\n1,,{day + 1}\n{day},5,7\n")
+        feed = {"value": [{"dataHoraCotacao": f"2026-09-{day} 13:09:02.5", "cotacaoCompra": 5.0 + n}]}
+        (folder / "rates.json").write_text(json.dumps(feed))
+        rates = read_rate_json(spark, f"{folder}/rates.json")
+        for _ in range(1 + n % 2):
+            run.run_bronze(spark, str(folder), rates, datetime(2026, 9, day, tzinfo=UTC), prefix=prefix)
+        run.run_silver(spark, "2026-09-13", "2026-09-25", prefix=prefix)
+        merged = clean(spark, prefix)
+        run.run_silver(spark, "2026-09-13", "2026-09-25", prefix=prefix, whole=True)
+        assert clean(spark, prefix) == merged
+    assert spark.table(f"{prefix}bronze.tb_movies_info").count() == 15
+    for table in MOVIES:  # nothing is new: the states stay as they are
+        assert incremental.new_batches(spark, f"{prefix}bronze.{table}", f"{prefix}silver.latest_{table}") == []
+    batches = batches_of(spark, f"{prefix}bronze.tb_movies_info")
+    frame = incremental.with_new_batches(
+        spark, f"{prefix}bronze.tb_movies_info", f"{prefix}silver.none", batches[-1:], "id", "ingestion_datetime"
+    )
+    scans = re.findall(r"PartitionFilters: \[([^\]]*)\]", frame._jdf.queryExecution().executedPlan().toString())
+    assert scans and all(batches[-1] in scan for scan in scans) and len({f for f in frame.inputFiles()}) == 1
+    run.drop_layers(spark, prefix)
+    assert not spark.catalog.databaseExists(f"{prefix}silver")
+    with pytest.raises(ValueError):
+        run.drop_layers(spark, "")
+
+
 def test_last_week():
     assert run.last_week(date(2026, 9, 20)) == (date(2026, 9, 13), date(2026, 9, 20))
     start, end = run.last_week()

@@ -204,3 +204,29 @@ def test_a_rerun_of_an_ingestion_changes_nothing(spark, tmp_path):
         assert sources.ingest_files(spark, str(tmp_path), {"r.csv": "shelf.rerun"}, MOMENT, batch=sources.batch_name(MOMENT)) == {"shelf.rerun": 2}
     rows = spark.table("shelf.rerun")
     assert rows.count() == 2 and rows.columns == ["id", "v", "ingestion_datetime", sources.BATCH]
+
+
+@pytest.mark.parametrize("block", ["128", "64m"])
+def test_lines_that_lose_fields_are_shown_with_their_numbers(spark, tmp_path, block):
+    """Small blocks split a file over tasks; numbers go on across them."""
+    files = {"a.csv": [], "b.csv": []}
+    for name, lines in files.items():
+        lines.append("id,title,score")
+        for i in range(60):
+            kinds = ['{0},"say ""a, b""",7', '{0},"broken, quote,8', "{0},ok,9,extra,,x", "{0},short", "", '{0},a,"x,y",', "{0},é ,"]
+            lines.append(kinds[(i + len(name) + (name == "b.csv")) % 7].format(i))
+        (tmp_path / name).write_text("\n".join(lines) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+    try:
+        found = sources.wide_lines(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    wanted = set()
+    for name, lines in files.items():
+        for number, line in enumerate(lines, 1):
+            fields = {"ex": 6, "br": 4, '"x': 4}.get(next((m for m in ("ex", "br", '"x') if m in line), ""), 0)
+            if fields:
+                wanted.add((name, number, fields, line))
+    assert {(r["file"].rsplit("/", 1)[1], r["line_number"], r["fields"], r["line"]) for r in found} == wanted
+    assert len(found) == len(wanted) > 40
+    assert sources.wide_lines(spark, str(tmp_path), 6).count() == 0

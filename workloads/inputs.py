@@ -37,6 +37,10 @@ FROM {events}""",
 SELECT p_partkey, replace(p_name,' ', CASE p_partkey % 3 WHEN 0 THEN ' , ' WHEN 1 THEN '; ' ELSE '|' END)
   || ', 123, /' || p_brand || '.jpg, "' || upper(p_type) || '"' AS list_txt
 FROM {part}""",
+    "wide_cells": """
+SELECT c_custkey AS key, '"' || c_name || ', Inc."' AS name, CASE c_custkey % 5 WHEN 0 THEN c_mktsegment || ',x,'
+  WHEN 1 THEN '"' || c_mktsegment || ', said ""z"" "' WHEN 2 THEN 'a,"b, c",d' WHEN 3 THEN 'x"y' ELSE c_mktsegment END AS cell
+FROM {customer}""",
     "credit_txt": """
 SELECT p_partkey, replace(p_name,' ', CASE p_partkey % 3 WHEN 0 THEN ' , ' WHEN 1 THEN '; ' ELSE '|' END)
   || ', 6.1, X, N/A' AS actors, CASE WHEN p_size > 25 THEN NULL ELSE '"' || p_type || '"' END AS directors,

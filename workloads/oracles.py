@@ -9,7 +9,7 @@ import re
 
 from lodestrata.plans import catalogue as c
 from workloads.inputs import INPUTS, input_sql
-from workloads.star import FEED_END, FEED_START, RATE_END, RATE_START, TODAY
+from workloads.star import BATCH_DAYS, FEED_END, FEED_START, RATE_END, RATE_START, SECOND_BATCH, TODAY
 
 # The accepted written forms of numbers and amounts.
 DECIMAL = r"^-?\d+(\.\d+)?$"
@@ -573,8 +573,17 @@ WHERE CAST(ts AS DATE) BETWEEN DATE '{FEED_START}' AND DATE '{FEED_END}'""",
     "table_writes": """
 SELECT 'append' AS write, 2 * count(*) AS row_count, CAST(2 * sum(c_custkey) AS BIGINT) AS key_sum FROM customer
 UNION ALL SELECT 'overwrite', count(*), CAST(sum(s_suppkey) AS BIGINT) FROM supplier
-UNION ALL SELECT 'ingest', 2 * count(*), CAST(2 * sum(c_custkey) AS BIGINT) FROM customer""",
-    "records_frame": "SELECT n_name AS dataHoraCotacao, CAST(n_nationkey AS DOUBLE) AS cotacaoCompra FROM nation",
+UNION ALL SELECT 'ingest', 2 * count(*), CAST(2 * sum(c_custkey) AS BIGINT) FROM customer
+UNION ALL SELECT 'batches', count(*), CAST(sum(k) AS BIGINT) FROM (SELECT c_custkey AS k FROM customer UNION ALL SELECT s_suppkey FROM supplier) u""",
+    "landing_wide_lines": """
+SELECT CAST(key AS VARCHAR) AS id, c_name || ', Inc.' AS name, CASE key % 5 WHEN 1 THEN c_mktsegment || ', said "z" ' WHEN 2 THEN 'a'
+  WHEN 3 THEN 'x"y' ELSE c_mktsegment END AS cell, CASE WHEN key % 5 IN (0, 2) THEN nth END AS line_number,
+  CASE WHEN key % 5 IN (0, 2) THEN 5 END AS fields, CASE WHEN key % 5 IN (0, 2) THEN key || ',' || w.name || ',' || w.cell END AS line
+FROM (SELECT *, 1 + row_number() OVER (PARTITION BY key // 500 ORDER BY key) AS nth FROM wide_cells) w
+JOIN customer ON c_custkey = key""",
+    "records_frame": """
+SELECT n_name AS dataHoraCotacao, CAST(n_nationkey AS DOUBLE) AS cotacaoCompra,
+  (SELECT nullif(count(*), 0) FROM customer WHERE c_nationkey = n_nationkey) AS customers FROM nation""",
     "calendar_days": f"""
 SELECT {ranges("(SELECT CAST(min(o_orderdate) AS DATE) FROM orders)", "(SELECT CAST(max(o_orderdate) AS DATE) FROM orders)")} AS day""",
     "question_total_revenue": "SELECT CAST(sum(receita_brl) AS DECIMAL(28,2)) AS receita_total_brl FROM g_fact",
@@ -617,4 +626,13 @@ STEPS["name_keys"] = distinct_key("part", {"p_name": "name", "p_brand": "brand"}
 STEPS["no_movie"] = """
 SELECT l_orderkey FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P')"""
 
+BODIES["dedup_merged_batches"] = BODIES["dedup_latest_complete"]
+
 ORACLES: dict[str, str] = {name: sql(body) for name, body in BODIES.items()}
+
+# The run from landing to gate has two batches, where the queries on the star have one for each year.
+_YEARLY = "CAST(date_trunc('year', l_shipdate) AS DATE) AS ingestion_datetime"
+_BATCHED = (
+    f"CASE WHEN l_shipdate < DATE '{SECOND_BATCH}' THEN DATE '{BATCH_DAYS[0]}' ELSE DATE '{BATCH_DAYS[1]}' END AS ingestion_datetime"
+)
+ORACLES["landing_to_gate"] = ORACLES["quality_report"].replace(_YEARLY, _BATCHED)

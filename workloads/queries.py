@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from contextlib import suppress
 from datetime import UTC, datetime
 from functools import reduce
 
@@ -13,9 +14,13 @@ from pyspark.sql import functions as F
 from lodestrata import functions as rules
 from lodestrata import operators as ops
 from lodestrata.plans import catalogue as c
-from lodestrata.plans import gate, gold, questions
+from lodestrata.plans import gate, gold, incremental, questions, run
 from lodestrata.sources import (
+    BATCH,
+    append_batch,
     append_table,
+    batches_of,
+    drop_table,
     ensure_layers,
     ingest_files,
     overwrite_table,
@@ -26,14 +31,23 @@ from lodestrata.sources import (
     stage,
     staging_folder,
     stamp_ingestion,
+    wide_lines,
 )
-from workloads.star import FEED_END, FEED_START, TODAY, Gold, Silver
+from workloads.star import BATCH_DAYS, FEED_END, FEED_START, RATE_END, RATE_START, SECOND_BATCH, TODAY, Gold, Silver
 from workloads.tables import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 MONEY = "decimal(18,2)"
+#: Landed file: the input it holds, and the condition of its rows in the second batch.
+LANDED = {
+    "movies_info_TMDB_IMDB.csv": ("raw_info", "ingestion_datetime >= '{day}'"),
+    "movies_financials_IMDB_TMDB.csv": ("raw_financials", "ingestion_datetime >= '{day}'"),
+    "movies_metrics_IMDB_TMDB.csv": ("raw_metrics", "ingestion_datetime >= '{day}'"),
+    "credits_and_tags_IMDB_TMDB.csv": ("raw_credits", "id % 2 = 1"),
+    "movies_reviews.csv": ("raw_reviews", "id % 2 = 1"),
+}
 
 
 def on_tables(build: Callable[[Tables], DataFrame]) -> Callable:
@@ -173,6 +187,23 @@ def dedup_latest_complete(t):
     return ops.keep_latest_and_most_complete(rows, ["l_orderkey", "l_linenumber"], "loaded")
 
 
+@on_tables
+def dedup_merged_batches(t):
+    """The latest rows of all batches but the last, kept as a state, then the last batch merged into it."""
+    spark, mark = t.spark, uuid.uuid4().hex
+    ensure_layers(spark, ["bronze", "silver"])
+    table, state, key = f"bronze.d_{mark}", f"silver.e_{mark}", ["l_orderkey", "l_linenumber"]
+    batch = F.date_format("loaded", "yyyy").alias(BATCH)
+    t.input("rows_with_gaps").select("*", batch).write.partitionBy(BATCH).saveAsTable(table)
+    batches = batches_of(spark, table)
+    for some in (batches[:-1], batches[-1:]):
+        overwrite_table(incremental.with_new_batches(spark, table, state, some, key, "loaded"), state)
+    result = stage(ops.keep_latest_and_most_complete(spark.table(state).drop(BATCH), key, "loaded"))
+    for name in (table, state):
+        drop_table(spark, name)
+    return result
+
+
 @on_tables
 def drop_exact_duplicates(t):
     return ops.drop_exact_duplicates(t["conversations"].select("role", "text"), ["role", "text"])
@@ -208,6 +239,20 @@ def landing_csv(t):
     return read_landing_csv(t.spark, path, rows.columns)
 
 
+@on_tables
+def landing_wide_lines(t):
+    """Landed files of up to 500 lines, some with more fields than the header: what is kept of each line, and the
+    whole lines that lost fields, with their numbers."""
+    cells, path = t.input("wide_cells"), _folder(t)
+    line = F.struct("key", F.concat_ws(",", F.col("key").cast("string"), "name", "cell").alias("line"))
+    files = cells.groupBy(F.floor(F.col("key") / 500).alias("part")).agg(F.array_sort(F.collect_list(line)).alias("lines"))
+    whole = F.concat_ws("\n", F.lit("id,name,cell"), F.col("lines.line"))
+    files.select("part", whole.alias("value")).write.partitionBy("part").text(path)
+    kept = read_landing_csv(t.spark, path).drop("part")
+    lost = wide_lines(t.spark, path, len(kept.columns))
+    return kept.join(lost.select(F.split("line", ",")[0].alias("id"), "line_number", "fields", "line"), "id", "left")
+
+
 @on_tables
 def rate_files(t):
     """Responses of up to 500 records as files of their own, read for a range of days."""
@@ -225,10 +270,11 @@ def rate_files(t):
 
 @on_tables
 def table_writes(t):
-    """Two appends, an overwrite and two ingestions of landed files, then what the tables hold."""
+    """What tables hold after two appends, an overwrite and one that fails, two ingestions of landed files, and a
+    batch that is ingested again."""
     spark, mark = t.spark, uuid.uuid4().hex
     ensure_layers(spark)
-    appended, replaced, ingested = f"bronze.a_{mark}", f"silver.b_{mark}", f"bronze.c_{mark}"
+    appended, replaced, ingested, batched = (f"{layer}_{mark}" for layer in ("bronze.a", "silver.b", "bronze.c", "bronze.f"))
     customers = t["customer"].select(F.col("c_custkey").alias("key"))
     suppliers = t["supplier"].select(F.col("s_suppkey").alias("key"))
     landed = _folder(t)
@@ -236,31 +282,59 @@ def table_writes(t):
     for _ in range(2):
         append_table(customers, appended)
         ingest_files(spark, landed, {"customers.csv": ingested})
+        ingest_files(spark, landed, {"customers.csv": batched}, batch="first")
+    append_batch(stamp_ingestion(suppliers.select(F.col("key").cast("string"))), batched, "second")
     for rows in (customers, suppliers):
         overwrite_table(rows, replaced)
+    with suppress(Exception):
+        overwrite_table(customers.select(F.raise_error(F.lit("no such row")).cast("bigint").alias("key")), replaced)
 
     def held(write, table):
         key = F.col("key").cast("bigint")
         return spark.table(table).agg(F.lit(write).alias("write"), F.count("*").alias("row_count"), F.sum(key).alias("key_sum"))
 
-    result = held("append", appended).unionByName(held("overwrite", replaced)).unionByName(held("ingest", ingested))
-    result = stage(result)
-    for table in (appended, replaced, ingested):
-        spark.sql(f"DROP TABLE {table}")
+    tables = {"append": appended, "overwrite": replaced, "ingest": ingested, "batches": batched}
+    result = stage(reduce(DataFrame.unionByName, (held(write, table) for write, table in tables.items())))
+    for table in tables.values():
+        drop_table(spark, table)
     return result
 
 
 @on_tables
 def records_frame(t):
-    """The nations (a fixed number) as the records of one response."""
+    """The nations as the records of one response, and the customers of each."""
     rows = t["nation"].select(F.col("n_name").alias("dataHoraCotacao"), F.col("n_nationkey").cast("double").alias("cotacaoCompra"))
-    return records_to_df(t.spark, [r.asDict() for r in rows.collect()])
+    records = records_to_df(t.spark, [r.asDict() for r in rows.collect()])
+    counted = t["customer"].groupBy(F.col("c_nationkey").cast("double").alias("cotacaoCompra")).agg(F.count("*").alias("customers"))
+    return records.join(counted, "cotacaoCompra", "left")
 
 
 @on_tables
 def calendar_days(t):
-    first, last = t["orders"].select(F.min("o_orderdate").cast("date"), F.max("o_orderdate").cast("date")).first()
-    return ops.calendar(t.spark, first, last)
+    day = F.col("o_orderdate").cast("date")
+    return ops.calendar_between(t["orders"].agg(F.min(day).alias("first"), F.max(day).alias("last")), "first", "last")
+
+
+@on_tables
+def landing_to_gate(t):
+    """Two daily runs over all layers, from landed files to the report on the star.
+
+    The layers have names of their own and are dropped at the end.
+    """
+    spark, prefix = t.spark, f"run_{uuid.uuid4().hex}_"
+    for nth, day in enumerate(BATCH_DAYS):
+        folder = _folder(t)
+        for file_name, (source, part) in LANDED.items():
+            rows = t.input(source)
+            second = F.expr(part.format(day=SECOND_BATCH))
+            _as_csv(rows.filter(second == F.lit(bool(nth))).drop("ingestion_datetime"), f"{folder}/{file_name}")
+        rates = t.input("raw_rates").filter(F.expr("dataHoraCotacao >= '1996'") == F.lit(bool(nth)))
+        run.run_bronze(spark, folder, rates, datetime.fromisoformat(day), prefix=prefix)
+        run.run_silver(spark, RATE_START, RATE_END, prefix=prefix)
+    run.run_gold(spark, prefix=prefix)
+    report = stage(run.gold_report(spark, prefix))
+    run.drop_layers(spark, prefix)
+    return report
 
 
 # --- series ---------------------------------------------------------------------------------------

@@ -15,6 +15,9 @@ RATE_START, RATE_END = "2001-01-01", "2001-12-31"
 # The day the questions are asked on: releases after it are in the future.
 TODAY = "2001-06-30"
 # The range of days read from the landed rate files.
+# The two batches of a run from landing to gate: rows shipped before this day come in the first.
+SECOND_BATCH = "1998-01-01"
+BATCH_DAYS = ("2026-09-20", "2026-09-21")
 FEED_START, FEED_END = "2024-01-05", "2024-01-20"
 
 

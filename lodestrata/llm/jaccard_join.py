@@ -11,12 +11,15 @@ copies are never paired. Classes are joined exactly at ``percent``:
   from which the overlap can still be reached.
 * **Shapes.** A set's shape counts its shingles by hash in a few buckets. Two shapes differ at most by as much
   as their sets, so pairs whose shapes differ by more than linked sets may are left out: in the lists by 8
-  bytes (whether 64 buckets are odd, or counts of 8 buckets for larger sets), then by 256 counts.
+  bytes (whether 64 buckets are odd, or counts of 8 buckets for larger sets) and 64 counts, then by 256 counts.
 * **Answers from a similar set.** Sets that link are alike: what one of them links to, the others reach
-  through it. First each set of a list is compared with the first possible partner only (linear in the
-  list). The links give components; then only pairs from different components are candidates, since the
-  others' answer (same component) follows from the leader's. So a large group of near copies never makes all
-  its pairs.
+  through it. So answers are passed on instead of computed, in three steps. First each entry of a list links with
+  the nearest one before it that it may link with, and looks no further: a list of alike sets takes as many steps
+  as it has entries. Lists are dealt to tasks by ranges of their order, so a long one is worked on by many. The links
+  give components. Lists whose sets all have one component are answered; in the others each entry links
+  with the first possible partner of every other component. Only what is in different components even
+  then is compared pair by pair; blocks of the own component are jumped over. So a large group of near
+  copies never makes all its pairs, and no link between different groups is left out.
 * Every pair that is left is checked on its whole sets.
 * Links give components (``components.py``), and each document its smallest reachable id.
 """
@@ -40,6 +43,8 @@ WORDS, PERCENT = 3, 90
 COUNTER_BITS, SEGMENTS = 20, 256
 #: Buckets of a shape in the lists and in the table of classes; pairs that a task looks at together.
 SMALL, LARGE, AT_ONCE = 8, 256, 1 << 18
+#: Buckets of a shape in lists that several classes share.
+MIDDLE = 64
 #: Sets up to this size have odd buckets as their shape in the lists.
 ODD_SIZE = 256
 #: Classes a task remembers, to send the index entries of copies once.
@@ -184,6 +189,7 @@ def _levels(counted: DataFrame) -> np.ndarray:
 
 
 _ENTRY = "token long, n int, pos int, class long, shape long"
+_LISTED = ["token", "n", "pos", "class", "shape", "middle"]
 
 
 def _entries(rows: DataFrame, words: int, percent: int, levels: np.ndarray) -> DataFrame:
@@ -217,22 +223,37 @@ def _entries(rows: DataFrame, words: int, percent: int, levels: np.ndarray) -> D
     return _per_text(rows, make, _ENTRY)
 
 
+def _columns(batch: pa.RecordBatch) -> list[np.ndarray]:
+    """The columns of a batch as arrays; a shape is a row of bytes."""
+    out = []
+    for column in batch.columns:
+        if pa.types.is_binary(column.type):
+            raw = np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8)
+            out.append(raw.reshape(len(column), -1) if len(column) else np.zeros((0, MIDDLE), dtype=np.uint8))
+        else:
+            out.append(column.to_numpy(zero_copy_only=False))
+    return out
+
+
 def _whole_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
-    """Columns of rows sorted by token, cut only between tokens."""
-    rest: list[np.ndarray] | None = None
+    """Columns of rows sorted by token, cut only between tokens; what is open is put together once."""
+    parts: list[list[np.ndarray]] = []
+    joined = lambda: [np.concatenate(c) for c in zip(*parts, strict=True)]
     for batch in batches:
-        columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-        if rest is not None:
-            columns = [np.concatenate(x) for x in zip(rest, columns, strict=True)]
+        columns = _columns(batch)
         token = columns[0]
         if not len(token):
             continue
+        last = parts[-1][0][-1] if parts else None
         cut = int(np.searchsorted(token, token[-1], side="left"))
-        rest = [c[cut:] for c in columns]
-        if cut:
-            yield [c[:cut] for c in columns]
-    if rest is not None:
-        yield rest
+        if cut or (last is not None and last != token[0]):
+            if cut:
+                parts.append([c[:cut] for c in columns])
+            yield joined()
+            parts = []
+        parts.append([c[cut:] for c in columns])
+    if parts:
+        yield joined()
 
 
 def _shared_lists(entries: DataFrame) -> DataFrame:
@@ -270,11 +291,19 @@ def _spread(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return row, np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
 
 
-def _possible_pairs(token, n, pos, shape, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(later, earlier) places of entries of one list that may link, in order of the later one."""
+def _possible_pairs(
+    token, n, pos, shape, percent: int, component: np.ndarray | None = None
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(later, earlier) places of entries of one list that may link, in order of the later one.
+
+    Entries are in order of token, size, component if given, and position. Blocks of the entry's own component
+    are jumped over.
+    """
     n, pos = n.astype(np.int64), pos.astype(np.int64)
     new_list = np.append(True, token[1:] != token[:-1])
     new_block = new_list | np.append(True, n[1:] != n[:-1])
+    if component is not None:
+        new_block |= np.append(True, component[1:] != component[:-1])
     of_list, of_block = np.cumsum(new_list) - 1, np.cumsum(new_block) - 1
     begin = np.flatnonzero(new_block)
     block_key = (of_list[begin] << 32) | n[begin]
@@ -287,6 +316,9 @@ def _possible_pairs(token, n, pos, shape, percent: int) -> Iterator[tuple[np.nda
         stop = max(start + 1, int(np.searchsorted(blocks_to, (blocks_to[start - 1] if start else 0) + AT_ONCE)))
         row, nth = _spread((of_block - lowest + 1)[start:stop])
         later, block = row + start, lowest[start:stop][row] + nth
+        if component is not None:
+            other = component[begin[block]] != component[later]
+            later, block = later[other], block[other]
         size = n[begin[block]]
         need = _overlap_needed(n[later], size, percent)
         reach = np.searchsorted(entry_key, (block << 32) | np.maximum(size - need, -1), side="right")
@@ -306,34 +338,102 @@ def _possible_pairs(token, n, pos, shape, percent: int) -> Iterator[tuple[np.nda
         start = stop
 
 
-def _candidates(lists: DataFrame, percent: int, leaders: bool) -> DataFrame:
-    """Pairs of classes from lists of (token, n, pos, class, shape[, component]).
+def _middle_fits(n: np.ndarray, middle: np.ndarray, k: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
+    """Whether the counts of two sets differ by no more than those of linked sets may."""
+    differ = np.abs(middle[k].astype(np.int16) - middle[j]).sum(axis=1, dtype=np.int64)
+    return differ <= n[k] + n[j] - 2 * _overlap_needed(n[k], n[j], percent)
+
 
-    ``leaders``: for each entry one partner, the first one of its list. Otherwise all pairs that have
-    different components.
+def _first_before(token, n, pos, shape, middle, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(later, earlier): for each entry the nearest one before it in its list that it may link with."""
+    n, pos = n.astype(np.int64), pos.astype(np.int64)
+    first = np.maximum.accumulate(np.where(np.append(True, token[1:] != token[:-1]), np.arange(len(token)), 0))
+    lowest = -((-percent * n) // 100)
+    looking, back = np.arange(len(token)), 1
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    while len(looking):
+        looking = looking[looking - back >= first[looking]]
+        looking = looking[n[looking - back] >= lowest[looking]]  # sizes ascend: all before are smaller still
+        j = looking - back
+        need = _overlap_needed(n[looking], n[j], percent)
+        good = np.minimum(n[looking] - pos[looking], n[j] - pos[j]) >= need
+        at = np.flatnonzero(good)
+        a, b = looking[at], j[at]
+        small = _small_difference(n[a], n[b], shape[a], shape[b]) <= n[a] + n[b] - 2 * need[at]
+        good[at] = small
+        at = at[small]
+        good[at] = _middle_fits(n, middle, looking[at], j[at], percent)
+        found.append((looking[good], j[good]))
+        looking, back = looking[~good], back + 1
+    return tuple(np.concatenate(c) for c in zip(*found, strict=True)) if found else (first[:0], first[:0])
+
+
+_PAIR = "n int, class long, other_n int, other_class long"
+
+
+def _pair_batch(n, group, k, j) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in (n[k], group[k], n[j], group[j])], [c.split()[0] for c in _PAIR.split(", ")])
+
+
+def _leaders(lists: DataFrame, percent: int) -> DataFrame:
+    """For each entry of a list one pair of classes, with the nearest possible partner before it.
+
+    Ranges of the lists' order are dealt to tasks, however long a list is; at a cut between tasks an entry
+    may miss its partner, which the later steps find.
     """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["n", "class", "other_n", "other_class"]
-        for columns in _whole_lists(batches):
-            token, n, pos, group, shape = columns[:5]
-            paired = np.zeros(len(n), dtype=bool)
-            for k, j in _possible_pairs(token, n, pos, shape, percent):
-                if leaders:
-                    first = np.unique(k, return_index=True)[1]
-                    paired[k[first]] = paired[j[first]] = True
-                    other = np.unique(j, return_index=True)[1]
-                    other = other[~paired[j[other]]]  # a partner of later ones only
-                    paired[j[other]] = True
-                    keep = np.concatenate([first, other])
-                else:
-                    keep = np.flatnonzero(columns[5][k] != columns[5][j])
-                if len(keep):
-                    k, j = k[keep], j[keep]
-                    arrays = [pa.array(x) for x in (n[k], group[k], n[j], group[j])]
-                    yield pa.RecordBatch.from_arrays(arrays, names)
-
-    return _in_lists(lists).mapInArrow(task, "n int, class long, other_n int, other_class long").distinct()
+        for token, n, pos, group, shape, middle in _whole_lists(batches):
+            k, j = _first_before(token, n, pos, shape, middle, percent)
+            yield _pair_batch(n, group, k, j)
+
+    order = ("token", "n", "pos", "class")
+    dealt = lists.repartitionByRange(*order).sortWithinPartitions(*order)
+    return dealt.mapInArrow(task, _PAIR).distinct()
+
+
+def _between_components(lists: DataFrame, percent: int, one_of_each: bool) -> DataFrame:
+    """Pairs of classes with different components from lists of (token, n, pos, class, shape, middle, component).
+
+    ``one_of_each``: for each entry one possible partner of every other component. Otherwise all pairs.
+    """
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for token, n, pos, group, shape, middle, component in _whole_lists(batches):
+            for k, j in _possible_pairs(token, n, pos, shape, percent, component):
+                good = _middle_fits(n.astype(np.int64), middle, k, j, percent)
+                k, j = k[good], j[good]
+                if one_of_each and len(k):
+                    _, kept = np.unique(np.stack([k, component[j]]), axis=1, return_index=True)
+                    k, j = k[kept], j[kept]
+                if len(k):
+                    yield _pair_batch(n, group, k, j)
+
+    order = ("token", "n", "component", "pos", "class")
+    return lists.repartition("token").sortWithinPartitions(*order).mapInArrow(task, _PAIR).distinct()
+
+
+def _with_middle(lists: DataFrame, classes: DataFrame) -> DataFrame:
+    """The lists with the counts of each set in ``MIDDLE`` buckets, folded from those of its class."""
+    joined = lists.join(classes.select("n", "class", F.col("shape").alias("middle")), ["n", "class"])
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts = np.frombuffer(b"".join(batch.column(5).to_pylist()), dtype=np.uint8).reshape(-1, LARGE // MIDDLE, MIDDLE)
+            folded = np.minimum(counts.sum(axis=1, dtype=np.int64), 255).astype(np.uint8)
+            middle = pa.array([x.tobytes() for x in folded], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], middle], batch.schema.names)
+
+    return joined.select(*lists.columns, "middle").mapInArrow(task, f"{_ENTRY}, middle binary")
+
+
+def _mixed(lists: DataFrame, classes: DataFrame, links: DataFrame) -> DataFrame:
+    """The lists that hold sets of several components, with the components that ``links`` give."""
+    found = components(links, "a", "b").withColumnRenamed("node", "id")
+    labelled = classes.join(found, "id", "left").select("n", "class", F.coalesce("component", "id").alias("component"))
+    entries = lists.join(labelled, ["n", "class"]).select(*_LISTED, "component")
+    several = entries.groupBy("token").agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
+    return entries.join(several.filter("_low <> _high").select("token"), "token", "left_semi").select(*_LISTED, "component")
 
 
 def _near(pairs: DataFrame, percent: int) -> DataFrame:
@@ -401,23 +501,23 @@ def join_classes(rows: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     members = counted.filter(F.col("n").isNotNull()).select("id", "n", "class")
     shapes = counted.filter(F.col("n") > 0).groupBy("n", "class")
     classes = stage(shapes.agg(F.min("id").alias("id"), F.min("shape").alias("shape")))
-    lists = stage(_shared_lists(_entries(rows, words, percent, _levels(counted))))
-
-    possible = stage(_candidates(lists, percent, leaders=True))
-    ends = possible.select("n", "class").unionByName(
-        possible.select(F.col("other_n").alias("n"), F.col("other_class").alias("class"))
-    )
-    texts = stage(_texts(rows, ends.distinct().join(classes, ["n", "class"]), words))
-    pairs = stage(_near(_numbered(possible, classes), percent))
-    links = stage(_linked(pairs, texts, words, percent))
-
-    found = components(links, "a", "b").withColumnRenamed("node", "id")
-    labelled = classes.join(found, "id", "left").select(
-        "n", "class", F.coalesce("component", "id").alias("component")
-    )
-    rest = _candidates(lists.join(labelled, ["n", "class"]).select(*lists.columns, "component"), percent, leaders=False)
-    others = stage(_near(_numbered(rest, classes), percent).join(pairs, ["a", "b"], "left_anti"))
-    more = stage(_linked(others, texts, words, percent))
+    shared = _shared_lists(_entries(rows, words, percent, _levels(counted)))
+    lists = stage(_with_middle(shared, classes))
+
+    def linked(possible: DataFrame, before: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+        """The pairs among ``possible`` that were not checked before, and the links among them."""
+        near = _near(_numbered(possible, classes), percent)
+        pairs = stage(near if before is None else near.join(before, ["a", "b"], "left_anti"))
+        ends = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+        texts = stage(_texts(rows, classes.join(ends, "id", "left_semi"), words))
+        return pairs, stage(_linked(pairs, texts, words, percent))
+
+    pairs, links = linked(_leaders(lists, percent), None)
+    mixed = stage(_mixed(lists, classes, links))
+    more_pairs, more = linked(_between_components(mixed, percent, one_of_each=True), pairs)
+    links = stage(links.unionByName(more))
+    rest = _mixed(mixed.select(*_LISTED), classes, links)
+    _, more = linked(_between_components(rest, percent, one_of_each=False), pairs.unionByName(more_pairs))
     return members, links.unionByName(more)
 
 

@@ -5,7 +5,7 @@ repeats in it, and the same of the lines before and after it; the chain adds how
 another. Forward-backward gives each line's probability of being good; a text's quality is their mean,
 weighted by length, brought to a probability of the label.
 
-Training (numpy, on the driver) uses a bounded sample of labelled rows, ``sample`` of each label by hash;
+Training (numpy, inside one task) uses a bounded sample of labelled rows, ``sample`` of each label by hash;
 lines take the label of their text. Features and marginals are array operations over the lines of about a
 megabyte of text at a time, inside Spark tasks; the chain runs along the lines of all texts of a slice at
 once.
@@ -22,7 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodestrata.llm.labelled import labelled_sample, logistic
+from lodestrata.llm.labelled import labelled_sample, logistic, trained_in_task
+from lodestrata.llm.names import own_names
 from lodestrata.llm.words import NO_SPACE, mixed, pieces, text_bytes, words_of
 
 #: Labelled rows of each label that are used for training.
@@ -263,9 +264,10 @@ def fit(
     ``labels`` may name an id more than once; the highest label counts. Missing labels and ids are left out.
     """
     rows, share = labelled_sample(docs, labels, id, text, label, sample, held_out)
-    return train([row[0] for row in rows], [row[1] for row in rows], share)
+    return trained_in_task(rows, lambda texts, truth: train(texts, truth, share))
 
 
+@own_names
 def score(docs: DataFrame, field: Field, text: str = "text", output: str = "score") -> DataFrame:
     """The rows with the probability that the whole text is good; a missing text counts as empty."""
     plain = docs.drop(output)
@@ -280,6 +282,7 @@ def score(docs: DataFrame, field: Field, text: str = "text", output: str = "scor
     return frame.mapInArrow(task, T.StructType([*plain.schema.fields, T.StructField(output, T.DoubleType())]))
 
 
+@own_names
 def classify(
     docs: DataFrame,
     labels: DataFrame,

@@ -6,7 +6,7 @@ texts) and a character input (the mean of learned vectors of its character 3- an
 of their shares). Windows of ``LENGTH`` words start every ``STRIDE`` words over the whole text. The network
 scores every window, and the highest window gives the score of the text.
 
-Training (numpy, on the driver) uses a bounded sample of labelled rows, ``sample`` of each label by hash of
+Training (numpy, inside one task) uses a bounded sample of labelled rows, ``sample`` of each label by hash of
 the text, so what it needs does not grow with the corpus. Only texts are labelled, not windows: a toxic text
 gives its most suspicious windows, a clean text its most suspicious one and random ones; after half of the
 epochs the network itself chooses again. Logits become probabilities by a fit on texts that were kept out.
@@ -24,7 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodestrata.llm.labelled import labelled_sample, logistic
+from lodestrata.llm.labelled import labelled_sample, logistic, trained_in_task
+from lodestrata.llm.names import own_names
 from lodestrata.llm.words import LETTERS, Words, mixed, pieces, words_of
 
 LENGTH, STRIDE = 16, 8
@@ -414,9 +415,10 @@ def fit(
     ``labels`` may name an id more than once; the highest label counts. Missing labels and ids are left out.
     """
     rows, share = labelled_sample(docs, labels, id, text, label, sample, held_out)
-    return train([row[0] for row in rows], [row[1] for row in rows], share)
+    return trained_in_task(rows, lambda texts, truth: train(texts, truth, share))
 
 
+@own_names
 def score(docs: DataFrame, network: Network, text: str = "text", output: str = "score") -> DataFrame:
     """The rows with the network's probability that the whole text is toxic; a missing text counts as empty."""
     plain = docs.drop(output)
@@ -431,6 +433,7 @@ def score(docs: DataFrame, network: Network, text: str = "text", output: str = "
     return frame.mapInArrow(task, T.StructType([*plain.schema.fields, T.StructField(output, T.DoubleType())]))
 
 
+@own_names
 def classify(
     docs: DataFrame,
     labels: DataFrame,

@@ -32,6 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lodestrata.llm.names import own_names
+
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: White space of the splitting pattern by code point: the Unicode property, whatever the regex library adds.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -266,6 +268,7 @@ def _added(docs: DataFrame, added: dict[str, T.DataType], column: str, make, mos
 IDS_TYPE = T.ArrayType(T.IntegerType())
 
 
+@own_names
 def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """The rows with the ids of the whole text (``array<int>``), as ranks of the vocabulary file ``path``.
 
@@ -276,12 +279,14 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
     return _added(docs, {ids: IDS_TYPE}, text, make, SLICE_BYTES)
 
 
+@own_names
 def decode(rows: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """The rows with the bytes of their ids (``binary``); missing or empty ids give no bytes."""
     make = lambda lists: [pa.array(codec(path).decode(lists), pa.binary())]
     return _added(rows, {decoded: T.BinaryType()}, ids, make, IDS)
 
 
+@own_names
 def encode_decode(
     docs: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded"
 ) -> DataFrame:

@@ -22,6 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodestrata.llm.names import own_names
 from lodestrata.llm.words import pieces, text_bytes
 from lodestrata.sources.staging import stage
 
@@ -167,6 +168,7 @@ def repeated_passages(
     )
 
 
+@own_names
 def without_repeats(
     docs: DataFrame, id: str = "doc_id", text: str = "text", least: int = LEAST_RUN, within: bool = False
 ) -> DataFrame:

@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodestrata.llm.components import components
+from lodestrata.llm.names import own_names
 from lodestrata.llm.words import mixed, pieces, words_of
 from lodestrata.sources.staging import stage
 
@@ -427,15 +428,30 @@ def _with_middle(lists: DataFrame, classes: DataFrame) -> DataFrame:
     return joined.select(*lists.columns, "middle").mapInArrow(task, f"{_ENTRY}, middle binary")
 
 
-def _mixed(lists: DataFrame, classes: DataFrame, links: DataFrame) -> DataFrame:
-    """The lists that hold sets of several components, with the components that ``links`` give."""
-    found = components(links, "a", "b").withColumnRenamed("node", "id")
-    labelled = classes.join(found, "id", "left").select("n", "class", F.coalesce("component", "id").alias("component"))
+def _mixed(lists: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
+    """The lists that hold sets of several components, with the components; a class without one is its own."""
+    labelled = classes.join(found.withColumnRenamed("node", "id"), "id", "left").select(
+        "n", "class", F.coalesce("component", "id").alias("component")
+    )
     entries = lists.join(labelled, ["n", "class"]).select(*_LISTED, "component")
     several = entries.groupBy("token").agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
     return entries.join(several.filter("_low <> _high").select("token"), "token", "left_semi").select(*_LISTED, "component")
 
 
+def _united(found: DataFrame, links: DataFrame) -> DataFrame:
+    """Components (node, component) after further links: only the components that these touch are worked on."""
+    if links.isEmpty():
+        return found
+    at = lambda end: found.select(F.col("node").alias(end), F.col("component").alias(f"_{end}"))
+    between = links.join(at("a"), "a", "left").join(at("b"), "b", "left").select(
+        F.coalesce("_a", "a").alias("x"), F.coalesce("_b", "b").alias("y")
+    )
+    merged = stage(components(stage(between.distinct()), "x", "y").select(F.col("node").alias("component"), F.col("component").alias("_to")))
+    moved = found.join(merged, "component", "left").select("node", F.coalesce("_to", "component").alias("component"))
+    new = merged.join(found.select(F.col("node").alias("component")), "component", "left_anti")
+    return stage(moved.unionByName(new.select(F.col("component").alias("node"), F.col("_to").alias("component"))))
+
+
 def _near(pairs: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose shapes do not differ by more than linked sets may."""
 
@@ -495,8 +511,8 @@ def _linked(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Dat
 
 
 def join_classes(rows: DataFrame, words: int = WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """From (id, text) rows without missing ids: the documents (id, n, class) and the links (a, b) between
-    the smallest ids of classes. A class is identified by its size and a 64-bit hash of its set."""
+    """From (id, text) rows without missing ids: the documents (id, n, class), and (node, component) of the smallest
+    id of each class that links. A class is identified by its size and a 64-bit hash of its set."""
     counted = stage(_classes_and_counters(rows, words))
     members = counted.filter(F.col("n").isNotNull()).select("id", "n", "class")
     shapes = counted.filter(F.col("n") > 0).groupBy("n", "class")
@@ -513,12 +529,13 @@ def join_classes(rows: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
         return pairs, stage(_linked(pairs, texts, words, percent))
 
     pairs, links = linked(_leaders(lists, percent), None)
-    mixed = stage(_mixed(lists, classes, links))
+    found = stage(components(links, "a", "b"))
+    mixed = stage(_mixed(lists, classes, found))
     more_pairs, more = linked(_between_components(mixed, percent, one_of_each=True), pairs)
-    links = stage(links.unionByName(more))
-    rest = _mixed(mixed.select(*_LISTED), classes, links)
+    found = _united(found, more)
+    rest = _mixed(mixed.select(*_LISTED), classes, found)
     _, more = linked(_between_components(rest, percent, one_of_each=False), pairs.unionByName(more_pairs))
-    return members, links.unionByName(more)
+    return members, _united(found, more)
 
 
 def _texts(rows: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
@@ -553,8 +570,7 @@ def jaccard_components(
     results; an id with several texts has a component for each. Extra columns do not matter.
     """
     rows = docs.select(F.col(id).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    members, links = join_classes(rows.filter("id IS NOT NULL"), words, percent)
-    found = components(links, "a", "b")
+    members, found = join_classes(rows.filter("id IS NOT NULL"), words, percent)
     classes = members.filter("n > 0").groupBy("n", "class").agg(F.min("id").alias("node"))
     of_class = classes.join(found, "node", "left").select(
         "n", "class", F.coalesce("component", "node").alias("component_id")
@@ -574,6 +590,7 @@ def jaccard_components(
     return result.select(F.col("id").alias(id), F.col("n").cast("long").alias("n_shingles"), "component_id")
 
 
+@own_names
 def one_of_each(
     docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT
 ) -> DataFrame:
@@ -582,8 +599,7 @@ def one_of_each(
     Rows without words link with nothing and stay, and so do rows without id. All columns are kept.
     """
     rows = docs.select(F.col(id).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    members, links = join_classes(rows.filter("id IS NOT NULL"), words, percent)
-    found = components(links, "a", "b")
+    members, found = join_classes(rows.filter("id IS NOT NULL"), words, percent)
     classes = members.filter("n > 0").groupBy("n", "class").agg(F.min("id").alias("node"))
     chosen = stage(
         classes.join(found, "node", "left")

@@ -23,6 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodestrata.llm.names import own_names
 from lodestrata.operators.keys import dense_key
 from lodestrata.sources.staging import stage
 
@@ -139,6 +140,7 @@ def _fill_source(rows: pd.DataFrame) -> pd.DataFrame:
     return rows[["_key", SIZE]].assign(_whole=whole + taken // counts, _extra=taken % counts)
 
 
+@own_names
 def mix(
     docs: DataFrame,
     id: str = "doc_id",

@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lodestrata.llm.names import own_names
 from lodestrata.llm.words import mixed, pieces
 
 #: Fewest words of a run, and how often its period must fit in at least.
@@ -233,6 +234,7 @@ def words_and_runs(
     return list(zip(every, found, strict=True))
 
 
+@own_names
 def periodic_runs(
     docs: DataFrame, text: str = "text", output: str = "runs", least: int = LEAST, repeats: int = REPEATS
 ) -> DataFrame:
@@ -248,6 +250,7 @@ def periodic_runs(
     return _with_column(docs, text, output, _RUNS, _ARROW_RUNS, listed, least, repeats)
 
 
+@own_names
 def collapse_runs(
     docs: DataFrame, text: str = "text", output: str | None = None, least: int = LEAST, repeats: int = REPEATS
 ) -> DataFrame:

@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodestrata.llm.names import own_names
 from lodestrata.sources.staging import stage
 
 # The base kinds, in the order in which equal starts are listed.
@@ -67,6 +68,8 @@ LEAST_ENTROPY, LEAST_SHARE = 2.5, 0.4
 ALPHABETS = ((string.digits, 10), (string.ascii_lowercase, 26), (string.ascii_uppercase, 26))
 #: Owners from which on a value counts as copied.
 COPIED_OWNERS = 3
+#: Repositories from which a value of several owners is a copied example, too.
+COPIED_REPOSITORIES = 20
 
 _SPAN = "struct<kind:string,start:int,end:int,value:string,random:boolean>"
 SCAN_COLUMNS = (
@@ -192,11 +195,19 @@ def ownership(candidates: DataFrame) -> DataFrame:
     )
 
 
-def judge(scanned: DataFrame, row: str, owner: str, repository: str, copied_owners: int = COPIED_OWNERS):
-    """Per ``row`` with candidates: ``live`` (array of kind, start, end) and ``n_copied``.
+def judge(
+    scanned: DataFrame,
+    row: str,
+    owner: str,
+    repository: str,
+    copied_owners: int = COPIED_OWNERS,
+    copied_repositories: int = COPIED_REPOSITORIES,
+):
+    """Per ``row`` with candidates: ``live`` (the different ones as kind, start, end) and ``n_copied``.
 
-    A candidate is copied if at least ``copied_owners`` owners hold its value, live if it is not copied and
-    looks random.
+    A candidate is copied if at least ``copied_owners`` owners hold its value, or several owners and at least
+    ``copied_repositories`` repositories. It is live if it is not copied and looks random: one owner's value
+    stays live in however many repositories it stands.
     """
     places = scanned.select(
         F.col(row).alias("_row"),
@@ -205,13 +216,14 @@ def judge(scanned: DataFrame, row: str, owner: str, repository: str, copied_owne
         F.inline("candidates"),
     )
     owned = ownership(places.select("value", "owner", "repository"))
-    copied = F.col("owners") >= copied_owners
+    widely = (F.col("owners") > 1) & (F.col("repositories") >= copied_repositories)
+    copied = (F.col("owners") >= copied_owners) | widely
     live = F.when(~copied & F.col("random"), F.struct("start", "end", "kind"))
     return (
         places.join(owned, "value")
         .groupBy("_row")
         .agg(
-            F.array_sort(F.collect_list(live)).alias("live"),
+            F.array_sort(F.collect_set(live)).alias("live"),
             F.sum(copied.cast("long")).alias("n_copied"),
         )
     )
@@ -256,6 +268,7 @@ def mask(text: str, spans, cover: str = "*") -> str:
     return "".join(marks)
 
 
+@own_names
 def redact(
     docs: DataFrame,
     id: str = "doc_id",
@@ -277,7 +290,7 @@ def redact(
     judged = stage(
         judge(found, "_mark", "_owner", "_repository", copied_owners)
         .filter(F.size("live") > 0)
-        .select(F.col("_row").alias("_mark"), F.array_distinct("live").alias("_live"))
+        .select(F.col("_row").alias("_mark"), F.col("live").alias("_live"))
     )
     names = docs.columns
     frame = keyed.join(judged, "_mark", "left").select(*names, "_live")

@@ -104,7 +104,7 @@ def test_no_documents(spark, tmp_path):
 def test_queries_are_registered():
     from lodestrata.llm.queries import QUERIES
 
-    assert sorted(name.split("_")[0] for name in QUERIES) == sorted([*(f"op{n}" for n in range(1, 11)), "pipeline"])
+    assert sorted(name.split("_")[0] for name in QUERIES) == sorted([*(f"op{n}" for n in range(1, 14)), "pipeline"])
 
 
 def test_near_copies_are_those_of_five_words_and_80_percent(spark):

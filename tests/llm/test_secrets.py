@@ -65,10 +65,39 @@ def test_ownership_tells_examples_from_live_ones(documents):
     rows += [(90, "token=your_token_here", "two"), (91, "token=aaaaaaaaaa", "two"), (92, "token=Hn5Jk2Ls8Df3", None)]
     by = {r["doc_id"]: r for r in secrets.scan_secrets(documents(rows)).collect()}
     assert all(by[i]["n_copied"] == 1 and by[i]["n_live"] == 0 for i in range(4))
-    assert all(by[10 + i]["n_live"] == 1 and by[10 + i]["live_spans"] == "0:20:assign" for i in range(50))
+    assert all(by[10 + i]["n_live"] == 1 and by[10 + i]["live_spans"] == "assign:0:20" for i in range(50))
     assert by[90]["n_live"] == by[91]["n_live"] == 0 and by[92]["n_live"] == 1
 
 
+def test_repositories_and_owners_against_a_plain_count(spark, documents):
+    rng = random.Random(8)
+    values = [f"Qv{k}Zx{rng.randrange(10**6)}Lw" for k in range(12)]
+    rows = []
+    for i in range(400):
+        k = rng.randrange(12)
+        owner = rng.choice("ab" if k < 4 else "abcdef"[: k - 3])
+        rows.append((rng.randrange(300), f"token={values[k]}", owner if rng.random() > 0.1 else None))
+    rows += [(i, "token=Hn5Jk2Ls8Df3", "ab"[i % 2]) for i in range(1000, 1019)]  # two owners, 19 repositories
+    docs = documents(rows)
+    found = secrets.scan_secrets(docs).collect()
+    wanted = {}
+    for i, text, owner in rows:
+        wanted.setdefault(text, set()).add((owner, i))
+    copied = {}
+    for text, places in wanted.items():
+        owners = {owner for owner, _ in places}
+        copied[text] = len(owners) >= 3 or (len(owners) > 1 and len(places) >= 20)
+    texts = {}
+    for i, text, owner in rows:
+        texts.setdefault(i, []).append(copied[text])
+    got = {}
+    for r in found:
+        assert r["n_copied"] + r["n_live"] == 1
+        got.setdefault(r["doc_id"], []).append(r["n_copied"] == 1)
+    assert {i: sorted(x) for i, x in got.items()} == {i: sorted(x) for i, x in texts.items()}
+    assert set(copied.values()) == {True, False} and not copied["token=Hn5Jk2Ls8Df3"]
+
+
 def test_redaction_covers_live_ones_only(documents):
     rows = [(i, "example token=Zk3Lw9Qx7Rt5 é", f"owner{i}") for i in range(4)]
     rows += [(9, "x 😀 token=Pm4Vc8Xz1Nb6Qw.", "one"), (9, "x 😀 token=Pm4Vc8Xz1Nb6Qw.", "one"), (None, None, None), (11, "", "a")]
@@ -76,7 +105,7 @@ def test_redaction_covers_live_ones_only(documents):
     out = secrets.redact(docs)
     assert out.schema == docs.schema
     texts = sorted(((r["doc_id"] or -1), r["text"]) for r in out.collect() if r["doc_id"])
-    assert texts[-3:] == [(9, "x 😀 " + "*" * 20 + "."), (9, "x 😀 " + "*" * 20 + "."), (11, "")]
+    assert texts[-3:] == [(9, "x 😀 " + "*" * 21), (9, "x 😀 " + "*" * 21), (11, "")]  # a full stop is part of a value
     assert sum("Zk3Lw9Qx7Rt5" in (r["text"] or "") for r in out.collect()) == 4
 
 

@@ -12,6 +12,7 @@ from lodestrata.sources.landing import (
 from lodestrata.sources.staging import (
     drop_folder,
     drop_staged,
+    drop_unread,
     stage,
     staged_run,
     staging_folder,
@@ -41,6 +42,7 @@ __all__ = [
     "drop_folder",
     "drop_staged",
     "drop_table",
+    "drop_unread",
     "ensure_layers",
     "ingest_files",
     "overwrite_table",

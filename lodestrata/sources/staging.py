@@ -44,8 +44,9 @@ def stage(df: DataFrame) -> DataFrame:
 
 @contextmanager
 def staging_into(spark: SparkSession) -> Iterator[str]:
-    """Tables staged inside lie in a folder of their own, which stays: see ``drop_folder``."""
-    folder = f"{staging_folder(spark)}/run-{uuid.uuid4().hex}"
+    """Tables staged inside lie in a folder of their own, which stays: see ``drop_folder``. A folder that is opened
+    inside another one lies in it, and goes with it."""
+    folder = f"{_runs[-1] if _runs else staging_folder(spark)}/run-{uuid.uuid4().hex}"
     _runs.append(folder)
     try:
         yield folder
@@ -82,6 +83,17 @@ def _drop_quietly(system, path) -> None:
         system.delete(path, True)
 
 
+def drop_unread(frame: DataFrame, folder: str) -> None:
+    """Of the tables staged into a folder, drop those that ``frame`` does not read."""
+    spark = frame.sparkSession
+    read = {file.rsplit("/", 1)[0].rsplit("/", 1)[1] for file in frame.inputFiles()}
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in system.listStatus(path) if system.exists(path) else ():
+        if status.getPath().getName() not in read:
+            system.delete(status.getPath(), True)
+
+
 def drop_folder(spark: SparkSession, folder: str) -> None:
     """Delete a folder of staged tables, wherever the cluster keeps it."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)

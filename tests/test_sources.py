@@ -124,11 +124,26 @@ def _files(spark, folder):
     return [str(f.getPath()) for f in system.listStatus(path)] if system.exists(path) else []
 
 
+def test_tables_that_a_result_does_not_read_are_dropped(spark):
+    with sources.staging_into(spark) as folder:
+        first, second = sources.stage(spark.range(3)), sources.stage(spark.range(5))
+        result = sources.stage(first.join(second, "id")).join(second, "id", "right")
+    sources.drop_unread(result, folder)
+    assert len(_files(spark, folder)) == 2 and result.count() == 5
+    sources.drop_folder(spark, folder)
+    sources.drop_unread(spark.range(1), folder)
+
+
 def test_a_run_drops_what_it_staged(spark):
     with sources.staged_run(spark) as folder:
         assert sources.stage(spark.range(3)).count() == 3
         assert len(_files(spark, folder)) == 1
     assert _files(spark, folder) == []
+    with sources.staged_run(spark) as folder:
+        with sources.staging_into(spark) as inner:
+            sources.stage(spark.range(3))
+        assert len(_files(spark, inner)) == 1
+    assert _files(spark, inner) == []
     with pytest.raises(ValueError), sources.staged_run(spark) as folder:
         sources.stage(spark.range(3))
         raise ValueError

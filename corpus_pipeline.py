@@ -18,26 +18,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestrata.llm import byte_bpe, jaccard_join, mixing, secrets, toxicity
-from lodestrata.sources.staging import drop_folder, staging_into
+from lodestrata.sources.staging import drop_folder, drop_unread, staged_run, staging_into
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 #: Words of a shingle and percent of likeness from which two documents are near copies.
 NEAR_WORDS, NEAR_PERCENT = 5, 80
-#: Staged tables of the stage that ran last, by application.
-_folders: dict[str, str] = {}
+#: Columns that stages use; others have names of their own meanwhile, which clash with nothing.
+USED = ("doc_id", "text", "source")
 
 
 def _staged(build: Stage) -> Stage:
-    """Drops what the stage before has staged: its result is a table by now, so nothing reads it any more."""
+    """Of what a stage has staged on its way, only what its result still reads stays."""
 
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        application = spark.sparkContext.applicationId
-        if application in _folders:
-            drop_folder(spark, _folders.pop(application))
+        others = {c: f"other {k}" for k, c in enumerate(docs.columns) if c not in USED}
         with staging_into(spark) as folder:
-            result = build(spark, docs, sf_dir)
-        _folders[application] = folder
-        return result
+            result = build(spark, docs.withColumnsRenamed(others), sf_dir)
+        drop_unread(result, folder)
+        return result.withColumnsRenamed({name: c for c, name in others.items()})
 
     return run
 
@@ -63,7 +61,7 @@ def cover_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 @_staged
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(docs).filter(F.col(mixing.COPIES) > 0)
-    repeated = mixed.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col(mixing.COPIES).cast("int"))))
+    repeated = mixed.withColumn(mixing.COPIES, F.explode(F.sequence(F.lit(1), F.col(mixing.COPIES).cast("int"))))
     return repeated.select(*docs.columns)
 
 
@@ -91,8 +89,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for _, build in STAGES:
         with staging_into(spark) as folder:
             pass
-        result = build(spark, docs, sf_dir)
-        result.write.parquet(f"{folder}/result")
+        with staged_run(spark):
+            result = build(spark, docs, sf_dir)
+            result.write.parquet(f"{folder}/result")
         docs = spark.read.schema(result.schema).parquet(f"{folder}/result")
         if before is not None:
             drop_folder(spark, before)

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lodestrata.functions import is_blank
@@ -164,6 +164,35 @@ def _user_ratings(reviews: DataFrame) -> DataFrame:
     return reviews.agg(_off_scale("nota_media_usuarios").alias("user_ratings_off"))
 
 
+def _on_write() -> dict[str, list[Column]]:
+    """What is counted while a table is written, by table."""
+    return {
+        "fact": [*_movie_ratings(), *_money()],
+        "context": [
+            F.count(F.lit(1)).alias("documents"),
+            F.count_if(is_blank("llm_context_document")).alias("blank_documents"),
+        ],
+    }
+
+
+def watched(table: str, df: DataFrame) -> tuple[DataFrame, Observation | None]:
+    """``df`` with the counts that its write will give, for ``check_all``; none for tables without such counts."""
+    measures = _on_write().get(table)
+    if measures is None:
+        return df, None
+    seen = Observation()
+    return df.observe(seen, *measures), seen
+
+
+def _from_writes(seen: Mapping[str, Observation], movies: DataFrame) -> DataFrame:
+    """One row with the numbers that were counted during the writes; the movies are counted where they stand."""
+    numbers = {name: n for observation in seen.values() for name, n in observation.get.items()}
+    difference = F.abs(F.lit(numbers["documents"]) - F.count(F.lit(1)))
+    return movies.agg(
+        difference.alias("row_difference"), *(F.lit(n).cast("bigint").alias(name) for name, n in numbers.items())
+    )
+
+
 def _report(measured: Sequence[DataFrame], rules: Sequence[Rule]) -> DataFrame:
     return quality_report(measured, rules).select(
         F.col("rule").alias("regra"), F.col("passed").alias("passou"), F.col("detail").alias("detalhe")
@@ -211,8 +240,13 @@ def check_all(
     bridge_person: DataFrame,
     bridge_company: DataFrame,
     context: DataFrame,
+    seen: Mapping[str, Observation] | None = None,
 ) -> DataFrame:
-    """All seven rules, whatever fails, as one lazy report."""
+    """All seven rules, whatever fails, as one lazy report.
+
+    ``seen`` holds what ``watched`` counted while exactly these tables were written; they are not scanned for it
+    again. Keys are compared in the stored tables in any case.
+    """
     tables = {
         "dim_movies": dim_movies,
         "dim_genres": dim_genres,
@@ -222,13 +256,16 @@ def check_all(
         "bridge_person": bridge_person,
         "bridge_company": bridge_company,
     }
+    if seen is not None:
+        counted = [_from_writes(seen, dim_movies)]
+    else:
+        counted = [_context(context, dim_movies), fact.agg(*_movie_ratings(), *_money())]
     measured = [
         _grain_and_coverage(fact, dim_movies),
-        _context(context, dim_movies),
         _genres(dim_genres),
         *_bridges(tables),
-        fact.agg(*_movie_ratings(), *_money()),
         _user_ratings(dim_reviews),
+        *counted,
     ]
     return _report(measured, [GRAIN, COVERAGE, CONTEXT, GENRES, BRIDGES, RATINGS, MONEY])
 

@@ -30,6 +30,7 @@ from lodestrata.sources.tables import (
     ingest_files,
     overwrite_table,
 )
+from lodestrata.sources.together import side_by_side, spread
 
 __all__ = [
     "BATCH",
@@ -50,6 +51,8 @@ __all__ = [
     "read_landing_csv",
     "read_rate_json",
     "records_to_df",
+    "side_by_side",
+    "spread",
     "stage",
     "staged_run",
     "staging_folder",

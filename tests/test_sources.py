@@ -245,3 +245,29 @@ def test_lines_that_lose_fields_are_shown_with_their_numbers(spark, tmp_path, bl
     assert {(r["file"].rsplit("/", 1)[1], r["line_number"], r["fields"], r["line"]) for r in found} == wanted
     assert len(found) == len(wanted) > 40
     assert sources.wide_lines(spark, str(tmp_path), 6).count() == 0
+
+
+def test_steps_side_by_side(spark):
+    spark.sparkContext.setLocalProperty("lodestrata.test", "seen")
+    steps = [lambda n=n: (spark.range(n).count(), spark.sparkContext.getLocalProperty("lodestrata.test")) for n in (3, 5, 7)]
+    assert sources.side_by_side(spark, *steps) == [(3, "seen"), (5, "seen"), (7, "seen")]
+    assert sources.side_by_side(spark) == []
+    spark.sparkContext.setLocalProperty("lodestrata.test", None)
+    done = []
+
+    def fails():
+        raise ValueError("one step")
+
+    with pytest.raises(ValueError, match="one step"):
+        sources.side_by_side(spark, fails, lambda: done.append(spark.range(2).count()))
+    assert done == [2]
+
+
+def test_few_files_are_spread_over_all_tasks(spark, tmp_path):
+    path = str(tmp_path / "few")
+    spark.range(1000, numPartitions=1).write.parquet(path)
+    scan = spark.read.parquet(path)
+    wide = sources.spread(scan)
+    assert wide.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism and wide.count() == 1000
+    many = spark.range(1000, numPartitions=64)
+    assert sources.spread(many) is many

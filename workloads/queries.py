@@ -754,11 +754,15 @@ def question_highest_revenue(g):
 
 @on_gold
 def question_busiest_actor(g):
+    g.ready("info", "names")
+    g.ready("movies", "people")
     return questions.busiest_actor(g.bridge_person, g.movies, g.people, today=_today())
 
 
 @on_gold
 def question_most_profitable_company(g):
+    g.ready("info", "names")
+    g.ready("movies", "companies")
     return questions.most_profitable_company(
         g.bridge_company, g.movies, g.fact_of("lucro_usd"), g.companies, today=_today()
     )

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from functools import cached_property
+from functools import cached_property, partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from lodestrata.plans import gate, gold, silver
-from lodestrata.sources import stage
+from lodestrata.sources import side_by_side, stage
 from workloads.tables import Tables
 
 # The range of days asked for, as the parameters of a run. The stored rates start earlier.
@@ -59,7 +59,9 @@ class Gold:
     """
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
+        self._spark = spark
         self.silver = Silver(spark, folder)
+        self.seen: dict[str, Observation] = {}
 
     @cached_property
     def genre_links(self) -> DataFrame:
@@ -93,6 +95,14 @@ class Gold:
     def reviews(self) -> DataFrame:
         return gold.dim_reviews(self.movies, self.silver.reviews())
 
+    @cached_property
+    def financials(self) -> DataFrame:
+        return self.silver.financials()
+
+    @cached_property
+    def metrics(self) -> DataFrame:
+        return self.silver.metrics()
+
     @cached_property
     def fact(self) -> DataFrame:
         return self.fact_of()
@@ -100,7 +110,7 @@ class Gold:
     def fact_of(self, *wanted: str) -> DataFrame:
         """The fact with the wanted measures, or all; tables that give none of them are not read."""
         return gold.fact_movies_performance(
-            self.movies, self.silver.financials(), self.silver.metrics(), wanted or None
+            self.movies, self.financials, self.metrics, wanted or None
         )
 
     @cached_property
@@ -120,21 +130,42 @@ class Gold:
 
     @cached_property
     def context(self) -> DataFrame:
+        self.ready("info", "names")
+        self.ready("movies", "people")
         names = gold.cast_and_directors(self.bridge_person, self.people)
-        amounts = self.fact_of("receita_usd", "orcamento_usd")
+        stored = vars(self).get("fact")
+        amounts = stored if stored is not None else self.fact_of("receita_usd", "orcamento_usd")
         return gold.movie_context(self.movies, amounts, names)
 
+    def ready(self, *names: str) -> None:
+        """Build tables that do not need each other, side by side."""
+        side_by_side(self._spark, *(partial(getattr, self, name) for name in names))
+
     def stored(self) -> dict[str, DataFrame]:
-        """The star by table name; every table is written once, before the tables that read it."""
+        """The star by table name; every table is written once, before the tables that read it.
+
+        What the rules can count while a table is written, they do: ``seen``.
+        """
+        self.ready("info", "names", "genre_links")
+        self._write(dim_movies="movies", dim_genres="genres", dim_people="people", dim_companies="companies")
+        self._write(fact="fact", bridge_genre="bridge_genre", bridge_person="bridge_person", bridge_company="bridge_company")
+        self._write(context="context", dim_reviews="reviews")
         names = {
             "dim_movies": "movies", "dim_genres": "genres", "dim_people": "people", "dim_companies": "companies",
             "dim_reviews": "reviews", "fact": "fact", "bridge_genre": "bridge_genre",
             "bridge_person": "bridge_person", "bridge_company": "bridge_company", "context": "context",
         }
-        for table in names.values():
-            setattr(self, table, stage(getattr(self, table)))
-        return {name: getattr(self, table) for name, table in names.items()}
+        return {table: getattr(self, name) for table, name in names.items()}
+
+    def _write(self, **names: str) -> None:
+        def write(table: str, name: str) -> None:
+            frame, seen = gate.watched(table, getattr(self, name))
+            setattr(self, name, stage(frame))
+            if seen is not None:
+                self.seen[table] = seen
+
+        side_by_side(self._spark, *(partial(write, table, name) for table, name in names.items()))
 
     def report(self) -> DataFrame:
         """The report on the stored star."""
-        return gate.check_all(**self.stored())
+        return gate.check_all(**self.stored(), seen=self.seen)

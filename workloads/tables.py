@@ -8,6 +8,7 @@ from string import Formatter
 from pyspark.sql import DataFrame, SparkSession
 
 from lodestrata.session import tune
+from lodestrata.sources import spread
 from workloads.inputs import INPUTS
 
 _ZONE = "spark.sql.session.timeZone"
@@ -29,4 +30,4 @@ class Tables:
     def input(self, name: str) -> DataFrame:
         text = INPUTS[name]
         used = {field for _, field, _, _ in Formatter().parse(text) if field}
-        return self.spark.sql(text, **{table: self[table] for table in used})
+        return self.spark.sql(text, **{table: spread(self[table]) for table in used})

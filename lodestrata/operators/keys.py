@@ -13,7 +13,7 @@ from lodestrata.sources.staging import stage
 _ROW_BITS = 33
 
 
-def dense_key(df: DataFrame, order_by: Sequence[str], key: str) -> DataFrame:
+def dense_key(df: DataFrame, order_by: Sequence[str], key: str, stored: bool = False) -> DataFrame:
     """The rows with ``key`` = 1..N in the order of ``order_by``, NULLs first.
 
     Equal to a row_number() over the whole table, but that would sort everything in one task. Here
@@ -22,13 +22,15 @@ def dense_key(df: DataFrame, order_by: Sequence[str], key: str) -> DataFrame:
     of the partitions before: one number per partition, as many rows as there are partitions, which
     is what is broadcast.
 
-    ``order_by`` should identify a row; equal rows get different keys in any order. The staged table is
-    written while the frame is built, and ``df`` is read twice for it (once to sample the range
-    partitions): pass a stored table, not a long plan.
+    ``order_by`` should identify a row; equal rows get different keys in any order. The sort reads its rows twice,
+    once to sample the range partitions. So ``df`` is staged first and computed once, unless it is ``stored``: a
+    table that was just written, or rows that leave a shuffle, which Spark keeps. Staged tables are written
+    while the frame is built.
     """
+    rows = df if stored else stage(df)
     number = F.monotonically_increasing_id()
     numbered = (
-        df.orderBy(*(F.col(c).asc_nulls_first() for c in order_by))
+        rows.orderBy(*(F.col(c).asc_nulls_first() for c in order_by))
         .withColumn("_number", number)
         .select(
             *df.columns,

@@ -36,7 +36,7 @@ def _equal(left: DataFrame, left_column: str, right: DataFrame, right_column: st
 def dimension(df: DataFrame, columns: Mapping[str, str], key: str) -> DataFrame:
     """The distinct values of some columns with a dense key; ``columns`` maps source to output name."""
     values = df.select(*(F.col(c).alias(name) for c, name in columns.items())).distinct()
-    return dense_key(values, list(columns.values()), key)
+    return dense_key(values, list(columns.values()), key, stored=True)  # distinct rows leave a shuffle
 
 
 def bridge(links: DataFrame, *sides: Side) -> DataFrame:

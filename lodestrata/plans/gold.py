@@ -24,7 +24,8 @@ from lodestrata.plans import catalogue as c
 
 
 def dim_movies(info: DataFrame) -> DataFrame:
-    keyed = dense_key(info.select(*c.MOVIE_COLUMNS), ["id_filme"], "sk_movie_id")
+    """One row per movie of a stored table."""
+    keyed = dense_key(info.select(*c.MOVIE_COLUMNS), ["id_filme"], "sk_movie_id", stored=True)
     return keyed.withColumn("id_filme", F.col("id_filme").cast("string"))
 
 

@@ -122,7 +122,7 @@ def movie_genres(raw: DataFrame) -> DataFrame:
 
 def people_and_companies(raw: DataFrame) -> DataFrame:
     """``tb_pessoas_empresas``: the names in the four credit columns with the role each column gives."""
-    found = explode_entities(raw, "id", c.KIND_OF_COLUMN, "nome_entidade", "tipo_entidade")
+    found = explode_entities(raw, "id", c.KIND_OF_COLUMN, "nome_entidade", "tipo_entidade", once=True)
     names = keep_names(found, "nome_entidade").withColumn(
         "nome_entidade", rules.title_case_words("nome_entidade")
     )

@@ -77,6 +77,23 @@ def test_whole_table_window_never_runs_for_keys(spark, sf_dir):
     assert "BroadcastHashJoin" in plan
 
 
+def test_keys_compute_their_input_once(spark):
+    """The sort samples and sorts; the rows it does both with are computed once."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(5000, numPartitions=6).mapInArrow(counted, "id long")
+    assert ops.dense_key(rows, ["id"], "k").filter("k <> id + 1").count() == 0
+    assert seen.value == 5000
+    values = spark.range(5000, numPartitions=6).mapInArrow(counted, "id long")
+    assert ops.dimension(values, {"id": "name"}, "k").filter("k <> name + 1").count() == 0
+    assert seen.value == 10_000
+
+
 def test_top_n_keeps_n_rows_per_task(spark, sf_dir):
     orders = Tables(spark, sf_dir)["orders"].select("o_orderkey", "o_totalprice")
     plan = plan_of(ops.rank_top(orders, "o_totalprice", 10, "place", ["o_orderkey"]))

@@ -111,7 +111,7 @@ def source_targets(sources: DataFrame, weights: int, max_repeats: int) -> DataFr
     shared by weight among the others until no target is above. One small aggregate per round.
     """
     ordered = dense_key(
-        sources.withColumn("_last", F.col("source").isNull().cast("int")), ["_last", "source"], "_rank"
+        sources.withColumn("_last", F.col("source").isNull().cast("int")), ["_last", "source"], "_rank", stored=True
     ).withColumn("_weight", (F.col("_rank") - 1) % weights + 1)
     ordered = stage(ordered)
     most = F.col(SOURCE_SIZE) * max_repeats

@@ -107,7 +107,7 @@ def _with_next(rows: DataFrame) -> DataFrame:
     """
     first_block = -(1 << 63)
     blocked = rows.withColumn("_block", F.coalesce(F.floor(F.col("_id") / BLOCK).cast("long"), F.lit(first_block)))
-    ranks = dense_key(blocked.select("_block").distinct(), ["_block"], "_rank")
+    ranks = dense_key(blocked.select("_block").distinct(), ["_block"], "_rank", stored=True)
     blocks = ranks.count()
     before = ranks.select(
         F.col("_block").alias("_first_of"),

@@ -13,6 +13,7 @@ the row of the text: there is no shuffle, and no row meets another one.
 
 from __future__ import annotations
 
+import json
 import re
 from dataclasses import dataclass
 from functools import cache
@@ -165,27 +166,30 @@ def _keywords(text: str) -> list[str]:
 
 
 def _rules_of_keyword() -> Column:
-    """A map from keyword to its rules in order."""
-    by: dict[str, list[Column]] = {}
+    """A map from keyword to its rules in order, as one literal."""
+    by: dict[str, list[dict]] = {}
     for order, rule in enumerate(rules()):
-        by.setdefault(rule.keyword, []).append(
-            F.struct(
-                F.lit(rule.pattern).alias("pattern"), F.lit(rule.label).alias("label"),
-                F.lit(rule.priority).alias("priority"), F.lit(rule.confidence).alias("confidence"),
-                F.lit(order).alias("order"),
-            )
-        )
-    return F.create_map(*(x for word, found in by.items() for x in (F.lit(word), F.array(*found))))
+        facts = {"pattern": rule.pattern, "label": rule.label, "priority": rule.priority, "confidence": rule.confidence}
+        by.setdefault(rule.keyword, []).append(facts | {"order": order})
+    kind = "map<string,array<struct<pattern:string,label:string,priority:int,confidence:double,order:int>>>"
+    return F.from_json(F.lit(json.dumps(by)), kind)
 
 
-def _detections(words: Column, at: Column, rules_of: Column) -> Column:
-    """The matches of the rules of the keyword at place ``at``; no match is NULL."""
+def _stretch(words: Column, at: Column) -> Column:
+    """The words around place ``at`` between spaces, with a mark before the word there."""
     before = F.array_join(F.slice(words, F.greatest(at - WINDOW, F.lit(0)) + 1, F.least(at, F.lit(WINDOW))), " ")
     after = F.array_join(F.slice(words, at + 1, F.lit(WINDOW + 1)), " ")
-    stretch = F.concat(F.lit(" "), before, F.when(at > 0, " ").otherwise(""), F.lit(MARK), after, F.lit(" "))
+    return F.concat(F.lit(" "), before, F.when(at > 0, " ").otherwise(""), F.lit(MARK), after, F.lit(" "))
+
 
-    def tried(rule: Column) -> Column:
-        match = F.call_function("regexp_extract", stretch, rule["pattern"], F.lit(0))
+def _detections(words: Column, places: Column, keyword: Column, rules_of: Column) -> Column:
+    """The matches of the rules of a keyword at its places; no match is NULL.
+
+    Each rule is tried at all places before the next one is, so its pattern is compiled once for a text.
+    """
+
+    def tried(rule: Column, place: Column) -> Column:
+        match, at = F.call_function("regexp_extract", place["stretch"], rule["pattern"], F.lit(0)), place["at"]
         start = at - (F.size(F.split(F.substring_index(match, MARK, 1), " ")) - 1)
         end = start + F.size(F.split(match, " "))
         return F.when(
@@ -196,7 +200,20 @@ def _detections(words: Column, at: Column, rules_of: Column) -> Column:
             ),
         )
 
-    return F.transform(F.element_at(rules_of, F.get(words, at)), tried)
+    own = F.filter(places, lambda i: F.get(words, i) == keyword)
+    stretches = F.transform(own, lambda i: F.struct(i.alias("at"), _stretch(words, i).alias("stretch")))
+    by_rule = lambda known: F.transform(
+        F.element_at(rules_of, keyword), lambda rule: F.transform(known, lambda place: tried(rule, place))
+    )
+    # The stretches are made once, in an array of one element that all rules look at.
+    return F.flatten(F.get(F.transform(F.array(stretches), by_rule), 0))
+
+
+def _lowered(text: Column) -> Column:
+    """A to Z in lower case. Letters beyond ASCII may change with them, but never to an ASCII one: the one letter
+    that would, the sign of the kelvin, is kept apart."""
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return F.when(F.contains(text, F.lit("\u212a")), F.translate(text, letters, letters.lower())).otherwise(F.lower(text))
 
 
 _KEPT = "array<struct<start:int,end:int,label:string,confidence:double>>"
@@ -238,7 +255,7 @@ def scan_licenses(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Da
     """
     keywords = sorted({rule.keyword for rule in rules()})
     openers = sorted({phrase.split()[0] for phrase in BASE})
-    words = F.filter(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), NO_WORD), lambda w: w != "")
+    words = F.filter(F.split(_lowered(F.coalesce(F.col(text), F.lit(""))), NO_WORD), lambda w: w != "")
     listed = docs.select(F.col(id).alias("_id"), words.alias("_words"))
     words = F.col("_words")
     places = F.sequence(F.lit(0), F.size(words) - 1)
@@ -268,7 +285,8 @@ def scan_licenses(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Da
     )
     marked = listed.select("*", base.alias("_base"), where(keywords, words).alias("_at"))
     rules_of = _rules_of_keyword()
-    found = F.flatten(F.transform("_at", lambda i: _detections(words, i, rules_of)))
+    present = F.array_distinct(F.transform("_at", lambda i: F.get(words, i)))
+    found = F.flatten(F.transform(present, lambda keyword: _detections(words, F.col("_at"), keyword, rules_of)))
     found = F.when(F.size("_at") > 0, F.array_sort(F.filter(found, lambda d: d.isNotNull())))
     detected = marked.select("_id", F.size("_words").alias("_n"), "_base", found.alias("_found"))
     kept = detected.withColumn(

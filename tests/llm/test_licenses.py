@@ -136,3 +136,16 @@ def test_notices_in_their_official_wording(documents):
     for k, (labels, text) in enumerate(NOTICES):
         wanted = set(labels.split(",")) - {"public-domain"}
         assert wanted <= found[k], (text, found[k])
+
+
+def test_only_ascii_letters_change_their_case(documents):
+    rows = [(1, "MIT LiCENSE K CC BY"), (2, "maKe MIT license"), (3, "İ APACHE LICENSE")]
+    by = {r["doc_id"]: r for r in licenses.scan_licenses(documents(rows)).collect()}
+    assert (by[1]["n_words"], by[1]["first_word"], by[1]["last_word"], by[1]["base_labels"]) == (5, 0, 3, "cc-by,mit")
+    assert by[2]["first_word"] == 1 and by[3]["first_word"] == 1
+
+
+def test_many_places_in_one_text(documents):
+    text = "licensed under the mit license version 2 and more " * 8000
+    row = licenses.scan_licenses(documents([(1, text)])).first()
+    assert row["n_base"] == 8000 and len(row["matches"]) == 8000 and row["labels"] == "mit"

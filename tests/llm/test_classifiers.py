@@ -4,8 +4,9 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from lodestrata.llm import line_crf, toxicity
+from lodestrata.llm import labelled, line_crf, toxicity
 from lodestrata.llm.words import LETTERS, words_of
 
 INSULTS = ["vrednak", "glupson", "trashling"]
@@ -185,3 +186,25 @@ def test_queries_on_held_out_rows(spark, query, label, good):
     held = [(truth[r["doc_id"]], r["predicted"]) for r in QUERIES[query](spark, folder).collect() if r["held_out"] and r["doc_id"] in truth]
     assert np.mean([p == y for y, p in held]) > 0.95
     assert np.mean([p for y, p in held if y]) > good
+
+
+def test_rows_that_repeat_an_id_push_out_no_others(documents, spark, toxic_rows):
+    """A third of all rows under one id: the same sample, the same model."""
+    some = toxic_rows[:120]
+    labels = spark.createDataFrame([(i, y, y) for i, _, y in some], "doc_id long, toxic int, quality int")
+    rows = [(i, t, "s") for i, t, _ in some]
+    repeated = rows + [(1, rows[1][1] + " zz", "s")] * 60
+    for model in (toxicity, line_crf):
+        plain, again = (model.fit(documents(r), labels, sample=40) for r in (rows, repeated))
+        assert plain.slope == again.slope and plain.offset == again.offset
+    sample, share = labelled.labelled_sample(documents(repeated), labels, "doc_id", "text", "toxic", 40, toxicity.held_out)
+    found = sample.collect()
+    assert len(found) == len({r["_id"] for r in found}) <= 80 and {r["_label"] for r in found} == {0, 1}
+    assert 0 < share < 1
+
+
+def test_training_sees_a_bounded_part_of_a_long_text(documents, spark, monkeypatch):
+    monkeypatch.setattr(labelled, "LONGEST", 10)
+    labels = spark.createDataFrame([(1, 1)], "doc_id long, toxic int")
+    sample, _ = labelled.labelled_sample(documents([(1, "x" * 50, "s")]), labels, "doc_id", "text", "toxic", 5, lambda _: F.lit(False))
+    assert [r["_text"] for r in sample.collect()] == ["x" * 10]

@@ -13,20 +13,28 @@ from pyspark.sql import functions as F
 
 Model = TypeVar("Model")
 
-#: Characters of a text that training sees at most.
+#: Characters of a text that a sample holds at most, where whole texts are not asked for.
 LONGEST = 200_000
 
 
 def labelled_sample(
-    docs: DataFrame, labels: DataFrame, id: str, text: str, label: str, sample: int, held_out: Callable[[str], Column]
+    docs: DataFrame,
+    labels: DataFrame,
+    id: str,
+    text: str,
+    label: str,
+    sample: int,
+    held_out: Callable[[str], Column],
+    whole: bool = False,
 ) -> tuple[DataFrame, float]:
     """(text, label) of at most ``sample`` ids of each label, and the share of label 1 among all labelled ids.
 
     Ids are chosen by hash among those not held out. An id that is labelled more than once has its highest
     label; one with several texts gives the first of them in order, so rows that repeat push out no others. Missing
-    ids and labels are left out, missing texts are empty, and of a text over ``LONGEST`` characters training
-    sees the first ones.
+    ids and labels are left out, missing texts are empty. Texts are ``whole``, as the classifiers ask for, or have
+    their first ``LONGEST`` characters.
     """
+    full = F.coalesce(F.col(text), F.lit(""))
     known = (
         labels.select(F.col(id).alias("_id"), F.col(label).cast("int").alias("_label"))
         .filter(F.col("_id").isNotNull() & F.col("_label").isNotNull() & ~held_out("_id"))
@@ -39,7 +47,7 @@ def labelled_sample(
         known.filter(F.col("_label") == value).orderBy(mark, "_id").limit(sample) for value in (0, 1)
     )
     rows = (
-        docs.select(F.col(id).alias("_id"), F.substring(F.coalesce(F.col(text), F.lit("")), 1, LONGEST).alias("_text"))
+        docs.select(F.col(id).alias("_id"), (full if whole else F.substring(full, 1, LONGEST)).alias("_text"))
         .join(F.broadcast(zeros.unionByName(ones)), "_id")  # at most two samples of (id, label)
         .groupBy("_id", "_label")
         .agg(F.min("_text").alias("_text"))

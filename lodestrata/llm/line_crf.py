@@ -261,9 +261,10 @@ def fit(
 ) -> Field:
     """A field from labelled rows that are not held out: at most ``sample`` rows of each label, by hash of the id.
 
-    ``labels`` may name an id more than once; the highest label counts. Missing labels and ids are left out.
+    Training sees whole texts. ``labels`` may name an id more than once; the highest label counts. Missing labels
+    and ids are left out.
     """
-    rows, share = labelled_sample(docs, labels, id, text, label, sample, held_out)
+    rows, share = labelled_sample(docs, labels, id, text, label, sample, held_out, whole=True)
     return trained_in_task(rows, lambda texts, truth: train(texts, truth, share))
 
 

@@ -208,3 +208,18 @@ def test_training_sees_a_bounded_part_of_a_long_text(documents, spark, monkeypat
     labels = spark.createDataFrame([(1, 1)], "doc_id long, toxic int")
     sample, _ = labelled.labelled_sample(documents([(1, "x" * 50, "s")]), labels, "doc_id", "text", "toxic", 5, lambda _: F.lit(False))
     assert [r["_text"] for r in sample.collect()] == ["x" * 10]
+
+
+@pytest.mark.parametrize("model", [toxicity, line_crf])
+def test_training_sees_whole_texts(documents, spark, monkeypatch, model):
+    """What tells the labels apart stands after more characters than a bounded sample holds."""
+    monkeypatch.setattr(labelled, "LONGEST", 10)
+    seen = []
+    monkeypatch.setattr(model, "trained_in_task", lambda rows, train: seen.extend(rows.collect()))
+    tail = "\n".join(f"line {k}" for k in range(60_000))
+    rows = [(i, f"same {tail} end of {i}", "s") for i in range(4)]
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(4)], "doc_id long, toxic int, quality int")
+    model.fit(documents(rows), labels)
+    held = {r["doc_id"] for r in documents(rows).filter(model.held_out("doc_id")).collect()}
+    texts = {r["_id"]: r["_text"] for r in seen}
+    assert len(tail) > 200_000 and texts == {i: t for i, t, _ in rows if i not in held} and texts

@@ -2,6 +2,9 @@
 
 import re
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -94,6 +97,15 @@ def test_keys_compute_their_input_once(spark):
     assert seen.value == 10_000
 
 
+def test_a_task_reads_a_bounded_part_of_a_large_file(spark, tmp_path):
+    """What a map task sorts or sums up does not grow with the table."""
+    rows = 6_000_000
+    lines = pa.table({"l_orderkey": pa.array(np.random.default_rng(1).integers(0, 1 << 62, rows))})
+    pq.write_table(lines, tmp_path / "lineitem.parquet", row_group_size=rows // 24, use_dictionary=False, compression="none")
+    scan = Tables(spark, str(tmp_path))["lineitem"]
+    assert scan.rdd.getNumPartitions() >= rows * 8 / (4 << 20) and scan.count() == rows
+
+
 def test_top_n_keeps_n_rows_per_task(spark, sf_dir):
     orders = Tables(spark, sf_dir)["orders"].select("o_orderkey", "o_totalprice")
     plan = plan_of(ops.rank_top(orders, "o_totalprice", 10, "place", ["o_orderkey"]))

@@ -14,7 +14,9 @@ So the probabilities of all words, and of one unknown word for each group of man
 
 Counts grow with the corpus. The most frequent words, at most ``KNOWN``, go to all tasks; all other counts come
 back by a join on the word, so a frequent word is never shuffled with the texts and a rare one is never left out.
-The network is trained inside a task on a bounded sample of texts; its parameters have a fixed size.
+The network learns from every token of the corpus. A bounded sample of texts, inside one task, gives it a start. From
+there each task takes steps over all texts it reads, in slices, and the moves of all tasks are averaged, weighted by
+their tokens: sums of whole numbers, so they do not depend on their order. Parameters have a fixed size.
 """
 
 from __future__ import annotations
@@ -38,8 +40,12 @@ SINGLE, TAILS, INPUTS = 191, 64, 4096
 GROUPS = 1 + SINGLE + TAILS
 #: Words whose counts every task holds, at most.
 KNOWN = 1 << 20
-#: Training: texts that are drawn and tokens of each at most, noise groups of a step, tokens of a step, rounds.
+#: The start: texts that are drawn and tokens of each at most, noise groups of a step, tokens of a step, rounds.
 SAMPLE, SAMPLE_TOKENS, NOISE, STEP, ROUNDS = 2000, 1000, 64, 1024, 2
+#: The pass over all texts: tokens of a step at most, rate of a step, parts and fraction bits of the moves.
+WHOLE_STEP, WHOLE_RATE, PARTS, MOVE_BITS = 4096, 0.002, 16, 20
+#: The parameters of a network, in the order in which tasks pass them on.
+NAMES = ("inputs", "places", "outputs", "bias")
 #: Added to every count.
 ADDED = 0.1
 #: Different words that a counting task holds, tokens that are scored together.
@@ -169,6 +175,18 @@ class Network:
         inputs = rng.normal(0, 0.1, (1 + INPUTS + TAILS, SIZE))
         return cls(inputs, np.full((ORDER, SIZE), 0.5), np.zeros((GROUPS, SIZE)), np.log(shares))
 
+    def copy(self) -> Network:
+        return Network(*(getattr(self, name).copy() for name in NAMES))
+
+    def flat(self) -> np.ndarray:
+        return np.concatenate([getattr(self, name).ravel() for name in NAMES])
+
+    @classmethod
+    def of_flat(cls, values: np.ndarray) -> Network:
+        at = np.cumsum([(1 + INPUTS + TAILS) * SIZE, ORDER * SIZE, GROUPS * SIZE])
+        inputs, places, outputs, bias = np.split(values, at)
+        return cls(inputs.reshape(-1, SIZE), places.reshape(ORDER, SIZE), outputs.reshape(GROUPS, SIZE), bias)
+
     def tables(self) -> list[np.ndarray]:
         """The weighted vector of each context word, for each place."""
         return [(self.inputs * place).astype(np.float32) for place in self.places]
@@ -195,10 +213,15 @@ def shares_of(group_n: np.ndarray) -> np.ndarray:
     return n / n.sum()
 
 
+def _at_rows(index: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
+    """The sums of the rows that go to each of ``n`` places."""
+    return np.stack([np.bincount(index, rows[:, c], n) for c in range(rows.shape[1])], axis=1)
+
+
 def gradients(
-    network: Network, contexts: np.ndarray, groups: np.ndarray, noise: np.ndarray, log_noise: np.ndarray
+    network: Network, contexts: np.ndarray, groups: np.ndarray, noise: np.ndarray, log_noise: np.ndarray, losses: bool = True
 ) -> tuple[float, dict[str, np.ndarray]]:
-    """Loss of a step and its gradients: each token's group told from all noise groups of the step.
+    """Loss of a step, if asked for, and its gradients: each token's group told from all noise groups of the step.
 
     ``log_noise`` is the logarithm of the expected number of each group among the noise.
     """
@@ -206,20 +229,41 @@ def gradients(
     predicted = (vectors * network.places).sum(axis=1)
     true = (predicted * network.outputs[groups]).sum(axis=1) + network.bias[groups] - log_noise[groups]
     false = predicted @ network.outputs[noise].T + network.bias[noise] - log_noise[noise]
-    loss = np.logaddexp(0, -true).sum() + np.logaddexp(0, false).sum()
-    d_true, d_false = -1 / (1 + np.exp(true)), 1 / (1 + np.exp(-false))
-    d_outputs, d_bias = np.zeros_like(network.outputs), np.zeros_like(network.bias)
-    np.add.at(d_outputs, groups, d_true[:, None] * predicted)
+    loss = np.logaddexp(0, -true).sum() + np.logaddexp(0, false).sum() if losses else 0.0
+    d_true, d_false = -1 / (1 + np.exp(np.minimum(true, 700))), 1 / (1 + np.exp(np.minimum(-false, 700)))
+    d_outputs = _at_rows(groups, d_true[:, None] * predicted, GROUPS)
+    d_bias = np.bincount(groups, d_true, GROUPS)
     np.add.at(d_outputs, noise, d_false.T @ predicted)
-    np.add.at(d_bias, groups, d_true)
     np.add.at(d_bias, noise, d_false.sum(axis=0))
     d_predicted = d_true[:, None] * network.outputs[groups] + d_false @ network.outputs[noise]
     d_inputs = np.zeros_like(network.inputs)
-    np.add.at(d_inputs, contexts.ravel(), (d_predicted[:, None, :] * network.places).reshape(-1, SIZE))
+    for j, place in enumerate(network.places):
+        d_inputs += _at_rows(contexts[:, j], d_predicted * place, len(d_inputs))
     d_places = (vectors * d_predicted[:, None, :]).sum(axis=0)
     return loss, {"inputs": d_inputs, "places": d_places, "outputs": d_outputs, "bias": d_bias}
 
 
+class Steps:
+    """Noise-contrastive steps of a network, which they change."""
+
+    def __init__(self, network: Network, shares: np.ndarray, rng: np.random.Generator) -> None:
+        self.network, self.shares, self.rng = network, shares, rng
+        self._log_noise, self._taken = np.log(NOISE * shares), 0
+        self._first, self._second = ({name: np.zeros_like(getattr(network, name)) for name in NAMES} for _ in range(2))
+
+    def take(self, contexts: np.ndarray, groups: np.ndarray, rate: float) -> None:
+        noise = self.rng.choice(GROUPS, NOISE, p=self.shares)
+        _, slopes = gradients(self.network, contexts, groups, noise, self._log_noise, losses=False)
+        self._taken += 1
+        for name, slope in slopes.items():
+            slope /= len(groups)
+            a, b = self._first[name], self._second[name]
+            a += 0.1 * (slope - a)
+            b += 0.01 * (slope * slope - b)
+            moved = rate * (a / (1 - 0.9**self._taken)) / (np.sqrt(b / (1 - 0.99**self._taken)) + 1e-8)
+            getattr(self.network, name)[...] -= moved
+
+
 def train(contexts: np.ndarray, groups: np.ndarray, group_n: np.ndarray, rounds: int = ROUNDS) -> Network:
     """Noise-contrastive training. A tenth of the tokens, the last ones, chooses the round that is kept; the untrained
     network is among the choices, so a sample too small to learn from does no harm."""
@@ -229,32 +273,20 @@ def train(contexts: np.ndarray, groups: np.ndarray, group_n: np.ndarray, rounds:
     if kept < STEP:
         return network
     rng = np.random.default_rng(11)
-    log_noise = np.log(NOISE * shares)
     network.outputs += rng.normal(0, 0.05, network.outputs.shape)
-    names = ("inputs", "places", "outputs", "bias")
-    first, second = ({name: np.zeros_like(getattr(network, name)) for name in names} for _ in range(2))
     quality = lambda net: float(net.log_probabilities(contexts[kept:], groups[kept:]).sum())
     best = Network.untrained(shares)
-    best_quality, step = quality(best), 0
+    best_quality = quality(best)
+    steps = Steps(network, shares, rng)
     for round in range(rounds):
-        rate = 0.01 * 0.5**round
         order = rng.permutation(kept)
         for start in range(0, kept - STEP + 1, STEP):
             part = order[start : start + STEP]
-            noise = rng.choice(GROUPS, NOISE, p=shares)
-            _, slopes = gradients(network, contexts[part], groups[part], noise, log_noise)
-            step += 1
-            for name, slope in slopes.items():
-                slope /= STEP
-                a, b = first[name], second[name]
-                a += 0.1 * (slope - a)
-                b += 0.01 * (slope * slope - b)
-                moved = rate * (a / (1 - 0.9**step)) / (np.sqrt(b / (1 - 0.99**step)) + 1e-8)
-                getattr(network, name)[...] -= moved
+            steps.take(contexts[part], groups[part], 0.01 * 0.5**round)
         reached = quality(network)
         if reached > best_quality:
             best_quality = reached
-            best = Network(*(getattr(network, name).copy() for name in names))
+            best = network.copy()
     return best
 
 
@@ -312,7 +344,7 @@ def _sampled(texts: DataFrame, lexicon: Broadcast, share: float) -> DataFrame:
     return emitted.groupBy("mark").agg(F.min("contexts").alias("contexts"), F.min("groups").alias("groups"))
 
 
-def fit(texts: DataFrame, lexicon: Broadcast, sample: int = SAMPLE) -> Network:
+def _start(texts: DataFrame, lexicon: Broadcast, sample: int) -> Network:
     """A network trained in one task on about ``sample`` texts (id, text) and ``SAMPLE_TOKENS`` tokens of each."""
     share = min(1.0, sample / max(lexicon.value.texts, 1))
     group_n = lexicon.value.group_n
@@ -322,14 +354,70 @@ def fit(texts: DataFrame, lexicon: Broadcast, sample: int = SAMPLE) -> Network:
         contexts = np.frombuffer(b"".join(r[1] for r in rows), dtype=np.uint16).reshape(-1, ORDER)
         groups = np.frombuffer(b"".join(r[2] for r in rows), dtype=np.uint16).astype(np.int64)
         network = train(contexts.astype(np.int64), groups, group_n)
-        parameters = [network.inputs, network.places, network.outputs, network.bias]
-        yield pa.RecordBatch.from_pydict({"nth": list(range(4)), "values": [p.tobytes() for p in parameters]})
+        yield pa.RecordBatch.from_pydict({"values": [network.flat().tobytes()]})
 
-    trained = _sampled(texts, lexicon, share).repartition(1).mapInArrow(task, "nth long, values binary").collect()
+    trained = _sampled(texts, lexicon, share).repartition(1).mapInArrow(task, "values binary").collect()
     if not trained:
         return Network.untrained(shares_of(group_n))
-    values = [np.frombuffer(r["values"], dtype=np.float64) for r in sorted(trained, key=lambda r: r["nth"])]
-    return Network(values[0].reshape(-1, SIZE), values[1].reshape(ORDER, SIZE), values[2].reshape(GROUPS, SIZE), values[3])
+    return Network.of_flat(np.frombuffer(trained[0]["values"], dtype=np.float64))
+
+
+def _moves(texts: DataFrame, lexicon: Broadcast, start: Broadcast) -> DataFrame:
+    """``part, tokens, moved``: how far all tokens of a one-column frame move a network, times their number.
+
+    Each task learns from all it reads. The moves are whole numbers and cut in ``PARTS``; each part is summed by one
+    task, which holds a single sum.
+    """
+    shares = shares_of(lexicon.value.group_n)
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        steps, tokens = Steps(start.value.copy(), shares, np.random.default_rng(13)), 0
+        for batch in batches:
+            for _, part in pieces(batch.column(0)):
+                found = tokens_of(part, lexicon.value)
+                order = steps.rng.permutation(len(found.group))
+                for at in range(0, len(order), WHOLE_STEP):
+                    chosen = order[at : at + WHOLE_STEP]
+                    steps.take(found.contexts[chosen].astype(np.int64), found.group[chosen], WHOLE_RATE)
+                tokens += len(order)
+        if tokens:
+            moved = np.rint((steps.network.flat() - start.value.flat()) * (1 << MOVE_BITS)).astype(np.int64) * tokens
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "part": pa.array(range(PARTS), pa.int32()),
+                    "tokens": pa.array([tokens] * PARTS, pa.int64()),
+                    "moved": [m.tobytes() for m in np.array_split(moved, PARTS)],
+                }
+            )
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, tuple[int, np.ndarray]] = {}
+        for batch in batches:
+            for part, tokens, moved in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                n, total = sums.get(part, (0, 0))
+                sums[part] = n + tokens, total + np.frombuffer(moved, dtype=np.int64)
+        if sums:
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "part": pa.array(sums, pa.int32()),
+                    "tokens": pa.array([n for n, _ in sums.values()], pa.int64()),
+                    "moved": [m.tobytes() for _, m in sums.values()],
+                }
+            )
+
+    schema = "part int, tokens long, moved binary"
+    return texts.mapInArrow(learn, schema).repartition(PARTS, "part").mapInArrow(add, schema)
+
+
+def fit(texts: DataFrame, lexicon: Broadcast, sample: int = SAMPLE) -> Network:
+    """A network that has learned from every token of all texts (id, text), starting from one of ``sample`` texts."""
+    start = _start(texts, lexicon, sample)
+    shared = texts.sparkSession.sparkContext.broadcast(start)
+    moves = sorted(_moves(texts.select("text"), lexicon, shared).collect(), key=lambda r: r["part"])
+    if not moves:
+        return start
+    moved = np.concatenate([np.frombuffer(r["moved"], dtype=np.int64) for r in moves])
+    return Network.of_flat(start.flat() + moved / (moves[0]["tokens"] * float(1 << MOVE_BITS)))
 
 
 # Scores.
@@ -388,7 +476,8 @@ def score_texts(
     All texts that are not ``held_out`` are counted. ``base_score`` is the text's log10 probability by single words,
     ``sum(log10((c + 0.1) / (N + 0.1 * (V + 1))))``, ``score`` the one of the network. Missing and empty texts are an
     end alone. A row that ``held_out`` leaves undecided is held out. Repeated rows are counted as often as they
-    come and get equal scores. With nothing to learn from, the network gives each group the same share. Other
+    come and get equal scores. The network learns from every token of all texts that are not ``held_out``; ``sample``
+    texts of them give its start. With nothing to learn from, the network gives each group the same share. Other
     columns do not matter.
     """
     spark = docs.sparkSession

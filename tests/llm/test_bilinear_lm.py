@@ -88,6 +88,26 @@ def test_held_out_texts_are_likelier_than_by_single_words(documents):
     assert sum(r["score"] - r["base_score"] for r in found) / tokens > 0.4  # decimal digits for each token
 
 
+def test_the_network_learns_from_every_token(documents, spark, monkeypatch):
+    """Whatever the sample is, each word of each text moves the network, and words of no text do not."""
+    start = random_network(6)
+    monkeypatch.setattr(lm, "_start", lambda *_: start)
+    rows = languages(40)
+    frame = documents(rows).select("doc_id", "text").toDF("id", "text").repartition(3)
+    lexicon, _ = lm.lexicon(lm.word_counts(frame.select("text")), len(rows))
+    shared = spark.sparkContext.broadcast(lexicon)
+    moves = lm._moves(frame.select("text"), shared, spark.sparkContext.broadcast(start)).collect()
+    tokens = sum(len(tokens_in(t)) for _, t, _ in rows)
+    assert sorted(r["part"] for r in moves) == list(range(lm.PARTS)) and {r["tokens"] for r in moves} == {tokens}
+    network = lm.fit(frame, shared, 1)
+    texts = lm.tokens_of(pa.array([t for _, t, _ in rows]), lexicon)
+    seen = np.unique(texts.contexts)
+    moved = np.abs(network.inputs - start.inputs).sum(axis=1) > 0
+    assert moved[seen].all() and moved.sum() == len(seen)
+    better, before = (n.log_probabilities(texts.contexts, texts.group).sum() for n in (network, start))
+    assert better > before
+
+
 def random_network(seed):
     rng = np.random.default_rng(seed)
     network = lm.Network.untrained(lm.shares_of(rng.integers(0, 50, lm.GROUPS)))

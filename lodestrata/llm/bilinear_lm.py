@@ -43,7 +43,7 @@ KNOWN = 1 << 20
 #: The start: texts that are drawn and tokens of each at most, noise groups of a step, tokens of a step, rounds.
 SAMPLE, SAMPLE_TOKENS, NOISE, STEP, ROUNDS = 2000, 1000, 64, 1024, 2
 #: The pass over all texts: tokens of a step at most, rate of a step, parts and fraction bits of the moves.
-WHOLE_STEP, WHOLE_RATE, PARTS, MOVE_BITS = 4096, 0.002, 16, 20
+WHOLE_STEP, WHOLE_RATE, PARTS, MOVE_BITS = 1024, 0.002, 16, 20
 #: The parameters of a network, in the order in which tasks pass them on.
 NAMES = ("inputs", "places", "outputs", "bias")
 #: Added to every count.
@@ -225,8 +225,8 @@ def gradients(
 
     ``log_noise`` is the logarithm of the expected number of each group among the noise.
     """
-    vectors = network.inputs[contexts]
-    predicted = (vectors * network.places).sum(axis=1)
+    vectors = [network.inputs[contexts[:, j]] for j in range(ORDER)]
+    predicted = sum(vector * place for vector, place in zip(vectors, network.places, strict=True))
     true = (predicted * network.outputs[groups]).sum(axis=1) + network.bias[groups] - log_noise[groups]
     false = predicted @ network.outputs[noise].T + network.bias[noise] - log_noise[noise]
     loss = np.logaddexp(0, -true).sum() + np.logaddexp(0, false).sum() if losses else 0.0
@@ -236,10 +236,9 @@ def gradients(
     np.add.at(d_outputs, noise, d_false.T @ predicted)
     np.add.at(d_bias, noise, d_false.sum(axis=0))
     d_predicted = d_true[:, None] * network.outputs[groups] + d_false @ network.outputs[noise]
-    d_inputs = np.zeros_like(network.inputs)
-    for j, place in enumerate(network.places):
-        d_inputs += _at_rows(contexts[:, j], d_predicted * place, len(d_inputs))
-    d_places = (vectors * d_predicted[:, None, :]).sum(axis=0)
+    by_place = np.concatenate([d_predicted * place for place in network.places])
+    d_inputs = _at_rows(contexts.T.ravel(), by_place, len(network.inputs))
+    d_places = np.stack([np.einsum("ij,ij->j", vector, d_predicted) for vector in vectors])
     return loss, {"inputs": d_inputs, "places": d_places, "outputs": d_outputs, "bias": d_bias}
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lodestrata import operators as ops
 from lodestrata.plans import gate, silver
+from lodestrata.session import tune
 from workloads.star import Gold
 from workloads.tables import Tables
 
@@ -132,6 +133,38 @@ def test_dedup_sends_one_row_per_task_for_a_hot_key(spark):
     assert re.search(r"row_number\(\), 1, Final[\s\S]*Exchange[\s\S]*row_number\(\), 1, Partial", plan)
 
 
+def test_dedup_shuffles_no_derived_cells_and_32_bytes_of_hash(spark):
+    """Derived cells count and decide as all others do, but only the rows that are kept get them after the shuffle."""
+
+    def derive(rows):
+        return rows.withColumn("third", F.when(F.col("v") % 3 == 0, F.col("w") * 2)).withColumn("more", F.col("third") + F.col("v"))
+
+    v = F.when(F.col("id") % 5 > 0, F.col("id") % 11)
+    rows = spark.range(3000).select((F.col("id") % 400).alias("k"), v.alias("v"), (F.col("id") % 7).alias("w"), F.lit(1).alias("at"))
+    short = ops.keep_latest_and_most_complete(rows, "k", "at", derive=derive)
+    whole = ops.keep_latest_and_most_complete(derive(rows), "k", "at").select(*short.columns)
+    assert short.count() == 400 and short.exceptAll(whole).isEmpty()
+    sent = re.findall(r"WindowGroupLimit .*Partial", plan_of(short))[0]
+    assert "third" not in sent and "more" not in sent and "w#" in sent
+    assert "unhex(sha2(" in plan_of(short)
+
+
+def test_what_a_task_reads_from_a_shuffle_is_bounded(spark):
+    """Partitions of a shuffle are many at first, whatever the session has, and merged up to a size."""
+    named = spark.range(2_000_000).select(F.md5(F.col("id").cast("string")).alias("name"))
+    settings = ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.parallelismFirst")
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        tune(spark)
+        spark.conf.set(settings[1], "false")
+        shuffled = named.distinct()
+        assert shuffled.rdd.getNumPartitions() >= 6  # of 4 in this session
+        assert shuffled.count() == 2_000_000
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def jobs_of(spark, group, run):
     spark.sparkContext.setJobGroup(group, group)
     run()

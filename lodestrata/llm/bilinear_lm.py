@@ -42,14 +42,15 @@ GROUPS = 1 + SINGLE + TAILS
 KNOWN = 1 << 20
 #: The start: texts that are drawn and tokens of each at most, noise groups of a step, tokens of a step, rounds.
 SAMPLE, SAMPLE_TOKENS, NOISE, STEP, ROUNDS = 2000, 1000, 64, 1024, 2
-#: The pass over all texts: tokens of a step at most, rate of a step, parts and fraction bits of the moves.
-WHOLE_STEP, WHOLE_RATE, PARTS, MOVE_BITS = 1024, 0.002, 16, 20
+#: The pass over all texts: tokens of a step at most, rate of a step, numbers of a step, parts and fraction bits of the
+#: moves.
+WHOLE_STEP, WHOLE_RATE, WHOLE_TYPE, PARTS, MOVE_BITS = 1024, 0.002, np.float32, 16, 20
 #: The parameters of a network, in the order in which tasks pass them on.
 NAMES = ("inputs", "places", "outputs", "bias")
 #: Added to every count.
 ADDED = 0.1
-#: Different words that a counting task holds, tokens that are scored together.
-HELD, AT_ONCE = 1 << 20, 8192
+#: Different words that a counting task holds, tokens that are looked up together, and that are scored together.
+HELD, AT_ONCE, IN_CACHE = 1 << 20, 8192, 1024
 #: Bits of a row's number inside its task.
 _ROW_BITS = 40
 
@@ -175,8 +176,8 @@ class Network:
         inputs = rng.normal(0, 0.1, (1 + INPUTS + TAILS, SIZE))
         return cls(inputs, np.full((ORDER, SIZE), 0.5), np.zeros((GROUPS, SIZE)), np.log(shares))
 
-    def copy(self) -> Network:
-        return Network(*(getattr(self, name).copy() for name in NAMES))
+    def copy(self, kind: type = np.float64) -> Network:
+        return Network(*(getattr(self, name).astype(kind) for name in NAMES))
 
     def flat(self) -> np.ndarray:
         return np.concatenate([getattr(self, name).ravel() for name in NAMES])
@@ -197,13 +198,15 @@ class Network:
         tables, outputs, bias = self.tables(), self.outputs.T.astype(np.float32), self.bias.astype(np.float32)
         for start in range(0, len(groups), AT_ONCE):
             part = slice(start, start + AT_ONCE)
-            predicted = sum(table[contexts[part, j]] for j, table in enumerate(tables))
-            scores = predicted @ outputs
-            scores += bias
-            scores -= scores.max(axis=1, keepdims=True)
-            own = scores[np.arange(len(scores)), groups[part]]
-            np.exp(scores, out=scores)
-            out[part] = own - np.log(scores.sum(axis=1, dtype=np.float64))
+            predicted = sum(table.take(contexts[part, j], axis=0) for j, table in enumerate(tables))
+            for first in range(start, start + len(predicted), IN_CACHE):
+                rows = slice(first, min(first + IN_CACHE, start + len(predicted)))
+                scores = predicted[first - start : rows.stop - start] @ outputs
+                scores += bias
+                scores -= scores.max(axis=1, keepdims=True)
+                own = scores[np.arange(len(scores)), groups[rows]]
+                np.exp(scores, out=scores)
+                out[rows] = own - np.log(scores.sum(axis=1, dtype=np.float64))
         return out
 
 
@@ -215,7 +218,9 @@ def shares_of(group_n: np.ndarray) -> np.ndarray:
 
 def _at_rows(index: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
     """The sums of the rows that go to each of ``n`` places."""
-    return np.stack([np.bincount(index, rows[:, c], n) for c in range(rows.shape[1])], axis=1)
+    width = rows.shape[1]
+    cells = (index[:, None] * width + np.arange(width)).ravel()
+    return np.bincount(cells, rows.ravel(), n * width).reshape(n, width)
 
 
 def gradients(
@@ -225,19 +230,25 @@ def gradients(
 
     ``log_noise`` is the logarithm of the expected number of each group among the noise.
     """
-    vectors = [network.inputs[contexts[:, j]] for j in range(ORDER)]
-    predicted = sum(vector * place for vector, place in zip(vectors, network.places, strict=True))
+    vectors = network.inputs.take(contexts.T, axis=0)
+    predicted = (vectors * network.places[:, None]).sum(axis=0)
     true = (predicted * network.outputs[groups]).sum(axis=1) + network.bias[groups] - log_noise[groups]
-    false = predicted @ network.outputs[noise].T + network.bias[noise] - log_noise[noise]
+    false = predicted @ network.outputs[noise].T
+    false += network.bias[noise]
+    false -= log_noise[noise]
     loss = np.logaddexp(0, -true).sum() + np.logaddexp(0, false).sum() if losses else 0.0
-    d_true, d_false = -1 / (1 + np.exp(np.minimum(true, 700))), 1 / (1 + np.exp(np.minimum(-false, 700)))
+    limit = 700 if false.dtype == np.float64 else 80  # its exponential is still a number
+    d_true, d_false = -1 / (1 + np.exp(np.minimum(true, limit))), np.negative(false, out=false)
+    np.exp(np.minimum(d_false, limit, out=d_false), out=d_false)
+    d_false += 1
+    np.divide(1, d_false, out=d_false)
     d_outputs = _at_rows(groups, d_true[:, None] * predicted, GROUPS)
     d_bias = np.bincount(groups, d_true, GROUPS)
     np.add.at(d_outputs, noise, d_false.T @ predicted)
     np.add.at(d_bias, noise, d_false.sum(axis=0))
     d_predicted = d_true[:, None] * network.outputs[groups] + d_false @ network.outputs[noise]
-    by_place = np.concatenate([d_predicted * place for place in network.places])
-    d_inputs = _at_rows(contexts.T.ravel(), by_place, len(network.inputs))
+    by_place = d_predicted * network.places[:, None]
+    d_inputs = _at_rows(contexts.T.ravel(), by_place.reshape(-1, SIZE), len(network.inputs))
     d_places = np.stack([np.einsum("ij,ij->j", vector, d_predicted) for vector in vectors])
     return loss, {"inputs": d_inputs, "places": d_places, "outputs": d_outputs, "bias": d_bias}
 
@@ -247,20 +258,32 @@ class Steps:
 
     def __init__(self, network: Network, shares: np.ndarray, rng: np.random.Generator) -> None:
         self.network, self.shares, self.rng = network, shares, rng
-        self._log_noise, self._taken = np.log(NOISE * shares), 0
-        self._first, self._second = ({name: np.zeros_like(getattr(network, name)) for name in NAMES} for _ in range(2))
+        self._log_noise, self._taken = np.log(NOISE * shares).astype(network.bias.dtype), 0
+        self._first, self._second, self._room = ({name: np.zeros_like(getattr(network, name)) for name in NAMES} for _ in range(3))
 
     def take(self, contexts: np.ndarray, groups: np.ndarray, rate: float) -> None:
         noise = self.rng.choice(GROUPS, NOISE, p=self.shares)
         _, slopes = gradients(self.network, contexts, groups, noise, self._log_noise, losses=False)
         self._taken += 1
         for name, slope in slopes.items():
+            # a += 0.1 * (slope - a); b += 0.01 * (slope^2 - b); all in place, as a step is short
+            a, b, room = self._first[name], self._second[name], self._room[name]
+            slope = slope.astype(a.dtype, copy=False)  # sums are made in double precision
             slope /= len(groups)
-            a, b = self._first[name], self._second[name]
-            a += 0.1 * (slope - a)
-            b += 0.01 * (slope * slope - b)
-            moved = rate * (a / (1 - 0.9**self._taken)) / (np.sqrt(b / (1 - 0.99**self._taken)) + 1e-8)
-            getattr(self.network, name)[...] -= moved
+            np.subtract(slope, a, out=room)
+            room *= 0.1
+            a += room
+            np.multiply(slope, slope, out=room)
+            room -= b
+            room *= 0.01
+            b += room
+            np.sqrt(np.divide(b, 1 - 0.99**self._taken, out=room), out=room)
+            room += 1e-8
+            moved = np.divide(a, 1 - 0.9**self._taken, out=slope)
+            moved *= rate
+            moved /= room
+            values = getattr(self.network, name)
+            values -= moved
 
 
 def train(contexts: np.ndarray, groups: np.ndarray, group_n: np.ndarray, rounds: int = ROUNDS) -> Network:
@@ -370,7 +393,7 @@ def _moves(texts: DataFrame, lexicon: Broadcast, start: Broadcast) -> DataFrame:
     shares = shares_of(lexicon.value.group_n)
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        steps, tokens = Steps(start.value.copy(), shares, np.random.default_rng(13)), 0
+        steps, tokens = Steps(start.value.copy(WHOLE_TYPE), shares, np.random.default_rng(13)), 0
         for batch in batches:
             for _, part in pieces(batch.column(0)):
                 found = tokens_of(part, lexicon.value)
@@ -380,7 +403,8 @@ def _moves(texts: DataFrame, lexicon: Broadcast, start: Broadcast) -> DataFrame:
                     steps.take(found.contexts[chosen].astype(np.int64), found.group[chosen], WHOLE_RATE)
                 tokens += len(order)
         if tokens:
-            moved = np.rint((steps.network.flat() - start.value.flat()) * (1 << MOVE_BITS)).astype(np.int64) * tokens
+            moved = steps.network.flat().astype(np.float64) - start.value.copy(WHOLE_TYPE).flat()
+            moved = np.rint(moved * (1 << MOVE_BITS)).astype(np.int64) * tokens
             yield pa.RecordBatch.from_pydict(
                 {
                     "part": pa.array(range(PARTS), pa.int32()),

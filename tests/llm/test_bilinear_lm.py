@@ -182,3 +182,39 @@ def test_query_on_the_given_documents(spark, sf_dir):
     found = compare(QUERIES["op12_bilinear_lm"](spark, sf_dir), rows)
     held = [r for r in found if r["held_out"]]
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
+
+
+def test_scores_do_not_depend_on_how_many_rows_stay_in_the_cache(monkeypatch):
+    rng = np.random.default_rng(5)
+    network = lm.Network.untrained(lm.shares_of(rng.integers(1, 50, lm.GROUPS)))
+    network.outputs += rng.normal(0, 0.3, network.outputs.shape)
+    contexts = rng.integers(0, len(network.inputs), (3000, lm.ORDER)).astype(np.uint16)
+    groups = rng.integers(0, lm.GROUPS, 3000)
+    whole = network.log_probabilities(contexts, groups)
+    for rows in (7, lm.AT_ONCE):
+        monkeypatch.setattr(lm, "IN_CACHE", rows)
+        assert np.allclose(network.log_probabilities(contexts, groups), whole, rtol=0, atol=1e-5)
+    monkeypatch.setattr(lm, "AT_ONCE", 1000)
+    assert np.allclose(network.log_probabilities(contexts, groups), whole, rtol=0, atol=1e-5)
+
+
+def test_a_step_moves_every_parameter_by_the_written_out_rule():
+    rng = np.random.default_rng(6)
+    shares = lm.shares_of(rng.integers(1, 50, lm.GROUPS))
+    network = lm.Network.untrained(shares)
+    network.outputs += rng.normal(0, 0.3, network.outputs.shape)
+    plain, steps = network.copy(), lm.Steps(network, shares, np.random.default_rng(13))
+    noise_of, a, b = np.random.default_rng(13), dict.fromkeys(lm.NAMES, 0.0), dict.fromkeys(lm.NAMES, 0.0)
+    for taken in (1, 2, 3):
+        contexts = rng.integers(0, len(network.inputs), (200, lm.ORDER))
+        groups = rng.integers(0, lm.GROUPS, 200)
+        steps.take(contexts, groups, 0.01)
+        noise = noise_of.choice(lm.GROUPS, lm.NOISE, p=shares)
+        _, slopes = lm.gradients(plain, contexts, groups, noise, np.log(lm.NOISE * shares))
+        for name in lm.NAMES:
+            slope = slopes[name] / 200
+            a[name] = a[name] + 0.1 * (slope - a[name])
+            b[name] = b[name] + 0.01 * (slope * slope - b[name])
+            getattr(plain, name)[...] -= 0.01 * (a[name] / (1 - 0.9**taken)) / (np.sqrt(b[name] / (1 - 0.99**taken)) + 1e-8)
+    for name in lm.NAMES:
+        assert np.array_equal(getattr(network, name), getattr(plain, name))

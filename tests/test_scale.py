@@ -149,6 +149,15 @@ def test_dedup_shuffles_no_derived_cells_and_32_bytes_of_hash(spark):
     assert "unhex(sha2(" in plan_of(short)
 
 
+def test_dedup_shuffles_8_bytes_of_hash(spark):
+    """They decide as the whole hash does, in unsigned order."""
+    rows = spark.range(4000).select((F.col("id") % 300).alias("k"), F.md5(F.col("id").cast("string")).alias("v"), F.lit(1).alias("at"))
+    got = ops.keep_latest_and_most_complete(rows, "k", "at")
+    assert "substring(unhex(sha2(" in plan_of(got)
+    whole = rows.groupBy("k").agg(F.min_by("v", F.sha2("v", 256)).alias("v"))
+    assert got.count() == 300 and got.select("k", "v").exceptAll(whole).isEmpty()
+
+
 def test_what_a_task_reads_from_a_shuffle_is_bounded(spark):
     """Partitions of a shuffle are merged up to a few megabytes only."""
     named = spark.range(2_000_000).select(F.md5(F.col("id").cast("string")).alias("name"))

@@ -20,7 +20,6 @@ import base64
 import re
 import unicodedata
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import duckdb
 import numpy as np
@@ -33,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodestrata.llm.names import own_names
+from lodestrata.llm.worker import kept
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: White space of the splitting pattern by code point: the Unicode property, whatever the regex library adds.
@@ -51,12 +51,11 @@ WITH RECURSIVE parts(word, pos, token, done) AS (
     SELECT * FROM (
         WITH pairs AS (
             SELECT word, pos, token, lead(token) OVER w AS following, lead(word) OVER w AS of_word,
-                lead(pos) OVER w AS next_pos
+                lag(pos) OVER w AS previous
             FROM parts WHERE NOT done WINDOW w AS (ORDER BY pos)
         ),
         lowest AS (
-            SELECT p.word, min(m.merged::BIGINT << 32 | p.pos) AS best,
-                arg_min(p.next_pos, m.merged::BIGINT << 32 | p.pos) AS swallowed
+            SELECT p.word, min(m.merged::BIGINT << 32 | p.pos) AS best
             FROM pairs p JOIN merges m ON m.a = p.token AND m.b = p.following
             WHERE p.word = p.of_word
             GROUP BY p.word
@@ -65,7 +64,7 @@ WITH RECURSIVE parts(word, pos, token, done) AS (
             CASE WHEN p.pos = l.best & 4294967295 THEN (l.best >> 32)::INTEGER ELSE p.token END,
             l.best IS NULL
         FROM pairs p LEFT JOIN lowest l ON l.word = p.word
-        WHERE l.swallowed IS NULL OR p.pos <> l.swallowed
+        WHERE l.best IS NULL OR p.previous IS NULL OR p.previous <> l.best & 4294967295
     )
 )
 SELECT word, token FROM parts WHERE done ORDER BY pos
@@ -101,7 +100,7 @@ SELECT word, token FROM parts WHERE done ORDER BY pos
 
 # Bytes are held as the characters of the same number.
 _DECODE = """
-SELECT i.row, string_agg(v.characters, '' ORDER BY i.pos)
+SELECT i.row, array_to_string(list(v.characters ORDER BY i.pos), '')
 FROM ids i JOIN vocabulary v ON v.id = i.id
 GROUP BY i.row ORDER BY i.row
 """
@@ -205,10 +204,10 @@ class Codec:
         if len(self.known) > REMEMBERED:  # words not met again since the last time are forgotten
             self.known, self.older = {}, self.known
         known, older = self.known, self.older
-        missed = {word for of_text in words for word in of_text if word not in known}
+        missed = set().union(*words).difference(known)
         known.update((word, older[word]) for word in missed if word in older)
         self.learn(word for word in missed if word not in older)
-        found = [b"".join([known[word] for word in of_text]) for of_text in words]
+        found = [b"".join(map(known.__getitem__, of_text)) for of_text in words]
         ends = np.cumsum([0, *map(len, found)]) // 4
         ids = np.frombuffer(b"".join(found), dtype="<i4")
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids))
@@ -229,9 +228,8 @@ class Codec:
         return out
 
 
-@lru_cache(maxsize=2)
 def codec(path: str) -> Codec:
-    return Codec(path)
+    return kept(("byte_bpe", path), lambda: Codec(path))
 
 
 def _slices(batch: pa.RecordBatch, column: int, most: int) -> Iterator[pa.RecordBatch]:

@@ -37,6 +37,7 @@ from pyspark.sql import types as T
 from lodestrata.llm.components import components
 from lodestrata.llm.names import own_names
 from lodestrata.llm.words import mixed, pieces, words_of
+from lodestrata.llm.worker import let_go
 from lodestrata.sources.staging import stage
 
 WORDS, PERCENT = 3, 90
@@ -93,6 +94,7 @@ def _per_text(frame: DataFrame, make: Callable, schema: str, end: Callable | Non
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state: dict = {}
+        let_go()
         for batch in batches:
             for first, texts in pieces(batch.column(1)):
                 yield from make(state, batch.column(0).slice(first, len(texts)), texts).to_batches()

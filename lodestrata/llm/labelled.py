@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lodestrata.llm.worker import let_go
+
 Model = TypeVar("Model")
 
 #: Characters of a text that a sample holds at most, where whole texts are not asked for.
@@ -61,8 +63,11 @@ def trained_in_task(rows: DataFrame, train: Callable[[list[str], list[int]], Mod
     is fixed, comes to the driver."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         found = sorted(row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True))
         model = train([text for _, text, _ in found], [label for *_, label in found])
+        del found
+        let_go()
         yield pa.RecordBatch.from_pydict({"model": pa.array([pickle.dumps(model)], pa.binary())})
 
     model = rows.select("_id", "_text", "_label").repartition(1).mapInArrow(task, "model binary").collect()

@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 from lodestrata.llm.labelled import labelled_sample, logistic, trained_in_task
 from lodestrata.llm.names import own_names
 from lodestrata.llm.words import LETTERS, Words, mixed, pieces, words_of
+from lodestrata.llm.worker import let_go
 
 LENGTH, STRIDE = 16, 8
 STATE, ATTENTION, VECTOR = 6, 6, 6
@@ -427,6 +428,7 @@ def score(docs: DataFrame, network: Network, text: str = "text", output: str = "
     names = [*plain.columns, output]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             scores = network.probabilities(batch.column(len(names) - 1))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(scores, pa.float64())], names)

@@ -6,7 +6,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 
-from lodestrata.llm import byte_bpe
+from lodestrata.llm import byte_bpe, worker
 
 PATH = public_tokenizers.path(byte_bpe.VOCABULARY)
 PARTS = [
@@ -83,3 +83,21 @@ def test_query_against_the_library(spark, sf_dir, library):
         ids = library.encode_ordinary(texts[r["doc_id"]])
         assert r["ids_sha256"] == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
         assert r["decoded_sha256"] == hashlib.sha256(texts[r["doc_id"]].encode()).hexdigest()
+
+
+def test_words_of_many_lengths_side_by_side_are_as_the_library_has_them(library):
+    """Words of one query contract each at its own lowest pair: neighbours, first and last pairs included."""
+    words = ["ab" * n + "c" * (n % 5) for n in range(1, 20)] + [f"x{n * 7919}y{n}" for n in range(300)] + ["aaa", "aaaa", "zzzzz"]
+    codec = byte_bpe.Codec(PATH)
+    assert codec.encode([" ".join(words), None, "", words[-1]]).to_pylist() == [
+        library.encode_ordinary(" ".join(words)), [], [], library.encode_ordinary(words[-1])
+    ]
+
+
+def test_a_worker_lets_go_of_the_codec_for_other_operators():
+    """Spark hands workers on: the vocabulary and its database must not stay beside what other operators need."""
+    before = byte_bpe.codec(PATH)
+    assert byte_bpe.codec(PATH) is before
+    worker.let_go()
+    assert not worker._kept
+    assert byte_bpe.codec(PATH) is not before

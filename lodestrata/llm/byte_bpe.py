@@ -55,8 +55,8 @@ WITH RECURSIVE parts(word, pos, token, done) AS (
             FROM parts WHERE NOT done WINDOW w AS (ORDER BY pos)
         ),
         lowest AS (
-            SELECT p.word, min(m.merged::BIGINT << 32 | p.pos) AS best
-            FROM pairs p JOIN merges m ON m.a = p.token AND m.b = p.following
+            SELECT p.word, min(m.high | p.pos) AS best
+            FROM pairs p JOIN merges m ON m.pair = (p.token::BIGINT << 32 | p.following)
             WHERE p.word = p.of_word
             GROUP BY p.word
         )
@@ -88,7 +88,7 @@ WITH RECURSIVE parts(word, pos, token, done) AS (
                     FROM (
                         SELECT word, pos, token, lead(token) OVER w AS following, row_number() OVER w AS place
                         FROM parts WHERE NOT done WINDOW w AS (PARTITION BY word ORDER BY pos)
-                    ) p LEFT JOIN merges m ON m.a = p.token AND m.b = p.following
+                    ) p LEFT JOIN merges m ON m.pair = (p.token::BIGINT << 32 | p.following)
                 )
             )
         )
@@ -98,11 +98,12 @@ WITH RECURSIVE parts(word, pos, token, done) AS (
 SELECT word, token FROM parts WHERE done ORDER BY pos
 """
 
-# Bytes are held as the characters of the same number.
+# Bytes are held as the characters of the same number. The vocabulary is one row, so an id finds its token by its
+# place in a list, and the tokens of a row are strung together in the order of its ids, without a join or a sort.
 _DECODE = """
-SELECT i.row, array_to_string(list(v.characters ORDER BY i.pos), '')
-FROM ids i JOIN vocabulary v ON v.id = i.id
-GROUP BY i.row ORDER BY i.row
+SELECT i.row, array_to_string(list_select(v.tokens, i.places), '')
+FROM ids i CROSS JOIN vocabulary v
+ORDER BY i.row
 """
 
 
@@ -144,15 +145,20 @@ class Codec:
         ]
         a, b, merged = (np.array(x, dtype=np.int32) for x in zip(*merges, strict=True))
         careful = np.isin(merged, np.concatenate([a[merged < a], b[merged < b]]))
+        characters: list[str | None] = [None] * (max(self.ranks.values()) + 1)
+        for token, rank in self.ranks.items():
+            characters[rank] = token.decode("latin-1")
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})
         tables = {
-            "merges": pa.table({"a": a, "b": b, "merged": merged, "careful": careful}),
-            "vocabulary": pa.table(
+            "merges": pa.table(
                 {
-                    "id": pa.array(self.ranks.values(), pa.int32()),
-                    "characters": [token.decode("latin-1") for token in self.ranks],
+                    "pair": a.astype(np.int64) << 32 | b,
+                    "merged": merged,
+                    "high": merged.astype(np.int64) << 32,
+                    "careful": careful,
                 }
             ),
+            "vocabulary": pa.table({"tokens": pa.array([characters])}),
         }
         for name, rows in tables.items():
             self.db.register("incoming", rows)
@@ -189,7 +195,7 @@ class Codec:
         lengths = np.array([len(raw) for _, raw in new])
         data = np.frombuffer(b"".join(raw for _, raw in new), dtype=np.uint8)
         word = np.repeat(np.arange(len(new), dtype=np.int32), lengths)
-        pos = np.arange(len(data), dtype=np.int64)
+        pos = np.arange(len(data), dtype=np.int32)
         self.db.register("start", pa.table({"word": word, "pos": pos, "token": self.single[data]}))
         answer = self.db.execute(_LONG_WORDS if long else _WORDS).fetchnumpy()
         self.db.unregister("start")
@@ -215,15 +221,18 @@ class Codec:
     def decode(self, ids: pa.ListArray) -> list[bytes]:
         """The bytes of each list of ids; a missing list gives no bytes."""
         lengths = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
-        flat = ids.flatten().to_numpy()
-        row = np.repeat(np.arange(len(ids), dtype=np.int32), lengths)
+        ends = np.cumsum(lengths, dtype=np.int64)
+        places = np.maximum(ids.flatten().to_numpy() + 1, 0)  # counted from 1; no token has the place 0
         out = [b""] * len(ids)
-        for start in range(0, len(flat), IDS):
-            part = slice(start, start + IDS)
-            pos = np.arange(len(flat[part]), dtype=np.int32)
-            self.db.register("ids", pa.table({"row": row[part], "pos": pos, "id": flat[part]}))
+        for start in range(0, len(places), IDS):
+            part = places[start : start + IDS]
+            # Rows with ids in this part; of the first and the last one perhaps only some.
+            first, last = np.searchsorted(ends, [start, start + len(part) - 1], side="right")
+            bounds = np.concatenate([[0], np.minimum(ends[first : last + 1] - start, len(part))])
+            lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(part))
+            self.db.register("ids", pa.table({"row": np.arange(first, last + 1), "places": lists}))
             for place, text in self.db.execute(_DECODE).fetchall():
-                out[place] += text.encode("latin-1")  # a list that began in the slice before goes on
+                out[place] += (text or "").encode("latin-1")  # a list that began in the part before goes on
             self.db.unregister("ids")
         return out
 

@@ -3,6 +3,7 @@ import hashlib
 import random
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 
@@ -101,3 +102,18 @@ def test_a_worker_lets_go_of_the_codec_for_other_operators():
     worker.let_go()
     assert not worker._kept
     assert byte_bpe.codec(PATH) is not before
+
+
+def test_decoding_neither_joins_nor_sorts_ids():
+    """An id finds its token by place; ids outside the vocabulary, negative ones too, give no bytes."""
+    codec = byte_bpe.Codec(PATH)
+    token = {rank: raw for raw, rank in codec.ranks.items()}
+    lists = [[5, 300, 5], None, [], [99_999_999, 7, -1, -9], [50_000 % len(token)] * 400]
+    expected = [b"".join(token.get(i, b"") for i in of_row or []) for of_row in lists]
+    for most in (3, 1 << 18):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(byte_bpe, "IDS", most)
+            assert codec.decode(pa.array(lists, pa.list_(pa.int32()))) == expected
+    codec.db.register("ids", pa.table({"row": [0], "pos": [0], "id": [5], "places": [[6]]}))
+    plan = codec.db.execute("EXPLAIN " + byte_bpe._DECODE).fetchall()[0][1].lower().replace("_", " ")
+    assert "hash join" not in plan and "group by" not in plan, plan

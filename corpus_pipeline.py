@@ -23,14 +23,21 @@ from lodestrata.sources.staging import drop_folder, drop_unread, staged_run, sta
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 #: Words of a shingle and percent of likeness from which two documents are near copies.
 NEAR_WORDS, NEAR_PERCENT = 5, 80
+#: Rows that go to a Python worker at once. Spark fills such a batch outside the heap, in a buffer that doubles, and the
+#: worker holds it whole beside what it makes of it: with Spark's 10,000 rows each would be all texts of a task.
+BATCH_ROWS = "1000"
 #: Columns that stages use; others have names of their own meanwhile, which clash with nothing.
 USED = ("doc_id", "text", "source")
 
 
 def _staged(build: Stage) -> Stage:
-    """Of what a stage has staged on its way, only what its result still reads stays."""
+    """Of what a stage has staged on its way, only what its result still reads stays.
+
+    The session keeps ``BATCH_ROWS``, as the result is computed later.
+    """
 
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
         others = {c: f"other {k}" for k, c in enumerate(docs.columns) if c not in USED}
         with staging_into(spark) as folder:
             result = build(spark, docs.withColumnsRenamed(others), sf_dir)

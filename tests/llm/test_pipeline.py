@@ -117,3 +117,21 @@ def test_near_copies_are_those_of_five_words_and_80_percent(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     kept = corpus_pipeline.keep_one_of_each(spark, docs, "").collect()
     assert sorted(r["doc_id"] for r in kept) == [1, 3, 4, 5]
+
+
+def test_a_worker_gets_few_rows_at_once(spark, folder):
+    """The batch a worker holds must not be all texts of a task: two workers and the heap share an executor."""
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    rows = spark.createDataFrame([(i, "a text of few words", "s") for i in range(3000)], "doc_id long, text string, source string")
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
+
+    try:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+        corpus_pipeline.cover_secrets(spark, rows, folder)
+        seen = [r["n"] for r in rows.coalesce(1).mapInArrow(sizes, "n long").collect()]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert sum(seen) == 3000 and max(seen) <= 1000

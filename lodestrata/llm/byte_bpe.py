@@ -3,7 +3,7 @@
 Each task splits its texts into words by the vocabulary's pattern. Words it does not remember are encoded
 by a recursive DuckDB query: rows of (word, position, token) join the table of merges, and each step
 contracts the leftmost pair of lowest rank of every word, until no word has a pair that merges. Ids are
-decoded by joining the vocabulary and an ordered aggregation.
+decoded by picking their tokens from the vocabulary as a list, strung together in the order of the ids.
 
 A long word (a run of one character, a text without spaces) has as many steps as merges. There a step
 contracts all places of the word's lowest pair, from the left, without overlaps. That equals one place at a

@@ -13,6 +13,7 @@ from lodestrata.sources.staging import (
     drop_folder,
     drop_staged,
     drop_unread,
+    shuffles_dropped,
     stage,
     staged_run,
     staging_folder,
@@ -51,6 +52,7 @@ __all__ = [
     "read_landing_csv",
     "read_rate_json",
     "records_to_df",
+    "shuffles_dropped",
     "side_by_side",
     "spread",
     "stage",

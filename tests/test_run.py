@@ -4,12 +4,15 @@ import json
 import random
 import re
 from datetime import UTC, date, datetime
+from pathlib import Path
+from urllib.parse import urlparse
 
 import pytest
 
 from lodestrata.operators import QualityGateFailed
 from lodestrata.plans import incremental, questions, run
-from lodestrata.sources import batches_of, overwrite_table, read_rate_json
+from lodestrata.sources import batches_of, overwrite_table, read_rate_json, tables
+from workloads import queries
 
 INFO = """id,tconst,title,original_title,original_language,release_date,runtime,status,overview,tagline
 1,tt1,Alpha,Alpha,en,2024-05-01,108, released-,"He said ""go"", she went",tag
@@ -158,3 +161,53 @@ def test_daily_runs(spark, tmp_path):
     assert [r["passou"] for r in run.gold_report(spark).collect()].count(False) == 1
     with pytest.raises(QualityGateFailed, match="'genre->movie': 3"):
         run.run_gate(spark)
+
+
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def shuffle_files(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {file for file in disk.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in file}
+
+
+def versions_of(spark, table):
+    return list(Path(urlparse(tables._versions(spark, table)).path).iterdir())
+
+
+def test_a_run_leaves_no_shuffles_and_no_old_states_on_disk(spark, tmp_path):
+    prefix, before = "lean_", spark.conf.get(CLEANUP, None)
+    for n, day in enumerate((20, 21)):
+        folder = land(tmp_path / f"d{n}", n)
+        rates = read_rate_json(spark, f"{folder}/rates.json")
+        run.run_bronze(spark, folder, rates, datetime(2026, 9, day, tzinfo=UTC), prefix=prefix)
+        old = shuffle_files(spark)
+        run.run_silver(spark, "2026-09-13", "2026-09-25", prefix=prefix)
+        assert shuffle_files(spark) <= old
+    run.run_gold(spark, prefix=prefix)
+    assert shuffle_files(spark) <= old and spark.conf.get(CLEANUP, None) == before
+    for table in MOVIES:
+        assert len(versions_of(spark, f"{prefix}silver.latest_{table}")) == 1
+    assert len(versions_of(spark, f"{prefix}silver.tb_info_filmes")) == 2
+    run.drop_layers(spark, prefix)
+
+
+def test_landed_files_are_dropped_once_the_raw_tables_hold_them(spark, sf_dir, monkeypatch):
+    """A query from landing to gate has one batch of landed files on disk at a time, in short compressed files."""
+    folders, seen, ingest, folder_of = [], [], run.run_bronze, queries._folder
+
+    def folder(t):
+        folders.append(folder_of(t))
+        return folders[-1]
+
+    monkeypatch.setattr(queries, "_folder", folder)
+
+    def watched(spark, folder, *args, **named):
+        seen.append([sum(1 for f in Path(urlparse(path).path).rglob("*.csv.gz")) for path in folders])
+        return ingest(spark, folder, *args, **named)
+
+    monkeypatch.setattr(run, "run_bronze", watched)
+    report = queries.QUERIES["landing_to_gate"](spark, sf_dir)
+    assert [r["passou"] for r in report.collect()] == [True] * 7
+    assert len(folders) == 2 and seen[0][0] > 0 and seen[1][0] == 0 < seen[1][1]
+    assert not any(Path(urlparse(path).path).exists() for path in folders)

@@ -158,6 +158,27 @@ def test_dedup_shuffles_8_bytes_of_hash(spark):
     assert got.count() == 300 and got.select("k", "v").exceptAll(whole).isEmpty()
 
 
+def test_rows_of_the_latest_instant_are_not_shuffled(spark, tiny_skew_limits):
+    """Only older rows meet the latest instants of their keys; a batch of one instant is kept as it is."""
+
+    def latest(k, at):
+        return [(k[i], at[i], i) for i in range(len(k)) if at[i] == max((at[j] for j in range(len(k)) if k[j] == k[i] and at[j]), default=None)]
+
+    def kept(k, at):
+        rows = spark.createDataFrame([*zip(k, at, range(len(k)), strict=True)], "k string, at int, n int")
+        frame = ops.keep_latest_rows(rows, "k", "at")
+        assert sorted(map(tuple, frame.collect()), key=str) == sorted(latest(k, at), key=str)
+        return frame
+
+    k = ["a", "b", None, "a", "b", "c", None, "d", "d", "e", "a"]
+    assert "Exchange" not in plan_of(kept(k, [3] * 11)) + plan_of(kept(k, [None] * 11)) + plan_of(kept([], []))
+    plan = plan_of(kept(k, [3, 2, 3, 1, 2, 2, 1, None, 1, None, 3]))
+    final = plan.split("Initial Plan")[0]
+    first = final[final.index("Union") : final.index("Join")]
+    assert "Scan" in first and not re.search("Exchange|ShuffleQueryStage", first)
+    kept(k, [None, 2, 2, 1, 2, 2, 1, None, 1, None, None])
+
+
 def test_what_a_task_reads_from_a_shuffle_is_bounded(spark):
     """Partitions of a shuffle are merged up to a few megabytes only."""
     named = spark.range(2_000_000).select(F.md5(F.col("id").cast("string")).alias("name"))

@@ -178,6 +178,23 @@ def test_a_reader_that_has_begun_keeps_its_version(spark):
     assert len(folders) == 2 and not any(f.rsplit("/", 1)[0] in folders for f in first)
 
 
+def test_a_version_that_nobody_reads_is_deleted_at_once(spark):
+    sources.ensure_layers(spark, ["shelf"])
+    table = "shelf.alone"
+    sources.overwrite_table(spark.range(3), table)
+    sources.overwrite_table(spark.table(table).selectExpr("id + 1 AS id"), table, keep_before=False)
+    assert sorted(r[0] for r in spark.table(table).collect()) == [1, 2, 3]
+    assert len(_files(spark, sources.tables._versions(spark, table))) == 1
+
+
+def test_tables_are_packed(spark):
+    sources.ensure_layers(spark, ["shelf"])
+    sources.overwrite_table(spark.range(3), "shelf.packed")
+    sources.append_batch(spark.range(3), "shelf.packed_batches", "one")
+    for table in ("shelf.packed", "shelf.packed_batches"):
+        assert all(file.endswith(".zstd.parquet") for file in _files_of(spark, table)) and spark.table(table).count() == 3
+
+
 def test_other_columns_another_format_and_a_managed_table(spark):
     sources.ensure_layers(spark, ["shelf"])
     table = "shelf.changed"
@@ -271,3 +288,16 @@ def test_few_files_are_spread_over_all_tasks(spark, tmp_path):
     assert wide.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism and wide.count() == 1000
     many = spark.range(1000, numPartitions=64)
     assert sources.spread(many) is many
+
+
+def test_no_more_steps_run_at_once_than_asked_for(spark):
+    running, most = [], []
+
+    def step():
+        running.append(1)
+        most.append(len(running))
+        spark.range(10).count()
+        running.pop()
+
+    sources.side_by_side(spark, *[step] * 6, at_once=2)
+    assert len(most) == 6 and max(most) <= 2
